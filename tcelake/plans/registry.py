@@ -121,3 +121,123 @@ def signature_share(spark, sf_dir):
                                   "ORDER BY baseline_year", "by_year"))
 def year_trend(spark, sf_dir):
     return reports.year_trend(models(spark, sf_dir).tce_by_year())
+
+
+# ---- XML round trip: mapped rows -> case documents (to_xml) -> parse (from_xml) -> shred ----------------------------
+def _xml_text(spark, sf_dir) -> DataFrame:
+    from tcelake.sources.driver_docs import case_documents
+    from tcelake.sources.driver_tables import DriverSources
+    return case_documents(DriverSources(spark, sf_dir))
+
+
+def _xml_docs(spark, sf_dir) -> DataFrame:
+    from tcelake.sources.xml_docs import parse_documents
+    docs, _ = parse_documents(_xml_text(spark, sf_dir), "xml_filename", "xml")
+    return docs
+
+
+def _shredded(name: str) -> QueryFn:
+    def q(spark, sf_dir):
+        from tcelake.operators.shred import shred_all
+        return shred_all(_xml_docs(spark, sf_dir))[name]
+    return q
+
+
+for _q, _t in (("xml_case", "tce_case"), ("xml_measurements", "tce_measurements"), ("xml_isolates", "tce_isolates"),
+               ("xml_mutations", "tce_mutations"), ("xml_treatments", "tce_treatments")):
+    register(_q, with_ctes(f"SELECT * FROM {_t}", _t))(_shredded(_t))
+
+
+def damaged_documents(text: DataFrame) -> DataFrame:
+    """The case documents with two kinds of damage: every 53rd file truncated mid-way, every 59th (not 53rd) followed
+    by a second root element. All documents are still parsed; the damaged ones must land in the quarantine."""
+    key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
+    x = F.col("xml")
+    damaged = (F.when(key % 53 == 0, F.substring(x, 1, (F.length(x) / 2).cast("int")))
+                .when(key % 59 == 0, F.concat(x, F.lit("\n<tce><baselineYear>0</baselineYear></tce>")))
+                .otherwise(x))
+    return text.select("xml_filename", damaged.alias("xml"))
+
+
+@register("xml_quarantine", with_ctes("""
+SELECT xml_filename,
+       CASE WHEN CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 = 0 THEN 'malformed'
+            ELSE 'trailing content' END AS reason
+FROM tce_case
+WHERE CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 = 0
+   OR CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 59 = 0""", "tce_case"))
+def xml_quarantine(spark, sf_dir):
+    from tcelake.sources.xml_docs import parse_documents
+    _, bad = parse_documents(damaged_documents(_xml_text(spark, sf_dir)), "xml_filename", "xml")
+    return bad.select("xml_filename", "reason")
+
+
+@register("xml_accepted_cases", with_ctes("""
+SELECT * FROM tce_case
+WHERE CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 <> 0
+  AND CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 59 <> 0""", "tce_case"))
+def xml_accepted_cases(spark, sf_dir):
+    from tcelake.operators.shred import shred_case
+    from tcelake.sources.xml_docs import parse_documents
+    docs, _ = parse_documents(damaged_documents(_xml_text(spark, sf_dir)), "xml_filename", "xml")
+    return shred_case(docs)
+
+
+XML_PATHS_SQL = """
+WITH tt AS (
+  SELECT *, CASE WHEN treatment_type = 'new' THEN 'tce/baselineNewTreatment' ELSE 'tce/pastRegimenTreatments' END
+         AS tag FROM tce_treatments
+), nodes AS (
+  SELECT 'tce' AS path, xml_filename FROM tce_case
+  UNION ALL SELECT 'tce/patient', xml_filename FROM tce_case
+  UNION ALL SELECT 'tce/patient/patientAlias', xml_filename FROM tce_case WHERE patient_alias IS NOT NULL
+  UNION ALL SELECT 'tce/patient/CD4NadirBeforeTCE', xml_filename FROM tce_case WHERE cd4_nadir_before_tce IS NOT NULL
+  UNION ALL SELECT 'tce/baselineYear', xml_filename FROM tce_case WHERE baseline_year IS NOT NULL
+  UNION ALL SELECT 'tce/dateUnit', xml_filename FROM tce_case WHERE date_unit IS NOT NULL
+  UNION ALL SELECT 'tce/schemaVersion', xml_filename FROM tce_case WHERE schema_version IS NOT NULL
+  UNION ALL SELECT 'tce/' || timepoint_tag, xml_filename FROM tce_measurements
+  UNION ALL SELECT 'tce/' || timepoint_tag || '/' || value_type, xml_filename FROM tce_measurements
+  UNION ALL SELECT 'tce/' || timepoint_tag || '/relativeDate', xml_filename FROM tce_measurements
+            WHERE relative_date IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate', xml_filename FROM tce_isolates
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/gene', xml_filename FROM tce_isolates WHERE gene IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/subtype', xml_filename FROM tce_isolates WHERE subtype IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/relativeDate', xml_filename FROM tce_isolates
+            WHERE relative_date IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaStart', xml_filename FROM tce_isolates WHERE aa_start IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaStop', xml_filename FROM tce_isolates WHERE aa_stop IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaSequence', xml_filename FROM tce_isolates
+            WHERE aa_sequence IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/nucleotideSequence', xml_filename FROM tce_isolates
+            WHERE nucleotide_sequence IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaMutation', xml_filename FROM tce_mutations
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaMutation/position', xml_filename FROM tce_mutations
+            WHERE position IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaMutation/aminoAcid', xml_filename FROM tce_mutations
+            WHERE amino_acid IS NOT NULL
+  UNION ALL SELECT 'tce/' || isolate_type || 'Isolate/aaMutation/mixtures', xml_filename FROM tce_mutations
+            WHERE mixtures IS NOT NULL
+  UNION ALL SELECT t.tag, xml_filename FROM tt t
+  UNION ALL SELECT t.tag || '/relativeStartDate', xml_filename FROM tt t WHERE relative_start_date IS NOT NULL
+  UNION ALL SELECT t.tag || '/relativeStopDate', xml_filename FROM tt t WHERE relative_stop_date IS NOT NULL
+  UNION ALL SELECT t.tag || '/duration', xml_filename FROM tt t WHERE duration IS NOT NULL
+  UNION ALL SELECT t.tag || '/drug', xml_filename FROM tt t
+  UNION ALL SELECT t.tag || '/drug/drugCode', xml_filename FROM tt t WHERE drug_code IS NOT NULL
+  UNION ALL SELECT t.tag || '/drug/drugClass', xml_filename FROM tt t WHERE drug_class IS NOT NULL
+)
+SELECT path, count(DISTINCT xml_filename) AS n_docs, count(*) AS n_nodes, true AS in_schema
+FROM nodes GROUP BY path"""
+
+
+def _nest_with(sql: str, *names: str) -> str:
+    """Put the mapping CTEs in front of a statement that starts with its own WITH."""
+    head = with_ctes("SELECT 1", *names)
+    prefix = head[: head.rindex("SELECT 1")].rstrip()
+    return prefix + ",\n" + sql.strip()[len("WITH "):]
+
+
+@register("xml_paths", _nest_with(XML_PATHS_SQL, "tce_case", "tce_measurements", "tce_isolates", "tce_mutations",
+                                  "tce_treatments"))
+def xml_paths(spark, sf_dir):
+    from tcelake.operators.profile import profile_paths
+    return profile_paths(_xml_text(spark, sf_dir), "xml", "xml_filename")
