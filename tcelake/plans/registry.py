@@ -241,3 +241,106 @@ def _nest_with(sql: str, *names: str) -> str:
 def xml_paths(spark, sf_dir):
     from tcelake.operators.profile import profile_paths
     return profile_paths(_xml_text(spark, sf_dir), "xml", "xml_filename")
+
+
+# ---- sinks and catalog ------------------------------------------------------------------------------------------------
+@register("partitioned_roundtrip", with_ctes("""
+SELECT xml_filename, patient_alias, relative_date, timepoint_tag, timepoint_type, value, value_type, measurement_type
+FROM tce_measurements WHERE measurement_type = 'RNA'""", "tce_measurements"))
+def partitioned_roundtrip(spark, sf_dir):
+    """Write measurements partitioned by type, register the table, read one partition back (partition pruning)."""
+    from tcelake.session import scratch_dir
+    from tcelake.sinks.catalog import register_tables
+    from tcelake.sinks.datasets import write_dataset
+    uri = write_dataset(driver_sources(spark, sf_dir)["tce_measurements"], scratch_dir(spark, "measurements"),
+                        partition_by=["measurement_type"])
+    db = "tcelake_check"
+    name = "tce_measurements_" + uri.rstrip("/").rsplit("-", 1)[-1]
+    register_tables(spark, db, {name: uri}, partitions={name: ["measurement_type"]})
+    return spark.table(f"{db}.{name}").filter(F.col("measurement_type") == "RNA")
+
+
+# ---- JSON / CSV side jobs ---------------------------------------------------------------------------------------------
+_PRODUCTS_CTE = """
+WITH products AS (
+  SELECT CASE WHEN p_size % 10 = 0 THEN 'N/A' WHEN p_size % 10 = 5 THEN NULL ELSE p_brand END AS brand,
+         p_retailprice AS price
+  FROM part)"""
+
+
+def _products_uri(spark, sf_dir) -> str:
+    from tcelake.plans.side_jobs import write_product_documents
+    from tcelake.session import scratch_dir
+    from tcelake.sources.driver_tables import read_driver
+    return write_product_documents(read_driver(spark, sf_dir, "part"), scratch_dir(spark, "products"))
+
+
+@register("json_default_projection", _PRODUCTS_CTE + "\nSELECT brand, price FROM products")
+def json_default_projection(spark, sf_dir):
+    from tcelake.plans.side_jobs import projected_products
+    p = projected_products(spark, _products_uri(spark, sf_dir))
+    return p.select("brand", F.col("price").cast("double").alias("price"))
+
+
+@register("json_brand_price", _PRODUCTS_CTE + """
+SELECT brand, round(avg(price), 2) AS avg_price FROM products GROUP BY brand ORDER BY avg_price DESC NULLS LAST""")
+def json_brand_price(spark, sf_dir):
+    from tcelake.plans.side_jobs import brand_price, projected_products
+    return brand_price(projected_products(spark, _products_uri(spark, sf_dir)))
+
+
+_FEATURES_SQL = """
+SELECT CAST(p_partkey + 1 AS INTEGER) AS id, p_name AS name,
+       'Part of type ' || p_type || ' in size ' || CAST(p_size AS VARCHAR) AS description,
+       '0.' || CAST(p_size AS VARCHAR) AS release_version,
+       CASE WHEN p_size % 2 = 0 THEN 'Enterprise' ELSE 'Open-Source' END AS edition
+FROM part ORDER BY release_version, id"""
+
+
+@register("feature_sort", _FEATURES_SQL)
+def feature_sort(spark, sf_dir):
+    from tcelake.plans.side_jobs import feature_rows
+    from tcelake.sources.driver_tables import read_driver
+    return feature_rows(read_driver(spark, sf_dir, "part")).orderBy("release_version", "id")
+
+
+@register("csv_roundtrip", _FEATURES_SQL)
+def csv_roundtrip(spark, sf_dir):
+    from tcelake.plans.side_jobs import feature_csv_roundtrip
+    from tcelake.session import scratch_dir
+    from tcelake.sources.driver_tables import read_driver
+    return feature_csv_roundtrip(spark, read_driver(spark, sf_dir, "part"), scratch_dir(spark, "features-csv"))
+
+
+# ---- archives ---------------------------------------------------------------------------------------------------------
+ARCHIVE_DOCS = 500   # case files per archive (archive id = order key range, so a group is bounded by construction)
+
+
+@register("archive_scan", with_ctes("SELECT * FROM tce_case", "tce_case"))
+def archive_scan(spark, sf_dir):
+    """Case documents packed into gzip tars (by key range), expanded again, parsed and shredded."""
+    from tcelake.operators.shred import shred_case
+    from tcelake.sources.archive import expand_archives, pack_archives
+    from tcelake.sources.xml_docs import parse_documents
+    text = _xml_text(spark, sf_dir)
+    key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
+    members = text.select((key / ARCHIVE_DOCS).cast("long").alias("archive_id"), "xml_filename",
+                          F.encode("xml", "UTF-8").alias("content"))
+    archives = pack_archives(members, "archive_id", "xml_filename", "content")
+    files = expand_archives(archives, "*.xml")
+    docs, _ = parse_documents(files.select(F.col("member").alias("xml_filename"),
+                                           F.decode("content", "UTF-8").alias("text")), "xml_filename", "text")
+    return shred_case(docs)
+
+
+# ---- end to end: case documents -> shred -> models -------------------------------------------------------------------
+@register("xml_class_counts", with_ctes("SELECT * FROM class_counts", "class_counts"))
+def xml_class_counts(spark, sf_dir):
+    from tcelake.operators.shred import shred_all
+    return Models(shred_all(_xml_docs(spark, sf_dir))).v_new_regimen_class_counts()
+
+
+@register("xml_case_fact", with_ctes("SELECT * FROM fact_tce", "fact_tce"))
+def xml_case_fact(spark, sf_dir):
+    from tcelake.operators.shred import shred_all
+    return Models(shred_all(_xml_docs(spark, sf_dir))).fact_tce()
