@@ -334,13 +334,17 @@ def archive_scan(spark, sf_dir):
 
 
 # ---- end to end: case documents -> shred -> models -------------------------------------------------------------------
+def _xml_models(spark, sf_dir) -> Models:
+    from tcelake.operators.shred import shred_all
+    from tcelake.sources.xml_docs import parse_once
+    return Models(shred_all(parse_once(_xml_docs(spark, sf_dir))))
+
+
 @register("xml_class_counts", with_ctes("SELECT * FROM class_counts", "class_counts"))
 def xml_class_counts(spark, sf_dir):
-    from tcelake.operators.shred import shred_all
-    return Models(shred_all(_xml_docs(spark, sf_dir))).v_new_regimen_class_counts()
+    return _xml_models(spark, sf_dir).v_new_regimen_class_counts()
 
 
 @register("xml_case_fact", with_ctes("SELECT * FROM fact_tce", "fact_tce"))
 def xml_case_fact(spark, sf_dir):
-    from tcelake.operators.shred import shred_all
-    return Models(shred_all(_xml_docs(spark, sf_dir))).fact_tce()
+    return _xml_models(spark, sf_dir).fact_tce()

@@ -1,8 +1,9 @@
 """Case documents assembled from the mapped driver rows with ``to_xml`` (one document per case file).
 
-Every child table is grouped by ``xml_filename`` and joined to the case rows on the same key, so the assembly is
-co-partitioned (one shuffle per child table, no re-shuffle for the joins). A document holds only its own file's rows,
-exactly like a case file on disk. NULL leaves are omitted from the XML, as a missing element.
+Each element kind (measurements, isolates, treatments) is one ``groupBy`` on the order key over its lineitem rows;
+the case leaves are joined on the same key, so all joins are co-partitioned (measured faster than a single wide
+collect per file, whose post-aggregation split runs interpreted higher-order functions). A document holds
+only its own file's rows, like a case file on disk. NULL leaves are omitted from the XML, as a missing element.
 """
 
 from __future__ import annotations
@@ -11,66 +12,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tcelake.schema import ROOT_TAG
-from tcelake.sources.driver_tables import DriverSources
-
-
-def _leaf(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
+from tcelake.sources.driver_tables import (
+    ISOLATE_FLAG,
+    ISOLATE_ORDER,
+    MEASUREMENT_FLAGS,
+    DriverSources,
+    case_columns,
+    file_of,
+    isolate_columns,
+    measurement_columns,
+    treatment_columns,
+)
+
+MEASUREMENT_TAGS = ("baselineRNA", "pastRNA", "followupRNA", "baselineCD4", "pastCD4", "followupCD4")
+_MUTATION_T = "array<struct<position:array<string>,aminoAcid:array<string>,mixtures:array<string>>>"
+
+
+def _leaf(c: Column) -> Column:
     return F.when(c.isNotNull(), F.array(c))
 
 
-def _sorted_nodes(cond: Column, order: Column, node: Column) -> Column:
-    """Collect ``node`` where ``cond`` in ``order`` (document order), dropping the order field afterwards."""
-    collected = F.collect_list(F.when(cond, F.struct(order.alias("o"), node.alias("n"))))
-    return F.transform(F.array_sort(collected), lambda x: x["n"])
-
-
 def document_frame(src: DriverSources) -> DataFrame:
     """(xml_filename, doc STRUCT) — the nested document per case file."""
-    case = src.tce_case().select(
-        "xml_filename",
-        F.array(F.struct(_leaf("patient_alias").alias("patientAlias"),
-                         _leaf("cd4_nadir_before_tce").alias("CD4NadirBeforeTCE"))).alias("patient"),
-        _leaf("baseline_year").alias("baselineYear"),
-        _leaf("date_unit").alias("dateUnit"),
-        _leaf("schema_version").alias("schemaVersion"))
-
-    m = src.tce_measurements()
-    rna = lambda: F.struct(_leaf(F.when(F.col("value_type") == "logLoad", F.col("value"))).alias("logLoad"),  # noqa
-                           _leaf(F.when(F.col("value_type") == "rawLoad", F.col("value"))).alias("rawLoad"),
-                           _leaf("relative_date").alias("relativeDate"))
-    cd4 = lambda: F.struct(_leaf("value").alias("count"), _leaf("relative_date").alias("relativeDate"))  # noqa
-    meas = m.groupBy("xml_filename").agg(*[
-        F.collect_list(F.when(F.col("timepoint_tag") == tag, (rna() if tag.endswith("RNA") else cd4()))).alias(tag)
-        for tag in ("baselineRNA", "pastRNA", "followupRNA", "baselineCD4", "pastCD4", "followupCD4")])
-
-    iso = src._isolate_rows()
-    iso_idx = F.element_at(F.split(F.col("isolate_id"), "_"), -1).cast("int")
-    mutation = F.when(F.col("_has_mutation"), F.array(F.struct(
-        _leaf("_position").alias("position"), _leaf("_amino_acid").alias("aminoAcid"),
-        _leaf("_mixtures").alias("mixtures")))).otherwise(F.array().cast(
-            "array<struct<position:array<string>,aminoAcid:array<string>,mixtures:array<string>>>"))
-    node = F.struct(_leaf("gene").alias("gene"), _leaf("subtype").alias("subtype"),
-                    _leaf("relative_date").alias("relativeDate"), _leaf("aa_start").alias("aaStart"),
-                    _leaf("aa_stop").alias("aaStop"), _leaf("aa_sequence").alias("aaSequence"),
-                    _leaf("nucleotide_sequence").alias("nucleotideSequence"), mutation.alias("aaMutation"))
-    isolates = iso.groupBy("xml_filename").agg(
-        _sorted_nodes(F.col("isolate_type") == "baseline", iso_idx, node).alias("baselineIsolate"),
-        _sorted_nodes(F.col("isolate_type") == "past", iso_idx, node).alias("pastIsolate"))
-
-    t = src.tce_treatments()
-    tnode = F.struct(_leaf("relative_start_date").alias("relativeStartDate"),
-                     _leaf("relative_stop_date").alias("relativeStopDate"), _leaf("duration").alias("duration"),
-                     F.array(F.struct(_leaf("drug_code").alias("drugCode"),
-                                      _leaf("drug_class").alias("drugClass"))).alias("drug"))
-    treatments = t.groupBy("xml_filename").agg(
-        F.collect_list(F.when(F.col("treatment_type") == "new", tnode)).alias("baselineNewTreatment"),
-        F.collect_list(F.when(F.col("treatment_type") == "past", tnode)).alias("pastRegimenTreatments"))
-
-    joined = case.join(meas, "xml_filename", "left").join(isolates, "xml_filename", "left") \
-                 .join(treatments, "xml_filename", "left")
-    fields = [c for c in joined.columns if c != "xml_filename"]
-    return joined.select("xml_filename", F.struct(*fields).alias("doc"))
+    cc = case_columns()
+    case = src.t("orders").select(
+        F.col("o_orderkey").alias("__key"),
+        F.array(F.struct(_leaf(cc["patient_alias"]).alias("patientAlias"),
+                         _leaf(cc["cd4_nadir_before_tce"]).alias("CD4NadirBeforeTCE"))).alias("patient"),
+        _leaf(cc["baseline_year"]).alias("baselineYear"),
+        _leaf(cc["date_unit"]).alias("dateUnit"),
+        _leaf(cc["schema_version"]).alias("schemaVersion"))
+
+    tc, mc, ic = treatment_columns(), measurement_columns(), isolate_columns()
+    rel, value, vtype = mc["relative_date"], mc["value"], mc["value_type"]
+    rna = F.struct(_leaf(F.when(vtype == "logLoad", value)).alias("logLoad"),
+                   _leaf(F.when(vtype == "rawLoad", value)).alias("rawLoad"),
+                   _leaf(rel).alias("relativeDate"))
+    cd4 = F.struct(_leaf(value).alias("count"), _leaf(rel).alias("relativeDate"))
+    meas = src.lines(flags=MEASUREMENT_FLAGS).groupBy(F.col("l_orderkey").alias("__key")).agg(
+        *[F.collect_list(F.when(mc["timepoint_tag"] == tag, rna if tag.endswith("RNA") else cd4)).alias(tag)
+          for tag in MEASUREMENT_TAGS])
+
+    mutation = F.when(ic["has_mutation"], F.array(F.struct(
+        _leaf(ic["position"]).alias("position"), _leaf(ic["amino_acid"]).alias("aminoAcid"),
+        _leaf(ic["mixtures"]).alias("mixtures")))).otherwise(F.array().cast(_MUTATION_T))
+    iso = F.struct(_leaf(ic["gene"]).alias("gene"), _leaf(ic["subtype"]).alias("subtype"),
+                   _leaf(ic["relative_date"]).alias("relativeDate"), _leaf(ic["aa_start"]).alias("aaStart"),
+                   _leaf(ic["aa_stop"]).alias("aaStop"), _leaf(ic["aa_sequence"]).alias("aaSequence"),
+                   _leaf(ic["nucleotide_sequence"]).alias("nucleotideSequence"), mutation.alias("aaMutation"))
+    iso_order = F.struct(*[F.col(c) for c in ISOLATE_ORDER])
+
+    def in_document_order(cond: Column) -> Column:
+        collected = F.collect_list(F.when(cond, F.struct(iso_order.alias("o"), iso.alias("n"))))
+        return F.transform(F.array_sort(collected), lambda x: x["n"])
+
+    isolates = src.lines(flags=(ISOLATE_FLAG,)).groupBy(F.col("l_orderkey").alias("__key")).agg(
+        in_document_order(ic["isolate_type"] == "baseline").alias("baselineIsolate"),
+        in_document_order(ic["isolate_type"] == "past").alias("pastIsolate"))
+
+    treat = F.struct(_leaf(tc["relative_start_date"]).alias("relativeStartDate"),
+                     _leaf(tc["relative_stop_date"]).alias("relativeStopDate"), _leaf(tc["duration"]).alias("duration"),
+                     F.array(F.struct(_leaf(tc["drug_code"]).alias("drugCode"),
+                                      _leaf(tc["drug_class"]).alias("drugClass"))).alias("drug"))
+    treatments = src.lines(with_part=True).groupBy(F.col("l_orderkey").alias("__key")).agg(
+        F.collect_list(F.when(tc["treatment_type"] == "new", treat)).alias("baselineNewTreatment"),
+        F.collect_list(F.when(tc["treatment_type"] == "past", treat)).alias("pastRegimenTreatments"))
+
+    joined = case.join(meas, "__key", "left").join(isolates, "__key", "left").join(treatments, "__key", "left")
+    fields = [c for c in joined.columns if c != "__key"]
+    return joined.select(file_of(F.col("__key")).alias("xml_filename"), F.struct(*fields).alias("doc"))
 
 
 def case_documents(src: DriverSources) -> DataFrame:

@@ -55,10 +55,12 @@ def parse_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None
                     root: str = ROOT_TAG) -> tuple[DataFrame, DataFrame]:
     """Parse a (key, text) frame. Returns (docs: key + nested columns, quarantine: key, record, reason)."""
     ddl = ddl or document_ddl()
+    # The parse sits in a generator so the optimizer cannot copy it into both the filter and the projection
+    # (that would parse every document twice).
     parsed = df.select(
         F.col(key_col).alias("xml_filename"),
         F.col(text_col).alias("__text"),
-        F.from_xml(F.col(text_col), ddl, parse_options()).alias("__doc"),
+        F.explode(F.array(F.from_xml(F.col(text_col), ddl, parse_options()))).alias("__doc"),
     ).withColumn("__reason", F.when(F.col(f"__doc.{CORRUPT_COLUMN}").isNotNull() | F.col("__text").isNull(),
                                     F.lit("malformed"))
                               .when(trailing_content(F.col("__text"), root), F.lit("trailing content")))
@@ -80,3 +82,11 @@ def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str
     """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files."""
     files = raw_files(spark, path, glob)
     return parse_documents(files, "xml_filename", "text", ddl, root)
+
+
+def parse_once(docs: DataFrame) -> DataFrame:
+    """Materialise parsed documents in the shared checkpoint folder, so the five shredders (and every model built on
+    them) read the parsed documents instead of re-reading and re-parsing the files."""
+    from tcelake.session import checkpoint_root
+    checkpoint_root(docs.sparkSession)
+    return docs.checkpoint(eager=True)
