@@ -45,7 +45,9 @@ def _paths_of_batches(batches):
                 keys.append(key)
                 paths.append(p)
                 ns.append(n)
-        yield pd.DataFrame({"doc_key": keys, "path": paths, "n": ns})
+        if keys:   # an empty batch yields nothing (empty object columns do not convert to Arrow structs)
+            yield pd.DataFrame({"doc_key": pd.Series(keys, dtype=object), "path": pd.Series(paths, dtype=object),
+                                "n": pd.Series(ns, dtype="int64")})
 
 
 def document_paths_per_doc(raw: DataFrame, content: str, key: str) -> DataFrame:

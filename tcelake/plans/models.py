@@ -226,3 +226,28 @@ class Models:
         cases = self.t["tce_case"].select("xml_filename")
         joined = cases.join(self.new_regimen_classes(), "xml_filename", "inner")
         return count_by(joined, ["class_signature"], "tce_count")
+
+
+MODEL_NAMES = ("stg_measurements", "dim_regimen", "dim_time", "dim_relative_time", "fact_tce", "dashboard",
+               "dashboard_unfiltered", "tce_by_year", "v_new_regimen_class_counts")
+
+
+def publish(models: Models, names=MODEL_NAMES, db: str | None = None, materialize: set[str] | frozenset = frozenset()
+            ) -> dict[str, str]:
+    """Expose models by name: temp views by default (lazy, like SQL views); models in ``materialize`` are written as
+    catalog tables (``saveAsTable``, overwrite) so nested readers do not recompute them. Returns name -> relation."""
+    out = {}
+    spark = models.t["tce_case"].sparkSession
+    if db:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    for name in names:
+        df = getattr(models, name)()
+        if name in materialize:
+            if not db:
+                raise ValueError("materialized models need a database")
+            df.write.mode("overwrite").saveAsTable(f"`{db}`.`{name}`")
+            out[name] = f"{db}.{name}"
+        else:
+            df.createOrReplaceTempView(name)
+            out[name] = name
+    return out

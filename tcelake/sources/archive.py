@@ -39,7 +39,9 @@ def _members(batches, glob: str):
                 archives.append(name)
                 members.append(None)
                 contents.append(None)
-        yield pd.DataFrame({"archive": archives, "member": members, "content": contents})
+        if archives:
+            yield pd.DataFrame({"archive": pd.Series(archives, dtype=object), "member": pd.Series(members, dtype=object),
+                                "content": pd.Series(contents, dtype=object)})
 
 
 def expand_archives(archives: DataFrame, glob: str = "*") -> DataFrame:

@@ -48,7 +48,7 @@ def trailing_content(text: Column, root: str = ROOT_TAG) -> Column:
     body = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
     opens = F.size(F.regexp_extract_all(body, F.lit(rf"<{root}(?=[\s/>])"), 0))
     after = F.regexp_extract(body, rf"(?s)^.*</{root}\s*>(.*)$", 1)
-    return (opens > 1) | (F.trim(after) != "")
+    return (opens > 1) | ~after.rlike(r"^\s*$")   # (trim() strips spaces only, not newlines)
 
 
 def parse_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None = None,
@@ -77,11 +77,26 @@ def raw_files(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
                       decode_declared(F.col("content")).alias("text"))
 
 
+def empty_files(spark: SparkSession, path: str, glob: str = "*.xml") -> list[str]:
+    """Names of zero-byte files (a scan produces no split, hence no row, for them). Listing metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")
+    statuses = pattern.getFileSystem(conf).globStatus(pattern) or []
+    return sorted(st.getPath().getName() for st in statuses if st.isFile() and st.getLen() == 0)
+
+
 def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str | None = None,
                   root: str = ROOT_TAG) -> tuple[DataFrame, DataFrame]:
     """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files."""
     files = raw_files(spark, path, glob)
-    return parse_documents(files, "xml_filename", "text", ddl, root)
+    docs, quarantine = parse_documents(files, "xml_filename", "text", ddl, root)
+    empty = empty_files(spark, path, glob)
+    if empty:
+        rows = spark.createDataFrame([(n, "", "malformed") for n in empty],
+                                     "xml_filename string, record string, reason string")
+        quarantine = quarantine.unionByName(rows)
+    return docs, quarantine
 
 
 def parse_once(docs: DataFrame) -> DataFrame:
