@@ -20,14 +20,16 @@ def count_by(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFram
 
 
 def conditional_max_pivot(df: DataFrame, key: str | Sequence[str],
-                          specs: Mapping[str, tuple[Column, str | Column, str]]) -> DataFrame:
+                          specs: Mapping[str, tuple[Column, str | Column, str]], strict: bool = True) -> DataFrame:
     """One row per key with ``max(case when predicate then cast(value as type) end)`` per output column.
 
     The cast sits inside the CASE branch, so rows that do not match are never cast (a text such as ``<50`` in a
     non-selected field cannot fail the query). NULL when no row matches.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    aggs = [F.max(F.when(pred, _c(value).cast(dtype))).alias(out) for out, (pred, value, dtype) in specs.items()]
+    def cast(v, t):
+        return _c(v).cast(t) if strict else _c(v).try_cast(t)
+    aggs = [F.max(F.when(pred, cast(value, dtype))).alias(out) for out, (pred, value, dtype) in specs.items()]
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -45,20 +45,25 @@ MONTH_FACTORS = {"months": 4.0}
 class Models:
     """Builders M1-M9. ``tables`` maps the five source names to DataFrames (dependency injection for tests)."""
 
-    def __init__(self, tables: dict[str, DataFrame], broadcast_max_rows: int = 1_000_000):
+    def __init__(self, tables: dict[str, DataFrame], broadcast_max_rows: int = 1_000_000, strict: bool = True):
         missing = [t for t in SOURCE_TABLES if t not in tables]
         if missing:
             raise KeyError(f"missing source tables: {missing}")
         self.t = tables
         self.broadcast_max_rows = broadcast_max_rows
+        self.strict = strict   # True: casts of source text fail the query on bad text (parity); False: NULL instead
+
+    def _cast(self, col, dtype: str):
+        c = F.col(col) if isinstance(col, str) else col
+        return c.cast(dtype) if self.strict else c.try_cast(dtype)
 
     # ---- M1 -------------------------------------------------------------------------------------------------------
     def stg_measurements(self) -> DataFrame:
         m = self.t["tce_measurements"]
         return m.select("xml_filename", "patient_alias",
-                        F.col("relative_date").cast("int").alias("relative_date"),
+                        self._cast("relative_date", "int").alias("relative_date"),
                         "measurement_type",
-                        F.col("value").cast("double").alias("value"),
+                        self._cast("value", "double").alias("value"),
                         "value_type")
 
     # ---- M2 -------------------------------------------------------------------------------------------------------
@@ -84,7 +89,7 @@ class Models:
     # ---- M3 -------------------------------------------------------------------------------------------------------
     def years(self) -> DataFrame:
         c = self.t["tce_case"]
-        return c.filter(F.col("baseline_year").isNotNull()).select(F.col("baseline_year").cast("int").alias("baseline_year"))
+        return c.filter(F.col("baseline_year").isNotNull()).select(self._cast("baseline_year", "int").alias("baseline_year"))
 
     @cached_property
     def _dim_time(self) -> Ranked:
@@ -115,7 +120,7 @@ class Models:
         dates = self.relative_dates(distinct=False).filter(F.col("relative_date").isNotNull())
         units = self.t["tce_case"].select("xml_filename", "date_unit")
         pairs = dates.join(units, "xml_filename", "inner").select("relative_date", "date_unit").distinct()
-        d = F.col("relative_date").cast("double")
+        d = self._cast("relative_date", "double")
         final = pairs.select(
             "relative_date", "date_unit",
             convert_units(d, F.col("date_unit"), MONTH_FACTORS).alias("relative_weeks"),
@@ -141,7 +146,7 @@ class Models:
     def measure_pivot(self) -> DataFrame:
         """R1: one pass, one group-by over RNA and CD4 rows (partition filter on measurement_type)."""
         m = self.t["tce_measurements"].filter(F.col("measurement_type").isin("RNA", "CD4"))
-        return conditional_max_pivot(m, "xml_filename", self._measure_specs()) \
+        return conditional_max_pivot(m, "xml_filename", self._measure_specs(), self.strict) \
             .select("xml_filename", "baseline_log_rna", "followup_log_rna", "baseline_cd4", "followup_cd4")
 
     def measure_pivot_full_outer(self) -> DataFrame:
@@ -149,9 +154,9 @@ class Models:
         specs = self._measure_specs()
         m = self.t["tce_measurements"]
         rna = conditional_max_pivot(m.filter(F.col("measurement_type") == "RNA"), "xml_filename",
-                                    {k: specs[k] for k in ("baseline_log_rna", "followup_log_rna")})
+                                    {k: specs[k] for k in ("baseline_log_rna", "followup_log_rna")}, self.strict)
         cd4 = conditional_max_pivot(m.filter(F.col("measurement_type") == "CD4"), "xml_filename",
-                                    {k: specs[k] for k in ("baseline_cd4", "followup_cd4")})
+                                    {k: specs[k] for k in ("baseline_cd4", "followup_cd4")}, self.strict)
         return full_outer_merge(rna, cd4, "xml_filename") \
             .select("xml_filename", "baseline_log_rna", "followup_log_rna", "baseline_cd4", "followup_cd4")
 
@@ -169,8 +174,8 @@ class Models:
     def fact_joined(self) -> DataFrame:
         c = self.t["tce_case"].select(
             "xml_filename",
-            F.col("baseline_year").cast("int").alias("baseline_year"),
-            F.col("cd4_nadir_before_tce").cast("double").alias("cd4_nadir_before_tce"))
+            self._cast("baseline_year", "int").alias("baseline_year"),
+            self._cast("cd4_nadir_before_tce", "double").alias("cd4_nadir_before_tce"))
         joined = left_enrich(c, [self.measure_pivot(), self.baseline_mutation_counts(), self.regimen_keys()],
                              "xml_filename", fill={"baseline_mutation_count": 0})
         time = broadcast_if_small(self.dim_time().select("baseline_year", "time_key"), self._dim_time.rows,

@@ -39,9 +39,10 @@ def write_product_documents(part: DataFrame, uri: str) -> str:
     return uri
 
 
-def projected_products(spark: SparkSession, uri: str, columns=KEEP_COLUMNS, default: str = "N/A") -> DataFrame:
+def projected_products(spark: SparkSession, uri: str, columns=KEEP_COLUMNS, default: str = "N/A",
+                       multi_line: bool = False) -> DataFrame:
     """Keep ``columns`` of every product; absent key -> ``default``; explicit null stays null (all STRING)."""
-    return project_with_default(json_records(spark, uri, "products"), "record", columns, default)
+    return project_with_default(json_records(spark, uri, "products", multi_line), "record", columns, default)
 
 
 def brand_price(projected: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 def json_documents_text(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     """(doc STRING) per JSON document."""
     if multi_line:
-        return spark.read.option("wholetext", "true").text(path).select(F.col("value").alias("doc"))
+        # (the keyword matters: DataFrameReader.text() would reset an option("wholetext") to its default)
+        return spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
     return spark.read.text(path).select(F.col("value").alias("doc")).filter(F.trim("doc") != "")
 
 

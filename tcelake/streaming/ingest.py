@@ -17,10 +17,14 @@ from tcelake.session import scratch_dir
 from tcelake.sources.xml_docs import decode_declared, parse_documents
 
 
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def case_file_stream(spark: SparkSession, input_uri: str, glob: str = "*.xml",
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming (xml_filename, text) over new files in ``input_uri``."""
-    r = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
+    r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", glob).option("recursiveFileLookup", "false"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(input_uri)

@@ -1,0 +1,120 @@
+"""Sinks, catalog, batch pipeline (M14), streaming ingest, JSON/CSV jobs, archives."""
+
+import io
+import os
+import tarfile
+
+from pyspark.sql import functions as F
+
+from tcelake.plans.pipeline import run
+from tcelake.plans.side_jobs import brand_price, feature_csv_roundtrip, projected_products
+from tcelake.sinks.catalog import deprecate_missing, register_tables
+from tcelake.sinks.datasets import read_dataset, write_dataset, write_json_lines, write_sorted_text
+from tcelake.sources.archive import archive_members
+from tcelake.sources.json_records import json_records, json_table
+from tcelake.streaming.ingest import start_ingest
+
+
+def test_partitioned_write_register_prune_and_deprecate(spark, tmp_path):
+    df = spark.createDataFrame([("1.xml", "RNA", "4.5"), ("1.xml", "CD4", "200"), ("2.xml", "RNA", "3.1")],
+                               "xml_filename string, measurement_type string, value string")
+    uri = str(tmp_path / "m")
+    write_dataset(df, uri, partition_by=["measurement_type"])
+    assert sorted(x for x in os.listdir(uri) if not x.startswith(("_", "."))) == [
+        "measurement_type=CD4", "measurement_type=RNA"]
+    write_dataset(df.filter("measurement_type = 'RNA'"), uri, partition_by=["measurement_type"])  # rerun-safe
+    assert read_dataset(spark, uri).count() == 3
+    st = register_tables(spark, "tdb", {"meas": uri}, partitions={"meas": ["measurement_type"]})
+    assert st[0].partitions == 2
+    q = spark.table("tdb.meas").filter(F.col("measurement_type") == "RNA")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(measurement_type" in plan and q.count() == 2
+    other = str(tmp_path / "gone")
+    write_dataset(df, other)
+    register_tables(spark, "tdb", {"gone": other})
+    import shutil
+    shutil.rmtree(other)
+    assert deprecate_missing(spark, "tdb") == ["gone"]
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES tdb.gone").collect()}
+    assert props.get("deprecated") == "true"
+
+
+def test_register_raises_on_missing(spark, tmp_path):
+    import pytest
+    with pytest.raises(RuntimeError):
+        register_tables(spark, "tdb2", {"x": str(tmp_path / "nope")})
+
+
+def test_pipeline_run(spark, case_dir, tmp_path):
+    import pytest
+    with pytest.raises(Exception):   # strict casts (parity): the empty CD4 nadir leaf fails the fact (T1)
+        run(spark, case_dir, str(tmp_path / "strict"))
+    out = str(tmp_path / "out")
+    s = run(spark, case_dir, out, db="tce_run", strict=False)
+    assert s.files == 18 and s.quarantined == 4 and s.rows["tce_case"] == 14
+    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 14
+    assert "measurement_type=CD4" in os.listdir(f"{out}/tce_measurements")
+    assert spark.table("tce_run.tce_case").count() == 14
+
+
+def test_streaming_ingest_available_now(spark, case_dir, tmp_path):
+    out, ckpt = str(tmp_path / "stream"), str(tmp_path / "ckpt")
+    start_ingest(spark, case_dir, out, ckpt).awaitTermination()
+    assert read_dataset(spark, f"{out}/tce_case").count() == 14
+    # a second run sees no new files and adds nothing
+    start_ingest(spark, case_dir, out, ckpt).awaitTermination()
+    assert read_dataset(spark, f"{out}/tce_case").count() == 14
+
+
+def test_json_sources_and_price_report(spark, tmp_path):
+    whole = tmp_path / "whole"
+    whole.mkdir()
+    (whole / "p.json").write_text('{\n "products": [\n  {"brand": "A", "price": 1.0},\n  {"price": 3.0},\n'
+                                  '  {"brand": "A", "price": 2.0}\n ]\n}\n')
+    recs = json_records(spark, str(whole), "products", multi_line=True)
+    assert recs.count() == 3
+    assert json_table(spark, str(whole), "products", multi_line=True).count() == 3
+    rep = [tuple(r) for r in brand_price(projected_products(spark, str(whole), multi_line=True)).collect()]
+    assert rep == [("N/A", 3.0), ("A", 1.5)]
+
+
+def test_json_lines_products(spark, tmp_path):
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.json").write_text('{"products":[{"brand":"A","price":1.0},{"price":3.0}]}\n'
+                                  '{"products":[{"brand":"A","price":2.0},{"brand":null,"price":5.0}]}\n')
+    rep = [tuple(r) for r in brand_price(projected_products(spark, str(lines))).collect()]
+    assert rep == [(None, 5.0), ("N/A", 3.0), ("A", 1.5)]
+    out = str(tmp_path / "out.json")
+    write_json_lines(projected_products(spark, str(lines)), out)
+    assert spark.read.json(out).count() == 4
+
+
+def test_feature_csv_and_sorted_text(spark, tmp_path):
+    part = spark.createDataFrame([(9, "n9", "T", 10), (1, "n1", "T", 2), (2, "n2", "T", 9)],
+                                 "p_partkey long, p_name string, p_type string, p_size int")
+    back = feature_csv_roundtrip(spark, part, str(tmp_path / "f.csv"))
+    assert [r.release_version for r in back.collect()] == ["0.10", "0.2", "0.9"]   # text order
+    paths = spark.createDataFrame([("b",), ("a",)], "path string")
+    write_sorted_text(paths, "path", str(tmp_path / "paths"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "paths")).collect()] == ["a", "b"]
+
+
+def test_archive_members(spark, tmp_path, case_dir):
+    d = tmp_path / "arch"
+    d.mkdir()
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w") as tar:              # plain tar named .tar.gz, like the reference's
+        for name in ("1.xml", "blank.xml"):
+            data = open(os.path.join(case_dir, name), "rb").read()
+            info = tarfile.TarInfo(f"xmls_db/{name}")
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+        info = tarfile.TarInfo("xmls_db/readme.txt")
+        info.size = 2
+        tar.addfile(info, io.BytesIO(b"hi"))
+    (d / "cases.tar.gz").write_bytes(buf.getvalue())
+    (d / "broken.tar.gz").write_bytes(b"not an archive")
+    m = archive_members(spark, str(d), "*.tar.gz", "*.xml")
+    got = sorted((r.archive, r.member) for r in m.collect())
+    assert got == [("broken.tar.gz", None), ("cases.tar.gz", "xmls_db/1.xml"), ("cases.tar.gz", "xmls_db/blank.xml")]
