@@ -1,7 +1,7 @@
 """Dense surrogate keys: ``row_number() over (order by ...)`` without a single-partition exchange.
 
 ``global_rank``: range-partition on the order columns, sort inside each partition, tag every row with
-(partition id, position), write the tagged rows to the shared checkpoint folder (reliable checkpoint, so a lost executor
+(partition id, position), write the tagged rows as Parquet in the shared checkpoint folder (so a lost executor
 cannot reshuffle rows into another order), count rows per partition, and add the running total of the preceding
 partitions. The per-partition counts are one number per partition — their size is bounded by the partition count, not by
 the data — so they are the only thing that is broadcast.
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tcelake.session import checkpoint_root
+from tcelake.session import checkpoint_root, scratch_dir
 
 _PID = "__rank_pid"
 _MID = "__rank_mid"
@@ -27,6 +27,14 @@ def _order_cols(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back (cuts the lineage; a lost
+    executor re-reads files instead of recomputing upstream shuffles)."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class Ranked(NamedTuple):
     df: DataFrame
     rows: int
@@ -43,8 +51,8 @@ def global_rank_counted(df: DataFrame, order_cols: Sequence[str | Column], out:
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
-    tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy(_PID).count().collect()          # one row per partition
+    tagged = materialize(tagged, "rank")
+    counts = tagged.groupBy(_PID).count().collect()          # one row per partition (reads one column)
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[0]):
         offsets.append((int(row[0]), running))

@@ -70,11 +70,14 @@ class Models:
     def regimen_aggregate(self, treatment_type: str | None = None) -> DataFrame:
         """One row per (file, treatment_type): drug count, class flags, sorted drug signature (NULL codes dropped)."""
         t = self.t["tce_treatments"].filter(F.col("drug_code").isNotNull())
+        aggs = [*set_signature_aggs("drug_code", "+", "drug_count", "regimen_signature"),
+                *flags_by_value("drug_class", CLASS_FLAGS)]
         if treatment_type is not None:
-            t = t.filter(F.col("treatment_type") == treatment_type)
-        return (t.groupBy("xml_filename", "treatment_type")
-                 .agg(*set_signature_aggs("drug_code", "+", "drug_count", "regimen_signature"),
-                      *flags_by_value("drug_class", CLASS_FLAGS)))
+            # one type: group by the file alone, so a later join on xml_filename reuses this partitioning
+            return (t.filter(F.col("treatment_type") == treatment_type).groupBy("xml_filename").agg(*aggs)
+                     .select("xml_filename", F.lit(treatment_type).alias("treatment_type"), *[a for a in
+                             ["drug_count", "regimen_signature", *CLASS_FLAGS]]))
+        return t.groupBy("xml_filename", "treatment_type").agg(*aggs)
 
     @cached_property
     def _dim_regimen(self) -> Ranked:

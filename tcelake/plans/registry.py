@@ -125,9 +125,9 @@ def year_trend(spark, sf_dir):
 
 # ---- XML round trip: mapped rows -> case documents (to_xml) -> parse (from_xml) -> shred ----------------------------
 def _xml_text(spark, sf_dir) -> DataFrame:
-    from tcelake.sources.driver_docs import case_documents
-    from tcelake.sources.driver_tables import DriverSources
-    return case_documents(DriverSources(spark, sf_dir))
+    """The case-file corpus of the driver directory (generated from the tables once, then read like input files)."""
+    from tcelake.sources.driver_docs import driver_corpus
+    return driver_corpus(spark, sf_dir)
 
 
 def _xml_docs(spark, sf_dir) -> DataFrame:
@@ -348,3 +348,15 @@ def xml_class_counts(spark, sf_dir):
 @register("xml_case_fact", with_ctes("SELECT * FROM fact_tce", "fact_tce"))
 def xml_case_fact(spark, sf_dir):
     return _xml_models(spark, sf_dir).fact_tce()
+
+
+@register("record_listing", """
+SELECT 'user_' || CAST(user_id AS VARCHAR) AS name,
+       string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS types,
+       'Name: user_' || CAST(user_id AS VARCHAR) || chr(10) || 'Types: '
+         || string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS text
+FROM events GROUP BY user_id""")
+def record_listing(spark, sf_dir):
+    from tcelake.plans.side_jobs import record_listing as listing, user_type_documents
+    from tcelake.sources.driver_tables import read_driver
+    return listing(user_type_documents(read_driver(spark, sf_dir, "events")))

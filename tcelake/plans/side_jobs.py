@@ -81,3 +81,30 @@ def feature_csv_roundtrip(spark: SparkSession, part: DataFrame, uri: str) -> Dat
     write_csv(rows.orderBy("release_version", "id"), uri)
     back = read_dataset(spark, uri, fmt="csv", schema=FEATURE_SCHEMA, options={"header": "true"})
     return back.orderBy("release_version", "id")
+
+
+# ---- record listing: JSON decode, nested list projection, per-record join, template text (F25, F26) ----------------
+LISTING_SCHEMA = "name STRING, types ARRAY<STRUCT<type: STRUCT<name: STRING>>>"
+
+
+def user_type_documents(events: DataFrame) -> DataFrame:
+    """(doc STRING) per user: ``{"name": "user_<id>", "types": [{"type": {"name": <event type>}}, ...]}``, the event
+    types of that user in ascending order (at most one entry per distinct type, so a document stays small)."""
+    per_user = events.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("ts"))
+    doc = F.struct(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("name"),
+                   F.transform("ts", lambda t: F.struct(F.struct(t.alias("name")).alias("type"))).alias("types"))
+    return per_user.select(F.to_json(doc).alias("doc"))
+
+
+def record_listing(docs: DataFrame, template: str = "Name: %s\nTypes: %s") -> DataFrame:
+    """Decode each document, keep ``name`` and the nested type names joined by ', ', render ``template``."""
+    d = docs.select(F.from_json("doc", LISTING_SCHEMA).alias("d"))
+    types = F.array_join(F.transform(F.col("d.types"), lambda x: x["type"]["name"]), ", ")
+    return d.select(F.col("d.name").alias("name"), types.alias("types"),
+                    F.format_string(template, F.col("d.name"), types).alias("text"))
+
+
+def write_listing(listing: DataFrame, uri: str) -> str:
+    """The records' text, one block per record, blank line between them, in name order (range-partitioned sort)."""
+    listing.orderBy("name").select(F.concat(F.col("text"), F.lit("\n")).alias("v")).write.mode("overwrite").text(uri)
+    return uri

@@ -86,3 +86,24 @@ def document_frame(src: DriverSources) -> DataFrame:
 def case_documents(src: DriverSources) -> DataFrame:
     """(xml_filename, xml STRING) — the case files' text."""
     return document_frame(src).select("xml_filename", F.to_xml("doc", {"rowTag": ROOT_TAG}).alias("xml"))
+
+
+_CORPUS: dict[tuple, str] = {}
+
+
+def driver_corpus(spark, sf_dir: str) -> DataFrame:
+    """The generated case files of one driver directory as a table (xml_filename, xml), written once per session to the
+    shared checkpoint folder — the stand-in for a folder of case files. Rebuilt when the driver tables change."""
+    import os
+
+    from tcelake.session import checkpoint_root, scratch_dir
+    src_dir = os.path.abspath(sf_dir)
+    stamp = tuple(os.path.getmtime(os.path.join(src_dir, f"{t}.parquet")) if os.path.exists(
+        os.path.join(src_dir, f"{t}.parquet")) else 0.0 for t in ("orders", "lineitem", "part"))
+    key = (checkpoint_root(spark), src_dir, stamp)
+    path = _CORPUS.get(key)
+    if path is None:
+        path = scratch_dir(spark, "corpus")
+        case_documents(DriverSources(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _CORPUS[key] = path
+    return spark.read.parquet(path)
