@@ -3,8 +3,9 @@
 Plan notes (scale):
   * every big join and group-by keys on ``xml_filename``; the fact is built with one conditional-max pass over the
     measurements instead of two group-bys and a FULL OUTER join, and the two regimen keys come from one pivot;
-  * surrogate keys use ``global_rank`` (range partitioning + partition offsets), never a single-partition window; the
-    ranked frames are checkpointed, so downstream reuse reads the checkpoint instead of recomputing the lineage;
+  * surrogate keys use ``global_rank`` (range partitioning + partition offsets); the two small-domain dimensions use
+    ``rank_checked`` (a one-task window only when an exact count proves the input small); ranked frames are
+    checkpointed, so downstream reuse reads the checkpoint instead of recomputing the lineage;
   * dimensions are broadcast only when their exact row count (known from the ranking) is below a limit;
   * class counts and yearly counts start from the case table: the fact has exactly one row per case row (every right
     side of its left joins is unique per file), so joining the whole fact is not needed for them.
@@ -29,7 +30,7 @@ from tcelake.functions.scalar import (
 from tcelake.operators.aggregate import conditional_max_pivot, count_by, flags_by_value, keep_frequent, \
     set_signature_aggs
 from tcelake.operators.join import broadcast_if_small, full_outer_merge, left_enrich, union_distinct
-from tcelake.operators.rank import Ranked, global_rank_counted
+from tcelake.operators.rank import Ranked, global_rank_counted, rank_checked
 
 SOURCE_TABLES = ("tce_case", "tce_measurements", "tce_isolates", "tce_mutations", "tce_treatments")
 REGIMEN_FLAG_COLUMNS = list(CLASS_FLAGS)  # contains_pi, nrti, nnrti, insti, cri, fi
@@ -99,7 +100,7 @@ class Models:
         base = self.years().distinct()
         final = base.select("baseline_year", decade("baseline_year").alias("decade"),
                             year_bucket("baseline_year").alias("year_bucket"))
-        return global_rank_counted(final, ["baseline_year"], "time_key")
+        return rank_checked(final, ["baseline_year"], "time_key")
 
     def dim_time(self) -> DataFrame:
         return self._dim_time.df
@@ -131,7 +132,7 @@ class Models:
             relative_bucket(d).alias("timepoint_bucket"),
             F.when(d == 0, F.lit(True)).otherwise(F.lit(False)).alias("is_baseline"),
         )
-        return global_rank_counted(final, ["relative_date", "date_unit"], "relative_time_key")
+        return rank_checked(final, ["relative_date", "date_unit"], "relative_time_key")
 
     def dim_relative_time(self) -> DataFrame:
         return self._dim_relative_time.df

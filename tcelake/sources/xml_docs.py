@@ -51,9 +51,43 @@ def trailing_content(text: Column, root: str = ROOT_TAG) -> Column:
     return (opens > 1) | ~after.rlike(r"^\s*$")   # (trim() strips spaces only, not newlines)
 
 
+# Elements the reference finds at any depth (descendant search); the DDL sees them only at their documented position.
+DEEP_ELEMENTS = ("baselineRNA", "pastRNA", "followupRNA", "baselineCD4", "pastCD4", "followupCD4",
+                 "baselineIsolate", "pastIsolate", "baselineNewTreatment", "pastRegimenTreatments")
+
+
+def _size0(arr: Column) -> Column:
+    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+
+
+def off_schema_elements(text: Column, doc: Column) -> Column:
+    """True when the text opens more of the DEEP_ELEMENTS (or aaMutation) than the parsed document holds at their
+    documented positions, i.e. some sit deeper (e.g. inside a wrapper) where the DDL cannot see them."""
+    body = F.regexp_replace(text, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    names = F.regexp_extract_all(body, F.lit(r"<([A-Za-z_][\w.-]*)"), 1)
+
+    def n_raw(tag: str) -> Column:
+        return F.size(F.filter(names, lambda x: x == F.lit(tag)))
+
+    conds = [n_raw(t) > _size0(doc[t]) for t in DEEP_ELEMENTS]
+    parsed_mutations = F.lit(0)
+    for t in ("baselineIsolate", "pastIsolate"):
+        per_isolate = F.transform(doc[t], lambda iso: _size0(iso["aaMutation"]))     # NULL when no isolates
+        parsed_mutations = parsed_mutations + F.coalesce(
+            F.aggregate(per_isolate, F.lit(0), lambda acc, x: acc + x), F.lit(0))
+    conds.append(n_raw("aaMutation") > parsed_mutations)
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
 def parse_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None = None,
-                    root: str = ROOT_TAG) -> tuple[DataFrame, DataFrame]:
-    """Parse a (key, text) frame. Returns (docs: key + nested columns, quarantine: key, record, reason)."""
+                    root: str = ROOT_TAG, shape_guard: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Parse a (key, text) frame. Returns (docs: key + nested columns, quarantine: key, record, reason).
+
+    ``shape_guard`` also quarantines documents with DEEP_ELEMENTS outside their documented position (reason
+    ``off-schema element``), which the reference would still extract."""
     ddl = ddl or document_ddl()
     # The parse sits in a generator so the optimizer cannot copy it into both the filter and the projection
     # (that would parse every document twice).
@@ -64,6 +98,10 @@ def parse_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None
     ).withColumn("__reason", F.when(F.col(f"__doc.{CORRUPT_COLUMN}").isNotNull() | F.col("__text").isNull(),
                                     F.lit("malformed"))
                               .when(trailing_content(F.col("__text"), root), F.lit("trailing content")))
+    if shape_guard:
+        parsed = parsed.withColumn("__reason", F.when(
+            F.col("__reason").isNull() & off_schema_elements(F.col("__text"), F.col("__doc")),
+            F.lit("off-schema element")).otherwise(F.col("__reason")))
     docs = parsed.filter(F.col("__reason").isNull()).select("xml_filename", "__doc.*").drop(CORRUPT_COLUMN)
     quarantine = parsed.filter(F.col("__reason").isNotNull()).select(
         "xml_filename", F.col("__text").alias("record"), F.col("__reason").alias("reason"))
@@ -87,10 +125,10 @@ def empty_files(spark: SparkSession, path: str, glob: str = "*.xml") -> list[str
 
 
 def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str | None = None,
-                  root: str = ROOT_TAG) -> tuple[DataFrame, DataFrame]:
+                  root: str = ROOT_TAG, shape_guard: bool = True) -> tuple[DataFrame, DataFrame]:
     """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files."""
     files = raw_files(spark, path, glob)
-    docs, quarantine = parse_documents(files, "xml_filename", "text", ddl, root)
+    docs, quarantine = parse_documents(files, "xml_filename", "text", ddl, root, shape_guard)
     empty = empty_files(spark, path, glob)
     if empty:
         rows = spark.createDataFrame([(n, "", "malformed") for n in empty],

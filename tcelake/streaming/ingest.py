@@ -38,7 +38,7 @@ def _append_batch(output_uri: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         # Each micro-batch owns the partition ingest_batch=<id>, written in dynamic-overwrite mode: a batch that is
         # retried after a failure replaces its own output instead of appending it twice.
-        docs, quarantine = parse_documents(batch, "xml_filename", "text")
+        docs, quarantine = parse_documents(batch, "xml_filename", "text", shape_guard=True)
         docs = docs.persist()   # one parse for the five shredders of this micro-batch
         try:
             frames = {"quarantine": quarantine, **shred_all(docs)}

@@ -51,19 +51,19 @@ def test_pipeline_run(spark, case_dir, tmp_path):
         run(spark, case_dir, str(tmp_path / "strict"))
     out = str(tmp_path / "out")
     s = run(spark, case_dir, out, db="tce_run", strict=False)
-    assert s.files == 18 and s.quarantined == 4 and s.rows["tce_case"] == 14
-    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 14
+    assert s.files == 18 and s.quarantined == 5 and s.rows["tce_case"] == 13
+    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 13
     assert "measurement_type=CD4" in os.listdir(f"{out}/tce_measurements")
-    assert spark.table("tce_run.tce_case").count() == 14
+    assert spark.table("tce_run.tce_case").count() == 13
 
 
 def test_streaming_ingest_available_now(spark, case_dir, tmp_path):
     out, ckpt = str(tmp_path / "stream"), str(tmp_path / "ckpt")
     start_ingest(spark, case_dir, out, ckpt).awaitTermination()
-    assert read_dataset(spark, f"{out}/tce_case").count() == 14
+    assert read_dataset(spark, f"{out}/tce_case").count() == 13
     # a second run sees no new files and adds nothing
     start_ingest(spark, case_dir, out, ckpt).awaitTermination()
-    assert read_dataset(spark, f"{out}/tce_case").count() == 14
+    assert read_dataset(spark, f"{out}/tce_case").count() == 13
 
 
 def test_json_sources_and_price_report(spark, tmp_path):
