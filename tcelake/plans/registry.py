@@ -360,3 +360,21 @@ def record_listing(spark, sf_dir):
     from tcelake.plans.side_jobs import record_listing as listing, user_type_documents
     from tcelake.sources.driver_tables import read_driver
     return listing(user_type_documents(read_driver(spark, sf_dir, "events")))
+
+
+# ---- published views and the path listing ------------------------------------------------------------------------------
+@register("view_class_counts", with_ctes("SELECT * FROM class_counts ORDER BY tce_count DESC", "class_counts"))
+def view_class_counts(spark, sf_dir):
+    """Models published as views (temp views, like the reference's view materialisation), read back with SQL."""
+    from tcelake.plans.models import publish
+    publish(models(spark, sf_dir), names=("v_new_regimen_class_counts",))
+    return spark.sql("SELECT * FROM v_new_regimen_class_counts ORDER BY tce_count DESC")
+
+
+@register("xml_path_listing", _nest_with(XML_PATHS_SQL.replace(
+    "SELECT path, count(DISTINCT xml_filename) AS n_docs, count(*) AS n_nodes, true AS in_schema\nFROM nodes GROUP BY path",
+    "SELECT DISTINCT regexp_replace(path, '^tce/', '') AS path FROM nodes WHERE path <> 'tce' ORDER BY path"),
+    "tce_case", "tce_measurements", "tce_isolates", "tce_mutations", "tce_treatments"))
+def xml_path_listing(spark, sf_dir):
+    from tcelake.operators.profile import path_listing, profile_paths
+    return path_listing(profile_paths(_xml_text(spark, sf_dir), "xml", "xml_filename"))
