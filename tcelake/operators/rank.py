@@ -45,13 +45,15 @@ def global_rank_counted(df: DataFrame, order_cols: Sequence[str | Column], out:
     spark = df.sparkSession
     checkpoint_root(spark)
     order = _order_cols(order_cols)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order)
+    # Without an explicit count AQE may coalesce adjacent range partitions; that keeps the order, and the partition id
+    # is read after the exchange, so the tags stay consistent.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     tagged = materialize(tagged, "rank")
-    counts = tagged.groupBy(_PID).count().collect()          # one row per partition (reads one column)
+    counts = tagged.groupBy(_PID).count().collect()          # one row per partition
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[0]):
         offsets.append((int(row[0]), running))

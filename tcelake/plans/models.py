@@ -39,6 +39,10 @@ DASHBOARD_COLUMNS = [
     "followup_log_rna", "followup_cd4", "baseline_mutation_count", "regimen_signature", "drug_count",
     "contains_pi", "contains_nrti", "contains_nnrti", "contains_insti", "contains_cri", "contains_fi",
 ]
+FACT_COLUMNS = ["tce_id", "xml_filename", "baseline_year", "cd4_nadir_before_tce", "baseline_log_rna", "baseline_cd4",
+                "followup_log_rna", "followup_cd4", "baseline_mutation_count", "past_regimen_key", "new_regimen_key",
+                "time_key"]
+NEW_REGIMEN_ATTRIBUTES = ["regimen_signature", "drug_count", *REGIMEN_FLAG_COLUMNS]
 POPULAR_MIN_CASES = 10
 MONTH_FACTORS = {"months": 4.0}
 
@@ -171,9 +175,13 @@ class Models:
     def regimen_keys(self) -> DataFrame:
         """past/new regimen key per file from one pivot over dim_regimen ((file, type) is unique there)."""
         r = self.dim_regimen()
+        is_new = F.col("treatment_type") == "new"
+        # The new regimen's attributes ride along (one row per (file, 'new'), so max picks that row's value): the
+        # dashboards then need no second fact x dim_regimen join.
         return r.groupBy("xml_filename").agg(
             F.max(F.when(F.col("treatment_type") == "past", F.col("regimen_key"))).alias("past_regimen_key"),
-            F.max(F.when(F.col("treatment_type") == "new", F.col("regimen_key"))).alias("new_regimen_key"))
+            F.max(F.when(is_new, F.col("regimen_key"))).alias("new_regimen_key"),
+            *[F.max(F.when(is_new, F.col(c))).alias(f"__new_{c}") for c in NEW_REGIMEN_ATTRIBUTES])
 
     def fact_joined(self) -> DataFrame:
         c = self.t["tce_case"].select(
@@ -187,21 +195,18 @@ class Models:
         return joined.join(time, "baseline_year", "left")
 
     @cached_property
-    def _fact_tce(self) -> Ranked:
-        ranked = global_rank_counted(self.fact_joined(), ["xml_filename"], "tce_id")
-        df = ranked.df.select("tce_id", "xml_filename", "baseline_year", "cd4_nadir_before_tce", "baseline_log_rna",
-                              "baseline_cd4", "followup_log_rna", "followup_cd4", "baseline_mutation_count",
-                              "past_regimen_key", "new_regimen_key", "time_key")
-        return Ranked(df, ranked.rows)
+    def _fact_ranked(self) -> Ranked:
+        return global_rank_counted(self.fact_joined(), ["xml_filename"], "tce_id")
 
     def fact_tce(self) -> DataFrame:
-        return self._fact_tce.df
+        return self._fact_ranked.df.select(*FACT_COLUMNS)
 
     # ---- M6 / M7 --------------------------------------------------------------------------------------------------
     def _fact_with_new_regimen(self) -> DataFrame:
-        r = self.dim_regimen().select(F.col("regimen_key").alias("new_regimen_key"), "regimen_signature",
-                                      "drug_count", *REGIMEN_FLAG_COLUMNS)
-        return self.fact_tce().join(r, "new_regimen_key", "inner")
+        """fact x dim_regimen on new_regimen_key (inner) — read from the fact's carried attributes: a fact row has a
+        new_regimen_key exactly when its file has a new regimen, whose attributes were pivoted with the key."""
+        f = self._fact_ranked.df.filter(F.col("new_regimen_key").isNotNull())
+        return f.select(*FACT_COLUMNS, *[F.col(f"__new_{c}").alias(c) for c in NEW_REGIMEN_ATTRIBUTES])
 
     def _with_time(self, fr: DataFrame) -> DataFrame:
         t = broadcast_if_small(self.dim_time().select("time_key", "decade", "year_bucket",

@@ -83,3 +83,22 @@ def test_staged_measurements_casts(spark):
     out = Models(_tables(spark, tce_measurements=meas)).stg_measurements()
     assert [tuple(r) for r in out.collect()] == [("1.xml", "P", -3, "CD4", 200.0, "count")]
     assert out.schema["relative_date"].dataType.simpleString() == "int"
+
+
+def test_hot_file_holding_a_third_of_rows(spark):
+    # one case file carries a third of all treatment and measurement rows: results stay exact (no caps, no sampling)
+    case = [(f"{i}.xml", "P", "2001", "1", "weeks", "1") for i in range(30)]
+    treat = [("0.xml", "P", "0", "1", "1", f"D{i % 7}", ["PI", "NRTI", "FI"][i % 3], "new") for i in range(300)] + \
+            [(f"{i}.xml", "P", "0", "1", "1", "D1", "PI", "new") for i in range(1, 30) for _ in range(20)]
+    meas = [("0.xml", "P", str(i % 50), "RNA", "baselineRNA", "baseline", str(i), "logLoad") for i in range(400)] + \
+           [(f"{i}.xml", "P", "1", "CD4", "baselineCD4", "baseline", "5", "count") for i in range(1, 30)
+            for _ in range(27)]
+    m = Models(_tables(spark, tce_case=case, tce_treatments=treat, tce_measurements=meas))
+    f = {r.xml_filename: r for r in m.fact_tce().collect()}
+    assert len(f) == 30 and f["0.xml"].baseline_log_rna == 399.0 and f["5.xml"].baseline_cd4 == 5.0
+    reg = {r.xml_filename: r for r in m.dim_regimen().collect()}
+    assert reg["0.xml"].drug_count == 7 and reg["0.xml"].regimen_signature == "+".join(f"D{i}" for i in range(7))
+    counts = {r.class_signature: r.tce_count for r in m.v_new_regimen_class_counts().collect()}
+    assert counts == {"FI+NRTI+PI": 1, "PI": 29}
+    rel = m.dim_relative_time()
+    assert rel.count() == rel.select("relative_date", "date_unit").distinct().count()
