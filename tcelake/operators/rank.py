@@ -45,9 +45,10 @@ def global_rank_counted(df: DataFrame, order_cols: Sequence[str | Column], out:
     spark = df.sparkSession
     checkpoint_root(spark)
     order = _order_cols(order_cols)
-    # Without an explicit count AQE may coalesce adjacent range partitions; that keeps the order, and the partition id
-    # is read after the exchange, so the tags stay consistent.
-    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    # An explicit partition count (default: spark.sql.shuffle.partitions, sized by the cluster for its data) keeps the
+    # sort and the materialisation spread over tasks; AQE would coalesce a small range exchange into very few tasks.
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order)
     tagged = (ranged
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
