@@ -102,3 +102,24 @@ def test_hot_file_holding_a_third_of_rows(spark):
     assert counts == {"FI+NRTI+PI": 1, "PI": 29}
     rel = m.dim_relative_time()
     assert rel.count() == rel.select("relative_date", "date_unit").distinct().count()
+
+
+def test_relative_dates_keep_text_members_and_order(spark):
+    # T8: '5' and '5.0' are distinct members; keys follow text order with NULL units last; months x4 -> weeks
+    case = [("a.xml", "P", "2001", "1", "months", "1"), ("b.xml", "P", "2001", "1", None, "1")]
+    meas = [("a.xml", "P", "5", "CD4", "baselineCD4", "baseline", "1", "count"),
+            ("b.xml", "P", "5.0", "CD4", "baselineCD4", "baseline", "1", "count"),
+            ("b.xml", "P", "5", "CD4", "baselineCD4", "baseline", "1", "count"),
+            ("b.xml", "P", None, "CD4", "baselineCD4", "baseline", "1", "count"),
+            ("z.xml", "P", "-7", "CD4", "baselineCD4", "baseline", "1", "count")]      # no case: dropped (J8)
+    rows = [tuple(r) for r in Models(_tables(spark, tce_case=case, tce_measurements=meas)).dim_relative_time()
+            .orderBy("relative_time_key").collect()]
+    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [(1, "5", "months", 20.0), (2, "5", None, 5.0),
+                                                        (3, "5.0", None, 5.0)]
+
+
+def test_null_codes_dropped_before_flags(spark):
+    # T14: a NULL drug code row does not contribute its class to the flags
+    treat = [("a.xml", "P", "0", "1", "1", "AAA", "NRTI", "new"), ("a.xml", "P", "0", "1", "1", None, "PI", "new")]
+    r = Models(_tables(spark, tce_treatments=treat)).dim_regimen().first()
+    assert (r.contains_nrti, r.contains_pi, r.drug_count, r.regimen_signature) == (1, 0, 1, "AAA")
