@@ -69,16 +69,20 @@ def keep_frequent(df: DataFrame, col: str, min_count: int, population: DataFrame
 def fold_small(df: DataFrame, label: str, count: str, threshold: int = 7, other: str = "Other") -> DataFrame:
     """Relabel groups whose count is strictly below ``threshold`` as ``other``, re-sum, order with ``other`` last.
 
-    Returns (label, count, ordinal). Input is an already aggregated report (one row per label).
+    Returns (label, count, ordinal). The ordinal is a dense rank (Other last, then count descending, label as the
+    tiebreak) computed by the size-checked rank: a one-task window only when the folded report is proven small.
     """
+    from tcelake.operators.rank import rank_checked
     relabeled = df.select(F.when(F.col(count) < threshold, F.lit(other)).otherwise(F.col(label)).alias(label),
                           F.col(count))
     summed = relabeled.groupBy(label).agg(F.sum(count).cast("long").alias(count))
     is_other = (F.col(label) == F.lit(other)).cast("int")
-    w = Window.orderBy(is_other.asc(), F.col(count).desc(), F.col(label).asc_nulls_last())
-    return summed.select(label, count, F.row_number().over(w).cast("long").alias("ordinal"))
+    ranked = rank_checked(summed, [is_other.asc(), F.col(count).desc(), F.col(label).asc_nulls_last()], "ordinal")
+    return ranked.df.select(label, count, "ordinal")
 
 
 def share_of_total(df: DataFrame, count: str, out: str = "share") -> DataFrame:
-    """Each row's share of the column total. Input is an aggregated report whose size is bounded by its label set."""
-    return df.withColumn(out, F.col(count) / F.sum(count).over(Window.partitionBy()))
+    """Each row's share of the column total; the total is a scalar subquery (partial sums per partition combined),
+    so no step sees all rows at once."""
+    total = df.select(F.sum(count)).scalar()
+    return df.withColumn(out, F.col(count) / total)

@@ -125,11 +125,15 @@ def empty_files(spark: SparkSession, path: str, glob: str = "*.xml") -> list[str
 
 
 def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str | None = None,
-                  root: str = ROOT_TAG, shape_guard: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files."""
+                  root: str = ROOT_TAG, shape_guard: bool = True, report_empty: bool = True
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files.
+
+    ``report_empty`` lists the folder once more on the driver to find zero-byte files (a scan never reads them); on an
+    object store with a very large folder this listing costs time, and it can be switched off."""
     files = raw_files(spark, path, glob)
     docs, quarantine = parse_documents(files, "xml_filename", "text", ddl, root, shape_guard)
-    empty = empty_files(spark, path, glob)
+    empty = empty_files(spark, path, glob) if report_empty else []
     if empty:
         rows = spark.createDataFrame([(n, "", "malformed") for n in empty],
                                      "xml_filename string, record string, reason string")
