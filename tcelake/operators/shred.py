@@ -146,3 +146,19 @@ def shred_all(docs: DataFrame) -> dict[str, DataFrame]:
         "tce_mutations": shred_mutations(docs),
         "tce_treatments": shred_treatments(docs),
     }
+
+
+def new_regimen_class_flags(docs: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """(xml_filename, <flag>...) per document with at least one new-treatment drug with a code: the regimen flags
+    computed inside the document (its drugs are only in that document), without shredding and re-joining."""
+    drugs = F.flatten(F.transform(F.coalesce(F.col("baselineNewTreatment"), F.array().cast(
+        docs.schema["baselineNewTreatment"].dataType)), lambda t: F.coalesce(t["drug"], F.array().cast(
+            docs.schema["baselineNewTreatment"].dataType.elementType["drug"].dataType))))
+    coded = F.filter(drugs, lambda d: first_text(d["drugCode"]).isNotNull())
+    cols = [F.when(F.exists(coded, _class_is(cls)), F.lit(1)).otherwise(F.lit(0)).alias(flag)
+            for flag, cls in flags.items()]
+    return docs.select("xml_filename", F.size(coded).alias("__n"), *cols).filter(F.col("__n") > 0).drop("__n")
+
+
+def _class_is(cls: str):
+    return lambda d: first_text(d["drugClass"]) == F.lit(cls)

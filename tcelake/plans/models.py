@@ -194,8 +194,22 @@ class Models:
                                   self.broadcast_max_rows)
         return joined.join(time, "baseline_year", "left")
 
+    def prepare(self, *names: str) -> None:
+        """Build independent materialised models concurrently (their eager rank jobs share no stages); Spark runs jobs
+        submitted from several driver threads side by side."""
+        from concurrent.futures import ThreadPoolExecutor
+        todo = [n for n in names if n not in self.__dict__]
+        if len(todo) <= 1:
+            for n in todo:
+                getattr(self, n)
+            return
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for f in [pool.submit(getattr, self, n) for n in todo]:
+                f.result()
+
     @cached_property
     def _fact_ranked(self) -> Ranked:
+        self.prepare("_dim_regimen", "_dim_time")
         return global_rank_counted(self.fact_joined(), ["xml_filename"], "tce_id")
 
     def fact_tce(self) -> DataFrame:

@@ -342,7 +342,12 @@ def _xml_models(spark, sf_dir) -> Models:
 
 @register("xml_class_counts", with_ctes("SELECT * FROM class_counts", "class_counts"))
 def xml_class_counts(spark, sf_dir):
-    return _xml_models(spark, sf_dir).v_new_regimen_class_counts()
+    """Class counts straight from the case files: one parse, flags per document, one group-by (no join)."""
+    from tcelake.functions.scalar import CLASS_FLAGS, class_label_signature
+    from tcelake.operators.aggregate import count_by
+    from tcelake.operators.shred import new_regimen_class_flags
+    flags = new_regimen_class_flags(_xml_docs(spark, sf_dir), CLASS_FLAGS)
+    return count_by(flags.select(class_label_signature().alias("class_signature")), ["class_signature"], "tce_count")
 
 
 @register("xml_case_fact", with_ctes("SELECT * FROM fact_tce", "fact_tce"))

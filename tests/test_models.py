@@ -123,3 +123,15 @@ def test_null_codes_dropped_before_flags(spark):
     treat = [("a.xml", "P", "0", "1", "1", "AAA", "NRTI", "new"), ("a.xml", "P", "0", "1", "1", None, "PI", "new")]
     r = Models(_tables(spark, tce_treatments=treat)).dim_regimen().first()
     assert (r.contains_nrti, r.contains_pi, r.drug_count, r.regimen_signature) == (1, 0, 1, "AAA")
+
+
+def test_document_level_class_counts_equal_model_path(spark, case_dir):
+    from tcelake.functions.scalar import CLASS_FLAGS, class_label_signature
+    from tcelake.operators.aggregate import count_by
+    from tcelake.operators.shred import new_regimen_class_flags
+    docs, _ = xml_documents(spark, case_dir)
+    via_models = {tuple(r) for r in Models(shred_all(docs)).v_new_regimen_class_counts().collect()}
+    flags = new_regimen_class_flags(docs, CLASS_FLAGS)
+    direct = {tuple(r) for r in count_by(flags.select(class_label_signature().alias("class_signature")),
+                                         ["class_signature"], "tce_count").collect()}
+    assert direct == via_models and ("", 1) in direct          # unknown class only -> '' group (T6)
