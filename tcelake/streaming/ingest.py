@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tcelake.operators.shred import shred_all
-from tcelake.plans.pipeline import PARTITIONED
+from tcelake.plans.batch import PARTITIONED
 from tcelake.session import scratch_dir
 from tcelake.sources.xml_docs import decode_declared, parse_documents
 

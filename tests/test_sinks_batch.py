@@ -1,4 +1,4 @@
-"""Sinks, catalog, batch pipeline (M14), streaming ingest, JSON/CSV jobs, archives."""
+"""Sinks, catalog, the batch job (M14), streaming ingest, JSON/CSV jobs, archives."""
 
 import io
 import os
@@ -6,7 +6,7 @@ import tarfile
 
 from pyspark.sql import functions as F
 
-from tcelake.plans.pipeline import run
+from tcelake.plans.batch import run
 from tcelake.plans.side_jobs import brand_price, feature_csv_roundtrip, projected_products
 from tcelake.sinks.catalog import deprecate_missing, register_tables
 from tcelake.sinks.datasets import read_dataset, write_dataset, write_json_lines, write_sorted_text
@@ -45,7 +45,7 @@ def test_register_raises_on_missing(spark, tmp_path):
         register_tables(spark, "tdb2", {"x": str(tmp_path / "nope")})
 
 
-def test_pipeline_run(spark, case_dir, tmp_path):
+def test_batch_run(spark, case_dir, tmp_path):
     import pytest
     with pytest.raises(Exception):   # strict casts (parity): the empty CD4 nadir leaf fails the fact (T1)
         run(spark, case_dir, str(tmp_path / "strict"))
