@@ -141,3 +141,26 @@ def test_project_with_default_keeps_null_vs_absent(spark):
     recs = df.select(F.explode(F.from_json("doc", "products array<map<string,string>>")["products"]).alias("r"))
     got = [tuple(r) for r in project_with_default(recs, "r", ["brand", "price"]).collect()]
     assert got == [("X", "1.5"), ("N/A", "2"), (None, "3")]
+
+
+def test_rank_checked_global_path_with_expression_order(spark):
+    from tcelake.operators.rank import rank_checked
+    rows = [(f"L{i:03d}", (i * 37) % 101) for i in range(400)] + [("Other", 5)]
+    df = spark.createDataFrame(rows, "label string, n long").repartition(5)
+    order = [(F.col("label") == "Other").cast("int").asc(), F.col("n").desc(), F.col("label").asc_nulls_last()]
+    forced = rank_checked(df, order, "ordinal", small_limit=0)           # global_rank path
+    small = rank_checked(df, order, "ordinal")                           # window path
+    assert forced.rows == small.rows == 401
+    assert sorted(tuple(r) for r in forced.df.collect()) == sorted(tuple(r) for r in small.df.collect())
+    assert forced.df.filter("label = 'Other'").first().ordinal == 401
+
+
+def test_publish_views_and_tables(spark):
+    from tcelake.plans.models import Models, publish
+    from tcelake.schema import SOURCE_SCHEMAS
+    tables = {n: spark.createDataFrame([], s) for n, s in SOURCE_SCHEMAS.items()}
+    tables["tce_case"] = spark.createDataFrame([("1.xml", "P", "1999", "1", "weeks", "1")], SOURCE_SCHEMAS["tce_case"])
+    out = publish(Models(tables), names=("dim_time", "tce_by_year"), db="pubdb", materialize={"tce_by_year"})
+    assert out == {"dim_time": "dim_time", "tce_by_year": "pubdb.tce_by_year"}
+    assert spark.sql("SELECT decade FROM dim_time").first().decade == "1990s"
+    assert spark.table("pubdb.tce_by_year").first().tce_count == 1
