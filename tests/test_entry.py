@@ -51,3 +51,18 @@ def test_query_matches_oracle(spark, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(res.fetchall(), ocols)
+
+
+@needs_data
+def test_model_properties_on_driver_data(spark):
+    from pyspark.sql import functions as F
+
+    from tcelake.plans.registry import models
+    m = models(spark, SF)
+    dash, dash_all = m.dashboard(), m.dashboard_unfiltered()
+    assert dash.exceptAll(dash_all).count() == 0                               # M6 is a subset of M7
+    total = m.v_new_regimen_class_counts().agg(F.sum("tce_count")).first()[0]
+    with_new = m.fact_tce().filter(F.col("new_regimen_key").isNotNull()).count()
+    assert total == with_new                                                   # class counts cover every such case
+    keys = m.dim_regimen().agg(F.min("regimen_key"), F.max("regimen_key"), F.count("*")).first()
+    assert keys[0] == 1 and keys[1] == keys[2]                                 # dense keys
