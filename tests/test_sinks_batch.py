@@ -118,3 +118,13 @@ def test_archive_members(spark, tmp_path, case_dir):
     m = archive_members(spark, str(d), "*.tar.gz", "*.xml")
     got = sorted((r.archive, r.member) for r in m.collect())
     assert got == [("broken.tar.gz", None), ("cases.tar.gz", "xmls_db/1.xml"), ("cases.tar.gz", "xmls_db/blank.xml")]
+
+
+def test_bucketed_batch_run_avoids_source_shuffles(spark, case_dir, tmp_path):
+    from tcelake.plans.models import Models
+    s = run(spark, case_dir, str(tmp_path / "bucketed"), db="tce_bkt", strict=False, buckets=4)
+    assert s.rows["tce_case"] == 13 and s.reports["fact_tce"] == 13
+    tables = {n: spark.table(f"tce_bkt.{n}") for n in s.rows}
+    m = Models(tables, strict=False)
+    plan = m.measure_pivot().join(tables["tce_case"], "xml_filename")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan      # aggregation + join read co-partitioned buckets
