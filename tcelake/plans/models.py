@@ -260,20 +260,23 @@ MODEL_NAMES = ("stg_measurements", "dim_regimen", "dim_time", "dim_relative_time
                "dashboard_unfiltered", "tce_by_year", "v_new_regimen_class_counts")
 
 
-def publish(models: Models, names=MODEL_NAMES, db: str | None = None, materialize: set[str] | frozenset = frozenset()
-            ) -> dict[str, str]:
+def publish(models: Models, names=MODEL_NAMES, db: str | None = None, materialize: set[str] | frozenset = frozenset(),
+            location: str | None = None) -> dict[str, str]:
     """Expose models by name: temp views by default (lazy, like SQL views); models in ``materialize`` are written as
-    catalog tables (``saveAsTable``, overwrite) so nested readers do not recompute them. Returns name -> relation."""
+    external catalog tables at ``<location>/<db>/<name>`` (default: the warehouse folder), overwritten on reruns, so
+    nested readers do not recompute them. Returns name -> relation."""
     out = {}
     spark = models.t["tce_case"].sparkSession
     if db:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    root = (location or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
     for name in names:
         df = getattr(models, name)()
         if name in materialize:
             if not db:
                 raise ValueError("materialized models need a database")
-            df.write.mode("overwrite").saveAsTable(f"`{db}`.`{name}`")
+            (df.write.mode("overwrite").format("parquet").option("path", f"{root}/{db}/{name}")
+               .saveAsTable(f"`{db}`.`{name}`"))
             out[name] = f"{db}.{name}"
         else:
             df.createOrReplaceTempView(name)

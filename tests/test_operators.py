@@ -155,12 +155,13 @@ def test_rank_checked_global_path_with_expression_order(spark):
     assert forced.df.filter("label = 'Other'").first().ordinal == 401
 
 
-def test_publish_views_and_tables(spark):
+def test_publish_views_and_tables(spark, tmp_path):
     from tcelake.plans.models import Models, publish
     from tcelake.schema import SOURCE_SCHEMAS
     tables = {n: spark.createDataFrame([], s) for n, s in SOURCE_SCHEMAS.items()}
     tables["tce_case"] = spark.createDataFrame([("1.xml", "P", "1999", "1", "weeks", "1")], SOURCE_SCHEMAS["tce_case"])
-    out = publish(Models(tables), names=("dim_time", "tce_by_year"), db="pubdb", materialize={"tce_by_year"})
+    out = publish(Models(tables), names=("dim_time", "tce_by_year"), db="pubdb", materialize={"tce_by_year"},
+                  location=str(tmp_path))
     assert out == {"dim_time": "dim_time", "tce_by_year": "pubdb.tce_by_year"}
     assert spark.sql("SELECT decade FROM dim_time").first().decade == "1990s"
     assert spark.table("pubdb.tce_by_year").first().tce_count == 1
