@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from tcelake.schema import CORRUPT_COLUMN, ROOT_TAG, document_ddl
 
-# Charsets the built-in ``decode`` accepts; anything else is decoded as UTF-8.
-_CHARSETS = ("UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
 _ALIASES = {"LATIN1": "ISO-8859-1", "LATIN-1": "ISO-8859-1", "ISO8859-1": "ISO-8859-1", "ASCII": "US-ASCII",
             "UTF8": "UTF-8"}
 
@@ -25,22 +23,38 @@ def parse_options() -> dict[str, str]:
 
 
 def declared_encoding(content: Column) -> Column:
-    """Upper-cased ``encoding="..."`` of the XML declaration (first 200 bytes), default UTF-8."""
-    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
-    enc = F.upper(F.regexp_extract(head, r"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']", 1))
-    out = F.when(enc == "", F.lit("UTF-8"))
+    """Encoding of the bytes: a byte-order mark wins (UTF-8 / UTF-16 LE / UTF-16 BE), else the upper-cased
+    ``encoding="..."`` of the XML declaration (first 200 bytes), else UTF-8."""
+    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")          # every byte decodes in ISO-8859-1
+    declared = F.upper(F.regexp_extract(head, r"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']", 1))
+    bom3, bom2 = F.hex(F.substring(content, 1, 3)), F.hex(F.substring(content, 1, 2))
+    out = (F.when(bom3 == "EFBBBF", F.lit("UTF-8-BOM"))
+            .when(bom2 == "FEFF", F.lit("UTF-16BE-BOM"))
+            .when(bom2 == "FFFE", F.lit("UTF-16LE-BOM"))
+            .when(declared == "", F.lit("UTF-8")))
     for alias, canon in _ALIASES.items():
-        out = out.when(enc == alias, F.lit(canon))
-    return out.otherwise(enc)
+        out = out.when(declared == alias, F.lit(canon))
+    return out.otherwise(declared)
+
+
+_REST = 2147483647   # "to the end" for substring on binary
+
+
+def _utf8_or_null(b: Column) -> Column:
+    # Spark's decode raises on malformed input (it would fail the whole scan); a validity check turns a bad file into
+    # NULL text instead, which the parser quarantines as malformed, file by file.
+    s = b.cast("string")
+    return F.when(F.is_valid_utf8(s), s)
 
 
 def decode_declared(content: Column) -> Column:
-    """Decode bytes with their declared charset (CASE over literal charsets, so it stays a native expression)."""
+    """Decode bytes with their encoding (CASE over literal charsets: native, and only the matching branch runs)."""
     enc = declared_encoding(content)
-    out = None
-    for cs in _CHARSETS:
-        out = F.when(enc == cs, F.decode(content, cs)) if out is None else out.when(enc == cs, F.decode(content, cs))
-    return out.otherwise(F.decode(content, "UTF-8"))
+    return (F.when(enc == "UTF-8-BOM", _utf8_or_null(F.substring(content, 4, _REST)))
+             .when(enc == "UTF-16BE-BOM", F.decode(F.substring(content, 3, _REST), "UTF-16BE"))
+             .when(enc == "UTF-16LE-BOM", F.decode(F.substring(content, 3, _REST), "UTF-16LE"))
+             .when(enc == "ISO-8859-1", F.decode(content, "ISO-8859-1"))
+             .otherwise(_utf8_or_null(content)))   # UTF-8, US-ASCII and undeclared; other charsets must be valid UTF-8
 
 
 def trailing_content(text: Column, root: str = ROOT_TAG) -> Column:

@@ -69,6 +69,10 @@ def case_dir(tmp_path):
         (d / name).write_text(text, encoding="utf-8")
     (d / "latin1.xml").write_bytes('<?xml version="1.0" encoding="ISO-8859-1"?>\n<tce><patient><patientAlias>José'
                                    '</patientAlias></patient></tce>'.encode("iso-8859-1"))
+    (d / "u8bom.xml").write_bytes(b"\xef\xbb\xbf<tce><baselineYear>1998</baselineYear></tce>")
+    (d / "u16.xml").write_bytes('<?xml version="1.0" encoding="UTF-16"?><tce><baselineYear>2002</baselineYear>'
+                                '</tce>'.encode("utf-16"))
+    (d / "bad8.xml").write_bytes(b"<tce><baselineYear>19\xff\xfe99</baselineYear></tce>")   # invalid UTF-8
     (d / "sub").mkdir()
     (d / "sub" / "y.xml").write_text("<tce><baselineYear>1990</baselineYear></tce>")
     return str(d)

@@ -51,19 +51,19 @@ def test_batch_run(spark, case_dir, tmp_path):
         run(spark, case_dir, str(tmp_path / "strict"))
     out = str(tmp_path / "out")
     s = run(spark, case_dir, out, db="tce_run", strict=False)
-    assert s.files == 18 and s.quarantined == 5 and s.rows["tce_case"] == 13
-    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 13
+    assert s.files == 21 and s.quarantined == 6 and s.rows["tce_case"] == 15
+    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 15
     assert "measurement_type=CD4" in os.listdir(f"{out}/tce_measurements")
-    assert spark.table("tce_run.tce_case").count() == 13
+    assert spark.table("tce_run.tce_case").count() == 15
 
 
 def test_streaming_ingest_available_now(spark, case_dir, tmp_path):
     out, ckpt = str(tmp_path / "stream"), str(tmp_path / "ckpt")
     start_ingest(spark, case_dir, out, ckpt).awaitTermination()
-    assert read_dataset(spark, f"{out}/tce_case").count() == 13
+    assert read_dataset(spark, f"{out}/tce_case").count() == 15
     # a second run sees no new files and adds nothing
     start_ingest(spark, case_dir, out, ckpt).awaitTermination()
-    assert read_dataset(spark, f"{out}/tce_case").count() == 13
+    assert read_dataset(spark, f"{out}/tce_case").count() == 15
 
 
 def test_json_sources_and_price_report(spark, tmp_path):
@@ -123,7 +123,7 @@ def test_archive_members(spark, tmp_path, case_dir):
 def test_bucketed_batch_run_avoids_source_shuffles(spark, case_dir, tmp_path):
     from tcelake.plans.models import Models
     s = run(spark, case_dir, str(tmp_path / "bucketed"), db="tce_bkt", strict=False, buckets=4)
-    assert s.rows["tce_case"] == 13 and s.reports["fact_tce"] == 13
+    assert s.rows["tce_case"] == 15 and s.reports["fact_tce"] == 15
     tables = {n: spark.table(f"tce_bkt.{n}") for n in s.rows}
     m = Models(tables, strict=False)
     plan = m.measure_pivot().join(tables["tce_case"], "xml_filename")._jdf.queryExecution().executedPlan().toString()

@@ -7,9 +7,10 @@ from tcelake.operators.shred import shred_all
 from tcelake.sources.xml_docs import raw_files, xml_documents
 
 GOOD = {"1.xml", "emptyleaf.xml", "repeated.xml", "emptyparent.xml", "blank.xml", "emptyisolate.xml", "nodrugs.xml",
-        "unknownclass.xml", "dupdrug.xml", "twonodes.xml", "unknownelem.xml", "special.xml", "latin1.xml"}
+        "unknownclass.xml", "dupdrug.xml", "twonodes.xml", "unknownelem.xml", "special.xml", "latin1.xml",
+        "u8bom.xml", "u16.xml"}
 BAD = {"truncated.xml": "malformed", "notxml.xml": "malformed", "empty.xml": "malformed",
-       "trailing.xml": "trailing content", "wrapped.xml": "off-schema element"}
+       "trailing.xml": "trailing content", "wrapped.xml": "off-schema element", "bad8.xml": "malformed"}
 
 
 def _tables(spark, case_dir):
@@ -62,6 +63,7 @@ def test_leaf_semantics(spark, case_dir):
     assert c["special.xml"].schema_version == "a&b"               # entity
     assert c["latin1.xml"].patient_alias == "José"                # declared encoding honoured (T15)
     assert c["unknownelem.xml"].baseline_year == "2003"
+    assert c["u8bom.xml"].baseline_year == "1998" and c["u16.xml"].baseline_year == "2002"   # byte-order marks
 
 
 def test_measurement_truthiness(spark, case_dir):
