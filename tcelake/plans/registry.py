@@ -321,7 +321,7 @@ def archive_scan(spark, sf_dir):
     """Case documents packed into gzip tars (by key range), expanded again, parsed and shredded."""
     from tcelake.operators.shred import shred_case
     from tcelake.sources.archive import expand_archives, pack_archives
-    from tcelake.sources.xml_docs import parse_documents
+    from tcelake.sources.xml_docs import decode_declared, parse_documents
     text = _xml_text(spark, sf_dir)
     key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
     members = text.select((key / ARCHIVE_DOCS).cast("long").alias("archive_id"), "xml_filename",
@@ -329,7 +329,7 @@ def archive_scan(spark, sf_dir):
     archives = pack_archives(members, "archive_id", "xml_filename", "content")
     files = expand_archives(archives, "*.xml")
     docs, _ = parse_documents(files.select(F.col("member").alias("xml_filename"),
-                                           F.decode("content", "UTF-8").alias("text")), "xml_filename", "text")
+                                           decode_declared(F.col("content")).alias("text")), "xml_filename", "text")
     return shred_case(docs)
 
 
