@@ -285,8 +285,11 @@ def json_default_projection(spark, sf_dir):
 @register("json_brand_price", _PRODUCTS_CTE + """
 SELECT brand, round(avg(price), 2) AS avg_price FROM products GROUP BY brand ORDER BY avg_price DESC NULLS LAST""")
 def json_brand_price(spark, sf_dir):
-    from tcelake.plans.side_jobs import brand_price, projected_products
-    return brand_price(projected_products(spark, _products_uri(spark, sf_dir)))
+    """Product documents -> cleaned records (JSON lines) -> inferred read -> round(avg(price), 2) by brand."""
+    from tcelake.plans.side_jobs import brand_price, cleaned_products_roundtrip
+    from tcelake.session import scratch_dir
+    cleaned = cleaned_products_roundtrip(spark, _products_uri(spark, sf_dir), scratch_dir(spark, "products-clean"))
+    return brand_price(cleaned)
 
 
 _FEATURES_SQL = """

@@ -45,6 +45,15 @@ def projected_products(spark: SparkSession, uri: str, columns=KEEP_COLUMNS, defa
     return project_with_default(json_records(spark, uri, "products", multi_line), "record", columns, default)
 
 
+def cleaned_products_roundtrip(spark: SparkSession, docs_uri: str, cleaned_uri: str, columns=KEEP_COLUMNS,
+                               default: str = "N/A", multi_line: bool = False) -> DataFrame:
+    """The job's middle steps: keep ``columns`` (absent -> default), write the cleaned records as JSON lines, read them
+    back with schema inference (the table-function read of the cleaned file)."""
+    from tcelake.sinks.datasets import write_json_lines
+    write_json_lines(projected_products(spark, docs_uri, columns, default, multi_line), cleaned_uri)
+    return spark.read.json(cleaned_uri)
+
+
 def brand_price(projected: DataFrame) -> DataFrame:
     """``brand, round(avg(price), 2) AS avg_price`` ordered by avg_price DESC (NULLs last)."""
     return (projected.groupBy("brand")

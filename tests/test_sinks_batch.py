@@ -141,3 +141,13 @@ def test_streaming_batch_retry_is_idempotent(spark, case_dir, tmp_path):
     write(batch.filter(F.col("xml_filename") == "1.xml"), 8)
     cases = read_dataset(spark, f"{out}/tce_case")
     assert cases.filter("ingest_batch = 7").count() == 15 and cases.filter("ingest_batch = 8").count() == 1
+
+
+def test_cleaned_products_roundtrip(spark, tmp_path):
+    from tcelake.plans.side_jobs import cleaned_products_roundtrip
+    lines = tmp_path / "docs"
+    lines.mkdir()
+    (lines / "a.json").write_text('{"products":[{"brand":"A","price":1.0},{"price":3.0},{"brand":null,"price":5.0}]}\n')
+    back = cleaned_products_roundtrip(spark, str(lines), str(tmp_path / "clean"))
+    assert sorted(back.columns) == ["brand", "price"]
+    assert [tuple(r) for r in brand_price(back).collect()] == [(None, 5.0), ("N/A", 3.0), ("A", 1.0)]
