@@ -45,10 +45,12 @@ def global_rank_counted(df: DataFrame, order_cols: Sequence[str | Column], out:
     spark = df.sparkSession
     checkpoint_root(spark)
     order = _order_cols(order_cols)
-    # An explicit partition count (default: spark.sql.shuffle.partitions, sized by the cluster for its data) keeps the
-    # sort and the materialisation spread over tasks; AQE would coalesce a small range exchange into very few tasks.
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order)
+    # Partition count: explicit when given, or when spark.sql.shuffle.partitions is already small for the cores (it then
+    # keeps the sort and the materialisation spread over all tasks); otherwise AQE coalesces the range exchange by data
+    # size (adjacent partitions merge, order is kept; the partition id is read after the exchange, so tags stay right).
+    shuffle_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or (shuffle_n if shuffle_n <= 2 * spark.sparkContext.defaultParallelism else None)
+    ranged = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
     tagged = (ranged
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
