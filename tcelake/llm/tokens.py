@@ -9,6 +9,7 @@ with a special-token marker, which the library cuts out before it looks at words
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -17,6 +18,8 @@ import numpy as np
 MAX_WORDS = 1_000_000
 #: Punctuation that may end a word.
 ENDS = b".,;:!?%$&*#)"
+#: Words that normalization only lower-cases and the pre-tokenizer keeps whole.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -30,21 +33,35 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+        # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for characters from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.byte_chars = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
     def library(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
+    def merged(self, letters: str) -> bytes:
+        """Ids of one pre-token, in lower case and the byte-level alphabet, straight from the library's model."""
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= MAX_WORDS:
             self.clear()
         head = word.rstrip(ENDS)
         if len(head) < len(word) and head[-1:].isalpha():      # letters and punctuation never share a token
             ids = self[head] + self[word[len(head):]]
+        elif word.isalpha():                                  # ASCII letters: one pre-token
+            ids = self.merged(word.lower().decode())
+        elif LETTERS.fullmatch(text := word.decode("utf-8", "replace")):
+            ids = self.merged(text.lower().encode().decode("latin-1").translate(self.byte_chars))
         else:
-            ids = self.library(word.decode("utf-8", "replace"))
+            ids = self.library(text)
         self[word] = ids
         return ids
 

@@ -3,7 +3,7 @@
 A shard holds the ids of consecutive documents (ascending doc_id) as a wavelet matrix: one bit-plane per bit of an id,
 from the highest down; after each plane the ids are parted stably into those with a 0 and those with a 1. A directory of
 counts before every 512th bit gives rank; select walks the planes back. Access, counting and the places of a token
-need only the planes.
+need only the planes. A shard numbers the ids that occur in it (its alphabet), so it has as few planes as they need.
 
 A shard is one row of a Parquet file written by Spark (zstd-compressed, committed once, on any file system Spark
 knows). Shards are cut at document boundaries after ``shard_tokens`` ids, so a task's memory is bounded by a shard and
@@ -24,11 +24,11 @@ from tcelake.llm.tokens import binary_column, encoder
 
 BLOCK = 512
 SHARD = ("part int, before long, n_tokens long, n_bits int, doc_ids array<long>, lengths array<long>, "
-         "planes array<binary>, directory array<binary>, zeros array<long>")
+         "alphabet binary, planes array<binary>, directory array<binary>, zeros array<long>")
 
 
 class WaveletMatrix:
-    """Succinct sequence of unsigned integers with access, rank and select."""
+    """Succinct sequence of unsigned integers below 2 ** n_bits with access, rank and select."""
 
     def __init__(self, n: int, n_bits: int, planes: list, directory: list, zeros: list):
         self.n, self.n_bits, self.zeros = n, n_bits, list(zeros)
@@ -39,7 +39,7 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, n_bits: int) -> "WaveletMatrix":
         planes, directory, zeros = [], [], []
         for bit in reversed(range(n_bits)):
-            ones = (ids >> bit & 1).astype(bool)
+            ones = (ids & ids.dtype.type(1 << bit)) != 0
             packed = np.packbits(ones, bitorder="little")
             padded = np.zeros(-(-max(len(ids), 1) // BLOCK) * BLOCK // 8, dtype=np.uint8)
             padded[:len(packed)] = packed
@@ -96,7 +96,7 @@ class WaveletMatrix:
             low, high = (self.zeros[plane] + a, self.zeros[plane] + b) if one else (low - a, high - b)
         at = np.arange(low, high)
         for plane in reversed(range(self.n_bits)):
-            bits = np.unpackbits(self.planes[plane], bitorder="little", count=self.n).astype(bool)
+            bits = np.unpackbits(self.planes[plane], bitorder="little", count=self.n).view(bool)
             one = value >> (self.n_bits - 1 - plane) & 1
             at = np.flatnonzero(bits)[at - self.zeros[plane]] if one else np.flatnonzero(~bits)[at]
         return at
@@ -108,13 +108,14 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order, from the last plane up: every plane deals the order below it back to its zeros and ones."""
-        ids = np.zeros(self.n, dtype=np.uint32)
+        kind = np.uint16 if self.n_bits <= 16 else np.uint32
+        ids, above = np.zeros(self.n, dtype=kind), np.empty(self.n, dtype=kind)
         for plane in reversed(range(self.n_bits)):
-            ones = np.unpackbits(self.planes[plane], bitorder="little", count=self.n).astype(bool)
-            above = np.empty_like(ids)
-            above[~ones] = ids[:self.zeros[plane]]
-            above[ones] = ids[self.zeros[plane]:] | np.uint32(1 << (self.n_bits - 1 - plane))
-            ids = above
+            ones = np.unpackbits(self.planes[plane], bitorder="little", count=self.n).view(bool)
+            ids[self.zeros[plane]:] |= kind(1 << (self.n_bits - 1 - plane))
+            np.place(above, ones, ids[self.zeros[plane]:])
+            np.place(above, np.logical_not(ones, out=ones), ids[:self.zeros[plane]])
+            ids, above = above, ids
         return ids
 
 
@@ -134,13 +135,13 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return texts_of(docs).mapInArrow(encode, "doc_id long, ids binary").withMetadata("ids", {"bytes": 4 if wide else 2})
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_tokens: int = 1 << 22) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_tokens: int = 1 << 18) -> None:
     """Writes the wavelet shards of all documents, ascending doc_id (nulls first), as the Parquet folder ``path``.
 
     Repeated doc_ids keep a row each. An empty table writes a folder without shards."""
     tokens = token_ids(docs, tokenizer, end_id)
     kind = "<u4" if tokens.schema["ids"].metadata["bytes"] == 4 else "<u2"
-    n_bits = max(encoder(tokenizer).vocab_size - 1, end_id, 1).bit_length()
+    size = max(encoder(tokenizer).vocab_size, end_id + 1)
     # Written once: the range partitioning below samples its input, which must not encode everything a second time.
     tokens = written(tokens, "token-ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
@@ -149,14 +150,18 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
         from pyspark import TaskContext
         part, before, doc_ids, held, size = TaskContext.get().partitionId(), 0, [], [], 0
         schema = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("n_bits", pa.int32()),
-                            ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
+                            ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("alphabet", pa.binary()),
                             ("planes", pa.list_(pa.binary())), ("directory", pa.list_(pa.binary())),
                             ("zeros", pa.list_(pa.int64()))])
 
         def flush():
-            matrix = WaveletMatrix.build(np.concatenate(held), n_bits)
-            planes, directory, zeros = matrix.parts()
-            row = (part, before, matrix.n, n_bits, doc_ids, [len(x) for x in held], planes, directory, zeros)
+            ids = np.concatenate(held)
+            alphabet = np.flatnonzero(np.bincount(ids, minlength=size))
+            code = np.zeros(size, dtype=np.uint32 if len(alphabet) > 1 << 16 else np.uint16)
+            code[alphabet] = np.arange(len(alphabet))
+            matrix = WaveletMatrix.build(code[ids], max(len(alphabet) - 1, 1).bit_length())
+            row = (part, before, matrix.n, matrix.n_bits, doc_ids, [len(x) for x in held], alphabet.astype("<u4").tobytes(),
+                   *matrix.parts())
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
@@ -189,7 +194,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 at = {c: batch.column(i)[row] for i, c in enumerate(batch.schema.names)}
                 matrix = WaveletMatrix(at["n_tokens"].as_py(), at["n_bits"].as_py(), at["planes"].as_py(),
                                        at["directory"].as_py(), at["zeros"].as_py())
-                ids, lengths = matrix.decode().astype("<u4"), np.array(at["lengths"].as_py(), dtype=np.int64)
+                ids = np.frombuffer(at["alphabet"].as_py(), "<u4")[matrix.decode()]
+                lengths = np.array(at["lengths"].as_py(), dtype=np.int64)
                 ends = np.cumsum(lengths)
                 crc = [zlib.crc32(ids[e - n:e]) for e, n in zip(ends, lengths)]
                 yield pa.RecordBatch.from_arrays(
@@ -199,7 +205,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
     return shards.join(F.broadcast(first), "part").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2, shard_tokens: int = 1 << 22) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2, shard_tokens: int = 1 << 18) -> DataFrame:
     """Writes the shards of ``docs`` to the shared folder and returns what :func:`read_documents` finds in them."""
     spark = docs.sparkSession
     path = shared_path(spark, "wavelet")
