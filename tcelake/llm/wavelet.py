@@ -141,7 +141,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
     Repeated doc_ids keep a row each. An empty table writes a folder without shards."""
     tokens = token_ids(docs, tokenizer, end_id)
     kind = "<u4" if tokens.schema["ids"].metadata["bytes"] == 4 else "<u2"
-    size = max(encoder(tokenizer).vocab_size, end_id + 1)
+    n_ids = max(encoder(tokenizer).vocab_size, end_id + 1)
     # Written once: the range partitioning below samples its input, which must not encode everything a second time.
     tokens = written(tokens, "token-ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
@@ -156,8 +156,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
 
         def flush():
             ids = np.concatenate(held)
-            alphabet = np.flatnonzero(np.bincount(ids, minlength=size))
-            code = np.zeros(size, dtype=np.uint32 if len(alphabet) > 1 << 16 else np.uint16)
+            alphabet = np.flatnonzero(np.bincount(ids, minlength=n_ids))
+            code = np.zeros(n_ids, dtype=np.uint32 if len(alphabet) > 1 << 16 else np.uint16)
             code[alphabet] = np.arange(len(alphabet))
             matrix = WaveletMatrix.build(code[ids], max(len(alphabet) - 1, 1).bit_length())
             row = (part, before, matrix.n, matrix.n_bits, doc_ids, [len(x) for x in held], alphabet.astype("<u4").tobytes(),
