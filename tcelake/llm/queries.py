@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tcelake.llm import licenses, packing, pii, piece_codec, spotsigs, toxicity, wavelet
+from tcelake.llm import licenses, packing, pii, piece_codec, repeats, spotsigs, superminhash, toxicity, wavelet
 from tcelake.llm.common import documents, read_table
 
 
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir), word_vocabulary(), 2048), 2048)
 
 
+def op3_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal(repeats.removed_runs(documents(spark, sf_dir), least=100)).drop("kept")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -39,6 +43,10 @@ def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
                        spotsigs.pruned_jaccard(F.col("own"), F.col("next_own")).alias("near_next"))
 
 
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     grammar = toxicity.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -54,7 +62,7 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(documents(spark, sf_dir), word_vocabulary(), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_license_scan, op5_personal_data, op6_spot_signatures, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_maximal_repeats, op4_license_scan, op5_personal_data, op6_spot_signatures, op7_superminhash, op8_toxicity,
                                    op9_sentencepiece, op10_wavelet_shards)}
 
 #: A-Z lower-cased, then runs of letters, digits and everything beyond ASCII, as lists.

@@ -1,8 +1,8 @@
 """Token ids of whole texts from a `tokenizers` file, computed once per distinct space-separated word.
 
 The vocabulary file's pre-tokenizer never lets a token span white space, so the ids of a text are the ids of its words
-one after the other. Each worker keeps the ids of the words it has seen (a bounded table; it starts anew when full) and
-asks the library only for new words. Texts for which that does not hold word by word go to the library whole: those
+one after the other. Each worker keeps the ids of the words it has seen (two bounded generations: when the young one is
+full it becomes the old one) and asks the library only for new words. Texts for which that does not hold word by word go to the library whole: those
 with a special-token marker, which the library cuts out before it looks at words.
 """
 
@@ -14,8 +14,8 @@ from array import array
 
 import numpy as np
 
-#: Words kept per worker: bounds its memory, has no effect on results.
-MAX_WORDS = 1_000_000
+#: Words kept per worker and generation: bounds its memory, has no effect on results.
+MAX_WORDS = 800_000
 #: Punctuation that may end a word.
 ENDS = b".,;:!?%$&*#)"
 #: Words that normalization only lower-cases and the pre-tokenizer keeps whole.
@@ -28,6 +28,7 @@ class WordEncoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.old: dict[bytes, bytes] = {}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,7 +53,11 @@ class WordEncoder(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= MAX_WORDS:
+            self.old = dict(self)
             self.clear()
+        if word in self.old:
+            ids = self[word] = self.old[word]
+            return ids
         head = word.rstrip(ENDS)
         if len(head) < len(word) and head[-1:].isalpha():      # letters and punctuation never share a token
             ids = self[head] + self[word[len(head):]]

@@ -143,7 +143,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
     kind = "<u4" if tokens.schema["ids"].metadata["bytes"] == 4 else "<u2"
     n_ids = max(encoder(tokenizer).vocab_size, end_id + 1)
     # Written once: the range partitioning below samples its input, which must not encode everything a second time.
-    tokens = written(tokens, "token-ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    tokens = written(tokens, "token-ids", "snappy").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
     def build(batches: Iterator) -> Iterator:
         import pyarrow as pa
