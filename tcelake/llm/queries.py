@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tcelake.llm import licenses, packing, pii, piece_codec, repeats, spotsigs, superminhash, toxicity, wavelet
+from tcelake.llm import crosspolytope, licenses, packing, pii, piece_codec, repeats, spotsigs, superminhash, toxicity, wavelet
 from tcelake.llm.common import documents, read_table
 
 
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir), word_vocabulary(), 2048), 2048)
 
 
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op3_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal(repeats.removed_runs(documents(spark, sf_dir), least=100)).drop("kept")
 
@@ -62,7 +66,7 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(documents(spark, sf_dir), word_vocabulary(), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_maximal_repeats, op4_license_scan, op5_personal_data, op6_spot_signatures, op7_superminhash, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_cross_polytope, op3_maximal_repeats, op4_license_scan, op5_personal_data, op6_spot_signatures, op7_superminhash, op8_toxicity,
                                    op9_sentencepiece, op10_wavelet_shards)}
 
 #: A-Z lower-cased, then runs of letters, digits and everything beyond ASCII, as lists.
