@@ -74,29 +74,43 @@ def anchors(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
     return hashes[places[cuts]], starts[cuts], starts[np.append(cuts[1:], len(starts)) - 1] if len(starts) else starts
 
 
-def to_blocks(docs: DataFrame) -> DataFrame:
+def to_blocks(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Blocks of consecutive rows; with ``carry`` also ``rest``, all columns but the text, as an Arrow stream."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
-        number, doc_ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
+        number, doc_ids, texts, rest, size = TaskContext.get().partitionId() << 32, [], [], [], 0
 
         def block():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([size]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary()))],
-                names=["block", "n_bytes", "doc_ids", "texts"])
+            columns = [pa.array([number]), pa.array([size]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary()))]
+            if carry:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rest[0].schema) as stream:
+                    for part in rest:
+                        stream.write_batch(part)
+                columns.append(pa.array([sink.getvalue().to_pybytes()], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["block", "n_bytes", "doc_ids", "texts", "rest"][:len(columns)])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            others, begin = batch.select(batch.schema.names[2:]), 0
+            for at, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()), start=1):
                 doc_ids.append(doc_id)
                 texts.append(text)
                 size += len(text)
                 if size >= BLOCK_BYTES:
+                    rest.append(others.slice(begin, at - begin))
                     yield block()
-                    number, doc_ids, texts, size = number + 1, [], [], 0
+                    number, doc_ids, texts, rest, size, begin = number + 1, [], [], [], 0, at
+            if begin < batch.num_rows:
+                rest.append(others.slice(begin))
         if texts:
             yield block()
 
-    return texts_of(docs).mapInArrow(run, BLOCKS)
+    own = texts_of(docs)
+    if carry:                # under names of their own: the table's columns may be named like anything
+        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                          *[F.col(f"`{c}`").alias(f"rest_{n}") for n, c in enumerate(docs.columns)  if c != "text"])
+    return own.mapInArrow(run, BLOCKS + ", rest binary" * carry)
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -326,7 +340,65 @@ def removed_runs(docs: DataFrame, least: int = 100) -> DataFrame:
     Null and empty texts and texts below ``least`` bytes have no runs. Rows without doc_id come before all others. Rows that
     share a doc_id count as one document: the smaller start is the earlier one, and equal texts under one doc_id keep theirs.
     Other columns are ignored; an empty table gives an empty one."""
-    blocks = written(to_blocks(docs), "blocks")
+    _, marks = _marks(docs, least)
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for ids, texts, runs, _ in _runs_by_block(batches):
+            runs = [[{"start": a, "end": b} for a, b in r] for r in runs]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(texts, pa.binary()),
+                 pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], names=["doc_id", "text", "runs"])
+
+    return marks.mapInArrow(cut, "doc_id long, text binary, runs array<struct<start: bigint, end: bigint>>")
+
+
+def without_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
+    """``docs`` with the repeats of :func:`removed_runs` cut out of ``text`` (a character cut apart goes as a whole); all rows and
+    other columns stay, null texts become empty."""
+    _, marks = _marks(docs, least, carry=True)
+    names, schema = docs.columns, docs.schema
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for _, texts, runs, rest in _runs_by_block(batches):
+            kept = [_kept(t, r).decode("utf-8", "ignore") for t, r in zip(texts, runs)]
+            others = pa.ipc.open_stream(rest).read_all().combine_chunks()
+            columns = iter(others.columns)
+            table = pa.table([pa.array(kept, pa.string()) if n == "text" else next(columns) for n in names], names=names)
+            yield from table.to_batches()
+
+    return marks.mapInArrow(cut, schema)
+
+
+def _kept(text: bytes, runs: list) -> bytes:
+    out, at = [], 0
+    for start, end in runs:
+        out.append(text[at:start])
+        at = end
+    return b"".join([*out, text[at:]])
+
+
+def _runs_by_block(batches: Iterator) -> Iterator[tuple[list, list, list, bytes | None]]:
+    """For each block its doc_ids, texts, runs to remove and carried columns."""
+    for batch in batches:
+        at = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+        for n in range(batch.num_rows):
+            ids, texts = at["doc_ids"][n].as_py(), at["texts"][n].as_py()
+            cover = np.frombuffer(b"".join(at["covers"][n].as_py() or []), "<i4").reshape(-1, 3)
+            mine = np.frombuffer(at["own"][n].as_py() or b"", PLACES)
+            mine = np.column_stack((mine["row"], mine["start"], mine["start"] + mine["length"].astype(np.int32)))
+            cover = np.concatenate((cover, mine))
+            cover = cover[np.argsort(cover[:, 0], kind="stable")]
+            cuts = np.searchsorted(cover[:, 0], np.arange(len(texts) + 1))
+            copies = set(at["copies"][n].as_py() or ())
+            runs = [[(0, len(t))] if k in copies else runs_of(cover[cuts[k]:cuts[k + 1], 1:]).tolist() for k, t in enumerate(texts)]
+            yield ids, texts, runs, at["rest"][n].as_py() if "rest" in at else None
+
+
+def _marks(docs: DataFrame, least: int, carry: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The written blocks, and the same with what is to be removed from them (``copies, covers, own``)."""
+    blocks = written(to_blocks(docs, carry), "blocks")
     n_bytes = blocks.agg(F.sum("n_bytes")).first()[0] or 0          # of the column of sizes alone
     buckets = max(8, -(-n_bytes // BUCKET_BYTES))
 
@@ -346,40 +418,12 @@ def removed_runs(docs: DataFrame, least: int = 100) -> DataFrame:
     firsts = names.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     copies = names.join(firsts, "digest").filter("doc_id > first").groupBy("block").agg(F.collect_list("row").alias("copies"))
     answers = written(repeated_anchors(blocks, least, buckets).join(copies, "block", "full"), "answers")
-    sent = written(surroundings(blocks.join(answers, "block"), least, buckets), "surroundings")
+    sent = written(surroundings(blocks.select("block", "doc_ids", "texts").join(answers, "block"), least, buckets), "surroundings")
     own = sent.filter("bucket < 0").select("block", F.col("covers").alias("own"))
     found = repeated_places(sent, least).groupBy("block").agg(F.collect_list("covers").alias("covers"))
     marks = written(answers.select("block", "copies").join(found, "block", "left").join(own, "block", "left"), "marks")
 
-    def cut(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        for batch in batches:
-            at = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
-            for n in range(batch.num_rows):
-                ids, texts = at["doc_ids"][n].as_py(), at["texts"][n].as_py()
-                cover = np.frombuffer(b"".join(at["covers"][n].as_py() or []), "<i4").reshape(-1, 3)
-                mine = np.frombuffer(at["own"][n].as_py() or b"", PLACES)
-                mine = np.column_stack((mine["row"], mine["start"], mine["start"] + mine["length"].astype(np.int32)))
-                cover = np.concatenate((cover, mine))
-                cover = cover[np.argsort(cover[:, 0], kind="stable")]
-                cuts = np.searchsorted(cover[:, 0], np.arange(len(texts) + 1))
-                copies = set(at["copies"][n].as_py() or ())
-                runs = [[(0, len(t))] if k in copies else runs_of(cover[cuts[k]:cuts[k + 1], 1:]).tolist() for k, t in enumerate(texts)]
-                runs = [[{"start": a, "end": b} for a, b in r] for r in runs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(texts, pa.binary()),
-                     pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], names=["doc_id", "text", "runs"])
-
-    return blocks.join(marks, "block", "left").select("doc_ids", "texts", "copies", "covers", "own").mapInArrow(
-        cut, "doc_id long, text binary, runs array<struct<start: bigint, end: bigint>>")
-
-
-def kept_bytes(text: bytes, runs: list) -> bytes:
-    out, at = [], 0
-    for run in runs:
-        out.append(text[at:run["start"]])
-        at = run["end"]
-    return b"".join([*out, text[at:]])
+    return blocks, blocks.join(marks, "block", "left").drop("n_bytes")
 
 
 def removal(rows: DataFrame) -> DataFrame:
@@ -388,7 +432,7 @@ def removal(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
         for batch in batches:
             texts, runs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            kept = [kept_bytes(t, r) for t, r in zip(texts, runs)]
+            kept = [_kept(t, [(x["start"], x["end"]) for x in r]) for t, r in zip(texts, runs)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([len(t) - len(k) for t, k in zip(texts, kept)], pa.int64()),
                  pa.array([len(r) for r in runs], pa.int64()), pa.array(kept, pa.binary()),

@@ -147,15 +147,17 @@ def text_score(text: str, grammar: Grammar, pattern: re.Pattern) -> float:
     return 1.0 - rest
 
 
-def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """``docs`` with a column ``score`` (0 to 1) more; null and empty texts get the prior. Repeated rows give a row each. ``docs``
-    may not have a column of that name."""
+def score(docs: DataFrame, grammar: Grammar, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` (0 to 1) more; null and empty texts get the prior. Repeated rows give a row each."""
+    if name in docs.columns:
+        raise ValueError(f"the table already has a column {name}")
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         pattern = grammar.pattern()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             scores = [text_score(t or "", grammar, pattern) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
