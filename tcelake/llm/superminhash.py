@@ -7,8 +7,9 @@ values are at most the step reached: large sets after two or three steps.
 
 Equal sets are one class, named by its smallest doc_id. Classes that agree in a whole band meet in a bucket. A bucket does
 not emit all its pairs: its classes are linked to one pivot (the class that meets most others), the links are verified on
-the full sets and joined into components, and only classes of one bucket that are still apart meet again: at new
-pivots while their pairs are many, then pair by pair, so that no link between different components is missed.
+the full sets and joined into components. Only buckets whose classes are then still apart are compared as a whole, block
+by block within tasks that give back links alone, so no link between different components is missed and no bucket's
+pairs are written out.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tcelake.llm.graph import components
 BANDS, BAND_SIZE = 25, 5
 PLACES = BANDS * BAND_SIZE
 CHUNK = 100_000          # elements whose permutations a task holds at a time
-PIVOT_ROUNDS = 8         # rounds of new pivots before the remaining pairs of a bucket are verified one by one
+BLOCK = 256              # classes of a bucket that a task compares with as many others
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,28 +177,52 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = members.join(pivots, "key").select((-F.col("top.low")).alias("p"), "id").filter("p <> id")
     ordered = lambda df: df.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
     links = written(verified(ordered(pairs), sets, percent), "links")
-    for turn in range(PIVOT_ROUNDS + 1):
-        labels = components(links)
-        named = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        sizes = named.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
-            F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares")).filter("squares < n * n")
-        apart = written(named.join(sizes, "key").select("key", "id", "component", "n", "squares"), "apart")
-        rows, left = apart.agg(F.count("*"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / (2 * F.col("n")))).first()
-        if not rows:
-            return _named(signs, classes, labels)
-        last = left <= 8 * rows or turn == PIVOT_ROUNDS
-        if last:                                       # few pairs are apart: all of them
-            p = apart.select("key", F.col("id").alias("p"), F.col("component").alias("pc"))
-            pairs = apart.join(p, "key").filter((F.col("id") < F.col("p")) & (F.col("component") != F.col("pc"))).select("p", "id")
-        else:                                          # a new pivot for each bucket
-            top = apart.groupBy("key").agg(F.max_by(F.struct(F.col("id").alias("p"), F.col("component").alias("pc")),
-                                                    F.xxhash64("id", F.lit(turn))).alias("top")).select("key", "top.*")
-            pairs = apart.join(top, "key").filter(F.col("component") != F.col("pc")).select("p", "id")
-        more = verified(ordered(pairs), sets, percent)
-        links = written(links.unionByName(more).distinct(), "links")
-        if last:
-            return _named(signs, classes, components(links))
-    raise AssertionError("unreachable")
+    labels = components(links)
+    named = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    # Buckets with classes still apart; in a bucket of two the only pair has been verified. Equal buckets count once.
+    alike = named.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("name"),
+                                     F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = alike.filter("n > 2 and low < high").groupBy("n", "name").agg(F.min("key").alias("key"))
+    apart = written(named.join(apart.select("key", "n"), "key"), "apart")
+    more = linked_apart(apart, sets, percent)
+    return _named(signs, classes, components(links.unionByName(more)))
+
+
+def linked_apart(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between different components within buckets ``key, id, component, n``, one for each two components and
+    pair of blocks. A bucket is dealt into blocks of about ``BLOCK`` classes by hash; a task compares two blocks by the
+    product of their shingle incidence matrices, and no pair leaves it but the links."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = apart.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    dealt = own.select("key", "id", "component", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
+        "key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(key, table):
+        import pyarrow as pa
+        ids, parts, block = (table[c].to_numpy() for c in ("id", "component", "own"))
+        shingle = table["shingles"].combine_chunks()
+        size = shingle.value_lengths().to_numpy().astype(np.int64)
+        names, column = np.unique(shingle.flatten().to_numpy(), return_inverse=True)
+        row = np.repeat(np.arange(len(ids)), size)
+        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        common = np.zeros((len(left), len(right)), dtype=np.float32)
+        step = max(1, 4_000_000 // len(ids))               # columns of the incidence matrix held at a time
+        order = np.argsort(column, kind="stable")
+        column, row = column[order], row[order]
+        for low in range(0, len(names), step):
+            at = slice(*np.searchsorted(column, (low, low + step)))
+            matrix = np.zeros((len(ids), min(step, len(names) - low)), dtype=np.float32)
+            matrix[row[at], column[at] - low] = 1
+            common += matrix[left] @ matrix[right].T
+        common = common.astype(np.int64)                   # sets below 2^24 shingles: counted exactly
+        union = size[left][:, None] + size[right][None, :] - common
+        x, y = np.nonzero((100 * common >= percent * union) & (parts[left][:, None] != parts[right][None, :]))
+        x, y = left[x], right[y]
+        pairs = np.sort(np.stack((parts[x], parts[y]), axis=1), axis=1)
+        first = np.unique(pairs, axis=0, return_index=True)[1] if len(x) else np.empty(0, dtype=np.int64)
+        return pa.table({"a": ids[x[first]], "b": ids[y[first]]})
+
+    return dealt.join(sets, "id").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def _named(signs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
