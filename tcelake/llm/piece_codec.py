@@ -22,7 +22,7 @@ from tcelake.llm.common import texts_of
 
 BLANK = "▁"
 LOCKSTEP = 48            # longest chunk, in symbols, for the lockstep agenda; longer ones use the heap
-MAX_CHUNKS = 600_000     # chunks kept per worker: bounds its memory, has no effect on results
+MAX_CHUNKS = 700_000     # chunks kept per worker and generation: bounds its memory, has no effect on results
 _CODECS: dict[str, "PieceCodec"] = {}
 
 
@@ -69,6 +69,7 @@ class PieceCodec:
         self.rank = {i: place[s] for i, s in score.items()}
         self.rank_of = np.full(size, -1, dtype=np.int64)
         self.rank_of[list(self.rank)] = list(self.rank.values())
+        self.old: dict[str, str] = {}
         self.seen: dict[str, str] = {}              # chunk -> its ids as decimal text
         self.cut = re.compile(f"\n[^{BLANK}\n]*|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
 
@@ -163,9 +164,11 @@ class PieceCodec:
     def learn(self, wanted: set[str]) -> None:
         """Encodes chunks not met before and compares them with the library."""
         new = [c for c in wanted if c not in self.seen]
-        if len(self.seen) + len(new) > MAX_CHUNKS:
-            self.seen.clear()
-            new = list(wanted)
+        if len(self.seen) + len(new) > MAX_CHUNKS:          # the young generation becomes the old one
+            self.old, self.seen, new = self.seen, {}, list(wanted)
+        if self.old:
+            self.seen.update((c, self.old[c]) for c in new if c in self.old)
+            new = [c for c in new if c not in self.old]
         # No piece holds the last two characters side by side: the last one is a chunk of its own.
         parted = {c: (c[:-1], c[-1]) for c in new if len(c) > 1 and c[-2:] not in self.spanned and c[-2] != BLANK}
         base = sorted({c for c in new if c not in parted}.union(*parted.values()), key=len)
