@@ -26,7 +26,7 @@ from tcelake.llm.graph import components
 BANDS, BAND_SIZE = 25, 5
 PLACES = BANDS * BAND_SIZE
 CHUNK = 100_000          # elements whose permutations a task holds at a time
-BLOCK = 256              # classes of a bucket that a task compares with as many others
+BLOCK = 1024             # classes of a bucket that a task compares with as many others
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
