@@ -65,7 +65,8 @@ def with_next(docs: DataFrame, rows_per_bucket: int = 10_000) -> DataFrame:
             F.array(*[F.lit(1 << s) for s in reversed(range(steps))]), F.lit(0),
             lambda at, step: F.when(F.get(bounds, at + step - 1) <= F.col("doc_id"), at + step).otherwise(at)), F.lit(0))
     own = texts_of(docs).withColumn("bucket", bucket)
-    firsts = own.groupBy("bucket").agg(F.min("doc_id").alias("first_id"))      # one row per bucket, doc_id alone is read
+    firsts = own.groupBy("bucket").agg(F.min(F.struct("doc_id")).alias("first"))    # one row per bucket, doc_id alone is read; null is smallest
+    firsts = firsts.select("bucket", F.col("first.doc_id").alias("first_id"))
     order = Window.orderBy("bucket")
     last = F.max("bucket").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     firsts = firsts.select("first_id", F.coalesce(F.lag("bucket").over(order), last).alias("into"),
