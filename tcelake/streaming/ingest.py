@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tcelake.operators.shred import shred_all
 from tcelake.plans.batch import PARTITIONED
-from tcelake.session import scratch_dir
 from tcelake.sources.xml_docs import decode_declared, parse_documents
 
 
@@ -56,7 +55,8 @@ def start_ingest(spark: SparkSession, input_uri: str, output_uri: str, checkpoin
                  glob: str = "*.xml", available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the incremental ingest; returns the StreamingQuery (``awaitTermination()`` for availableNow runs)."""
     stream = case_file_stream(spark, input_uri, glob, max_files_per_trigger)
-    ckpt = checkpoint_uri or scratch_dir(spark, "ingest-stream")
+    # The checkpoint belongs to the output: a second call on the same output goes on where the first one stopped.
+    ckpt = checkpoint_uri or f"{output_uri.rstrip('/')}/_checkpoint"
     w = stream.writeStream.foreachBatch(_append_batch(output_uri)).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

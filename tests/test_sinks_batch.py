@@ -22,7 +22,7 @@ def test_partitioned_write_register_prune_and_deprecate(spark, tmp_path):
     write_dataset(df, uri, partition_by=["measurement_type"])
     assert sorted(x for x in os.listdir(uri) if not x.startswith(("_", "."))) == [
         "measurement_type=CD4", "measurement_type=RNA"]
-    write_dataset(df.filter("measurement_type = 'RNA'"), uri, partition_by=["measurement_type"])  # rerun-safe
+    write_dataset(df.filter("measurement_type = 'RNA'"), uri, partition_by=["measurement_type"], dynamic=True)  # rerun-safe
     assert read_dataset(spark, uri).count() == 3
     st = register_tables(spark, "tdb", {"meas": uri}, partitions={"meas": ["measurement_type"]})
     assert st[0].partitions == 2
@@ -151,3 +151,24 @@ def test_cleaned_products_roundtrip(spark, tmp_path):
     back = cleaned_products_roundtrip(spark, str(lines), str(tmp_path / "clean"))
     assert sorted(back.columns) == ["brand", "price"]
     assert [tuple(r) for r in brand_price(back).collect()] == [(None, 5.0), ("N/A", 3.0), ("A", 1.0)]
+
+
+def test_full_rebuild_leaves_nothing_of_the_earlier_corpus(spark, tmp_path):
+    uri = str(tmp_path / "rebuilt")
+    write_dataset(spark.createDataFrame([("a", "RNA"), ("b", "CD4")], "xml_filename string, measurement_type string"), uri,
+                  partition_by=["measurement_type"])
+    write_dataset(spark.createDataFrame([("c", "RNA")], "xml_filename string, measurement_type string"), uri,
+                  partition_by=["measurement_type"])
+    assert [tuple(r) for r in read_dataset(spark, uri).select("xml_filename", "measurement_type").collect()] == [("c", "RNA")]
+
+
+def test_registering_again_reads_the_new_location_and_schema(spark, tmp_path):
+    from tcelake.sinks.catalog import register_tables
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    write_dataset(spark.range(3), first)
+    write_dataset(spark.range(7).selectExpr("id", "id * 2 AS twice"), second)
+    register_tables(spark, "tcelake_moved", {"t": first})
+    assert spark.table("tcelake_moved.t").count() == 3
+    register_tables(spark, "tcelake_moved", {"t": second})
+    assert spark.table("tcelake_moved.t").count() == 7 and spark.table("tcelake_moved.t").columns == ["id", "twice"]
+    spark.sql("DROP DATABASE tcelake_moved CASCADE")
