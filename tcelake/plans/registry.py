@@ -46,19 +46,19 @@ def relative_time_dim(spark, sf_dir):
     return models(spark, sf_dir).dim_relative_time()
 
 
-@register("case_fact", with_ctes("SELECT * FROM fact_tce", "fact_tce"))
+@register("case_fact", with_ctes("FROM fact", "fact"))
 def case_fact(spark, sf_dir):
     return models(spark, sf_dir).fact_tce()
 
 
 @register("case_dashboard", with_ctes(
-    "SELECT d.* FROM dash_all d JOIN popular p ON d.regimen_signature = p.regimen_signature",
-    "dash_all", "popular"))
+    "SELECT * EXCLUDE peers FROM dashboard WHERE peers >= 10 AND baseline_year IS NOT NULL", "dashboard"))
 def case_dashboard(spark, sf_dir):
     return models(spark, sf_dir).dashboard()
 
 
-@register("case_dashboard_all", with_ctes("SELECT * FROM dash_all", "dash_all"))
+@register("case_dashboard_all", with_ctes(
+    "SELECT * EXCLUDE peers FROM dashboard WHERE baseline_year IS NOT NULL", "dashboard"))
 def case_dashboard_all(spark, sf_dir):
     return models(spark, sf_dir).dashboard_unfiltered()
 
@@ -74,29 +74,31 @@ def class_counts(spark, sf_dir):
 
 
 @register("staged_measurements", with_ctes("""
-SELECT xml_filename, patient_alias, CAST(relative_date AS INTEGER) AS relative_date, measurement_type,
-       CAST(value AS DOUBLE) AS value, value_type
-FROM tce_measurements""", "tce_measurements"))
+SELECT format('{}.xml', l_orderkey) AS xml_filename, format('P{}', o_custkey) AS patient_alias,
+       CAST(rel_month AS INTEGER) AS relative_date, CAST(l_quantity AS DOUBLE) AS value,
+       if(l_returnflag = 'R', 'RNA', 'CD4') AS measurement_type,
+       if(l_returnflag = 'A', 'count', ['rawLoad', 'logLoad'][l_linenumber % 2 + 1]) AS value_type
+FROM lo WHERE l_returnflag <> 'N'""", "lo"))
 def staged_measurements(spark, sf_dir):
     return models(spark, sf_dir).stg_measurements()
 
 
-@register("measure_pivot_full_outer", with_ctes("SELECT * FROM meas", "meas"))
+@register("measure_pivot_full_outer", with_ctes("FROM measures", "measures"))
 def measure_pivot_full_outer(spark, sf_dir):
     return models(spark, sf_dir).measure_pivot_full_outer()
 
 
-@register("measure_pivot_single_pass", with_ctes("SELECT * FROM meas", "meas"))
+@register("measure_pivot_single_pass", with_ctes("FROM measures", "measures"))
 def measure_pivot_single_pass(spark, sf_dir):
     return models(spark, sf_dir).measure_pivot()
 
 
-@register("mutation_counts", with_ctes("SELECT * FROM mut", "mut"))
+@register("mutation_counts", with_ctes("FROM mutation_numbers", "mutation_numbers"))
 def mutation_counts(spark, sf_dir):
     return models(spark, sf_dir).baseline_mutation_counts()
 
 
-@register("union_distinct_dates", with_ctes("SELECT * FROM all_dates", "all_dates"))
+@register("union_distinct_dates", with_ctes("FROM file_dates", "file_dates"))
 def union_distinct_dates(spark, sf_dir):
     return models(spark, sf_dir).relative_dates(distinct=True)
 
@@ -353,7 +355,7 @@ def xml_class_counts(spark, sf_dir):
     return count_by(flags.select(class_label_signature().alias("class_signature")), ["class_signature"], "tce_count")
 
 
-@register("xml_case_fact", with_ctes("SELECT * FROM fact_tce", "fact_tce"))
+@register("xml_case_fact", with_ctes("FROM fact", "fact"))
 def xml_case_fact(spark, sf_dir):
     return _xml_models(spark, sf_dir).fact_tce()
 
