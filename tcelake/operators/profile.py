@@ -39,7 +39,7 @@ def _paths_of_batches(batches):
                 continue
             try:
                 root = ET.fromstring(content)
-            except ET.ParseError:
+            except (ET.ParseError, LookupError, ValueError):   # an unknown charset raises LookupError
                 continue  # malformed documents are reported by the quarantine, not profiled
             for p, n in _walk(root).items():
                 keys.append(key)

@@ -132,9 +132,25 @@ def _xml_text(spark, sf_dir) -> DataFrame:
     return driver_corpus(spark, sf_dir)
 
 
+def varied_documents(text: DataFrame) -> DataFrame:
+    """The case documents in forms that mean the same: of every 7th file the repeatable elements stand below two wrappers,
+    every 11th holds ``<tce>`` and closing tags in CDATA and comments, every 13th declares windows-1252 and ends with a
+    processing instruction."""
+    from tcelake.sources.xml_docs import DEEP_ELEMENTS
+    key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
+    x = F.col("xml")
+    x = F.when(key % 7 == 0, F.regexp_replace(x, rf"(?s)(<(?:{'|'.join(DEEP_ELEMENTS)})[\s/>].*)</tce>",
+                                              "<visit><part>$1</part></visit></tce>")).otherwise(x)
+    x = F.when(key % 11 == 0, F.regexp_replace(
+        x, r"</tce>\s*$", "<note><![CDATA[<tce></tce> <pastCD4>]]></note><!-- <aaMutation> --></tce>\n")).otherwise(x)
+    x = F.when(key % 13 == 0, F.concat(F.lit('<?xml version="1.0" encoding="windows-1252"?>\n'), x,
+                                       F.lit("\n<?checked yes?>"))).otherwise(x)
+    return text.select("xml_filename", x.alias("xml"))
+
+
 def _xml_docs(spark, sf_dir) -> DataFrame:
     from tcelake.sources.xml_docs import parse_documents
-    docs, _ = parse_documents(_xml_text(spark, sf_dir), "xml_filename", "xml")
+    docs, _ = parse_documents(varied_documents(_xml_text(spark, sf_dir)), "xml_filename", "xml")
     return docs
 
 
@@ -170,7 +186,7 @@ WHERE CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 = 0
    OR CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 59 = 0""", "tce_case"))
 def xml_quarantine(spark, sf_dir):
     from tcelake.sources.xml_docs import parse_documents
-    _, bad = parse_documents(damaged_documents(_xml_text(spark, sf_dir)), "xml_filename", "xml")
+    _, bad = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "xml")
     return bad.select("xml_filename", "reason")
 
 
@@ -181,7 +197,7 @@ WHERE CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 <> 0
 def xml_accepted_cases(spark, sf_dir):
     from tcelake.operators.shred import shred_case
     from tcelake.sources.xml_docs import parse_documents
-    docs, _ = parse_documents(damaged_documents(_xml_text(spark, sf_dir)), "xml_filename", "xml")
+    docs, _ = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "xml")
     return shred_case(docs)
 
 
@@ -327,7 +343,7 @@ def archive_scan(spark, sf_dir):
     from tcelake.operators.shred import shred_case
     from tcelake.sources.archive import expand_archives, pack_archives
     from tcelake.sources.xml_docs import decode_declared, parse_documents
-    text = _xml_text(spark, sf_dir)
+    text = varied_documents(_xml_text(spark, sf_dir))
     key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
     members = text.select((key / ARCHIVE_DOCS).cast("long").alias("archive_id"), "xml_filename",
                           F.encode("xml", "UTF-8").alias("content"))

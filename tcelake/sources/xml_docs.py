@@ -1,10 +1,11 @@
 """XML case-file scan: one file = one row = one document, parsed with the built-in ``from_xml``.
 
 * files: ``binaryFile`` over ``<dir>/<glob>`` (the glob is expanded non-recursively, like a directory listing of one
-  folder); the declared encoding is read from the first bytes and the content decoded with it;
-* parsing: PERMISSIVE with a corrupt-record column; a file that fails is routed whole to the quarantine frame, so a
-  bad file never contributes rows to any table (failure is per file);
-* trailing content after the root (a second root element) is also quarantined, as a strict XML parser rejects it.
+  folder); the encoding comes from the byte-order mark or the XML declaration;
+* parsing: PERMISSIVE with a corrupt-record column. Documents that differ from the documented shape (elements below a
+  wrapper, markup in CDATA or comments, something after the root, text ``from_xml`` cannot read) are given to a strict
+  parser, which brings the elements found at any depth to their documented place, in document order;
+* what the strict parser rejects goes whole to the quarantine frame, so a bad file never adds rows to any table.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tcelake.schema import CORRUPT_COLUMN, ROOT_TAG, document_ddl
+from tcelake.schema import CORRUPT_COLUMN, DOCUMENT_SHAPE, ROOT_TAG, document_ddl
 
 _ALIASES = {"LATIN1": "ISO-8859-1", "LATIN-1": "ISO-8859-1", "ISO8859-1": "ISO-8859-1", "ASCII": "US-ASCII",
             "UTF8": "UTF-8"}
@@ -24,8 +25,8 @@ def parse_options() -> dict[str, str]:
 
 def declared_encoding(content: Column) -> Column:
     """Encoding of the bytes: a byte-order mark wins (UTF-8 / UTF-16 LE / UTF-16 BE), else the upper-cased
-    ``encoding="..."`` of the XML declaration (first 200 bytes), else UTF-8."""
-    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")          # every byte decodes in ISO-8859-1
+    ``encoding="..."`` of the XML declaration, however long, else UTF-8."""
+    head = F.decode(content, "ISO-8859-1")          # every byte decodes in ISO-8859-1
     declared = F.upper(F.regexp_extract(head, r"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']", 1))
     bom3, bom2 = F.hex(F.substring(content, 1, 3)), F.hex(F.substring(content, 1, 2))
     out = (F.when(bom3 == "EFBBBF", F.lit("UTF-8-BOM"))
@@ -47,79 +48,123 @@ def _utf8_or_null(b: Column) -> Column:
     return F.when(F.is_valid_utf8(s), s)
 
 
+def _other_charset(contents, names):
+    """Bytes in the named charsets as text; null where the charset is unknown or the bytes are not valid in it."""
+    import pandas as pd
+
+    def text(content, name):
+        try:
+            return None if content is None else bytes(content).decode(name)
+        except (LookupError, UnicodeError):
+            return None
+    return pd.Series([text(c, n) for c, n in zip(contents, names)], dtype=object)
+
+
 def decode_declared(content: Column) -> Column:
-    """Decode bytes with their encoding (CASE over literal charsets: native, and only the matching branch runs)."""
+    """Decode bytes with their encoding: natively for UTF-8, UTF-16 and ISO-8859-1 (only the matching branch runs), in an
+    Arrow step that gets the bytes of the other files alone for every other declared charset."""
     enc = declared_encoding(content)
+    native = enc.isin("UTF-8-BOM", "UTF-16BE-BOM", "UTF-16LE-BOM", "ISO-8859-1", "UTF-8", "US-ASCII")
+    other = F.pandas_udf(_other_charset, "string")(F.when(~native, content), F.when(~native, enc))
     return (F.when(enc == "UTF-8-BOM", _utf8_or_null(F.substring(content, 4, _REST)))
              .when(enc == "UTF-16BE-BOM", F.decode(F.substring(content, 3, _REST), "UTF-16BE"))
              .when(enc == "UTF-16LE-BOM", F.decode(F.substring(content, 3, _REST), "UTF-16LE"))
              .when(enc == "ISO-8859-1", F.decode(content, "ISO-8859-1"))
-             .otherwise(_utf8_or_null(content)))   # UTF-8, US-ASCII and undeclared; other charsets must be valid UTF-8
-
+             .when(native, _utf8_or_null(content))
+             .otherwise(other))
 
-def trailing_content(text: Column, root: str = ROOT_TAG) -> Column:
-    """True when something other than whitespace/comments follows the root element, or a second root starts."""
-    body = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
-    opens = F.size(F.regexp_extract_all(body, F.lit(rf"<{root}(?=[\s/>])"), 0))
-    after = F.regexp_extract(body, rf"(?s)^.*</{root}\s*>(.*)$", 1)
-    return (opens > 1) | ~after.rlike(r"^\s*$")   # (trim() strips spaces only, not newlines)
 
-
-# Elements the reference finds at any depth (descendant search); the DDL sees them only at their documented position.
+# Elements found at any depth; the DDL sees them only at their documented position.
 DEEP_ELEMENTS = ("baselineRNA", "pastRNA", "followupRNA", "baselineCD4", "pastCD4", "followupCD4",
                  "baselineIsolate", "pastIsolate", "baselineNewTreatment", "pastRegimenTreatments")
+DEEP_CHILDREN = ("aaMutation",)                       # found at any depth below their parent
+_DEEP_TAG = rf"<({'|'.join(DEEP_ELEMENTS + DEEP_CHILDREN)})(?=[\s/>])"
+
+
+def _whole(text: Column, root: str) -> Column:
+    """True when the text is one root element with nothing but an XML declaration and white space around it."""
+    return (text.rlike(rf"^(<\?xml[^>]*\?>)?\s*<{root}[\s/>]") & text.rlike(rf"</{root}\s*>\s*$")
+            & (F.size(F.regexp_extract_all(text, F.lit(rf"<{root}(?=[\s/>])"), 0)) == 1))
+
+
+def needs_strict_parser(text: Column, doc: Column, root: str = ROOT_TAG) -> Column:
+    """True when ``from_xml`` may not have seen the document as a strict parser does: it failed, something stands around the
+    root, or the text opens another number of deep elements than the document holds at their documented places."""
+    n_text = F.size(F.regexp_extract_all(text, F.lit(_DEEP_TAG), 1))
+    n_doc = F.lit(0)
+    for tag in DEEP_ELEMENTS:
+        n_doc = n_doc + F.when(doc[tag].isNull(), 0).otherwise(F.size(doc[tag]))
+    for tag in ("baselineIsolate", "pastIsolate"):
+        per_isolate = F.transform(doc[tag], lambda n: F.when(n["aaMutation"].isNull(), 0).otherwise(F.size(n["aaMutation"])))
+        n_doc = n_doc + F.coalesce(F.aggregate(per_isolate, F.lit(0), lambda acc, x: acc + x), F.lit(0))
+    return text.isNotNull() & (doc[CORRUPT_COLUMN].isNotNull() | ~_whole(text, root) | (n_text != n_doc))
+
+
+def documented_form(text: str, root: str = ROOT_TAG) -> str | None:
+    """The document with only the documented elements, each at its documented place; None where it is not well-formed."""
+    import xml.etree.ElementTree as ET
+    from xml.sax.saxutils import escape
+    try:
+        tree = ET.fromstring(text)
+    except (ET.ParseError, ValueError):
+        return None
+
+    def element(node, name: str, spec: dict | None) -> str:
+        if spec is None:
+            inner = escape(node.text or "", {"\r": "&#13;"})
+        else:
+            parts = [element(c, leaf, None) for leaf in spec.get("leaves", ()) for c in node.findall(leaf)]
+            for child, below in spec.get("children", {}).items():
+                parts += [element(c, child, below) for c in node.iterfind(f".//{child}" if child in DEEP_CHILDREN else child)]
+            inner = "".join(parts)
+        return f"<{name}>{inner}</{name}>"
+
+    parts = [element(node, name, spec) for name, spec in DOCUMENT_SHAPE.items()
+             for node in tree.iterfind(f".//{name}" if name in DEEP_ELEMENTS else name)]
+    return f"<{root}>{''.join(parts)}</{root}>"
+
+
+def parsed_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None = None, root: str = ROOT_TAG) -> DataFrame:
+    """``xml_filename, doc, record, reason`` of a (key, text) frame: the parsed document, or the record with the reason
+    (``malformed``, ``trailing content``) where a strict parser rejects it."""
+    def reparse(texts):
+        import pandas as pd
+        return pd.Series([None if t is None else documented_form(t, root) for t in texts], dtype=object)
 
+    ddl = ddl or document_ddl()
 
-def _size0(arr: Column) -> Column:
-    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
-
-
-def off_schema_elements(text: Column, doc: Column) -> Column:
-    """True when the text opens more of the DEEP_ELEMENTS (or aaMutation) than the parsed document holds at their
-    documented positions, i.e. some sit deeper (e.g. inside a wrapper) where the DDL cannot see them."""
-    body = F.regexp_replace(text, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
-    names = F.regexp_extract_all(body, F.lit(r"<([A-Za-z_][\w.-]*)"), 1)
-
-    def n_raw(tag: str) -> Column:
-        return F.size(F.filter(names, lambda x: x == F.lit(tag)))
+    def parsed(c: Column) -> Column:
+        return F.from_xml(c, ddl, parse_options())
 
-    conds = [n_raw(t) > _size0(doc[t]) for t in DEEP_ELEMENTS]
-    parsed_mutations = F.lit(0)
-    for t in ("baselineIsolate", "pastIsolate"):
-        per_isolate = F.transform(doc[t], lambda iso: _size0(iso["aaMutation"]))     # NULL when no isolates
-        parsed_mutations = parsed_mutations + F.coalesce(
-            F.aggregate(per_isolate, F.lit(0), lambda acc, x: acc + x), F.lit(0))
-    conds.append(n_raw("aaMutation") > parsed_mutations)
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out
+    # Each parse sits in a generator so the optimizer cannot copy it into both the filter and the projection
+    # (that would parse every document twice).
+    first = df.select(F.col(key_col).alias("xml_filename"), F.col(text_col).alias("text"),
+                      F.explode(F.array(parsed(F.col(text_col)))).alias("seen"))
+    strict = first.withColumn("strict", needs_strict_parser(F.col("text"), F.col("seen"), root))
+    # Python gets the text of the flagged documents alone, a null for every other one.
+    strict = strict.withColumn("form", F.pandas_udf(reparse, "string")(F.when(F.col("strict"), F.col("text"))))
+    second = strict.select("xml_filename", "text", "strict", "form", "seen", F.explode(F.array(
+        F.when(F.col("strict"), parsed(F.col("form"))).otherwise(F.col("seen")))).alias("doc"))
+    reason = (F.when(F.col("text").isNull(), F.lit("malformed"))
+               .when(F.col("strict") & F.col("form").isNull() & F.col(f"seen.{CORRUPT_COLUMN}").isNull() & (F.length("text") > 0),
+                     F.lit("trailing content"))
+               .when(F.col("strict") & F.col("form").isNull(), F.lit("malformed"))
+               .when(F.col(f"doc.{CORRUPT_COLUMN}").isNotNull(), F.lit("malformed")))
+    second = second.withColumn("reason", reason)
+    return second.select("xml_filename", F.when(F.col("reason").isNull(), F.col("doc").dropFields(CORRUPT_COLUMN)).alias("doc"),
+                         F.when(F.col("reason").isNotNull(), F.col("text")).alias("record"), "reason")
+
+
+def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(docs: key + nested columns, quarantine: key, record, reason)."""
+    return (parsed.filter(F.col("reason").isNull()).select("xml_filename", "doc.*"),
+            parsed.filter(F.col("reason").isNotNull()).select("xml_filename", "record", "reason"))
 
 
 def parse_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None = None,
-                    root: str = ROOT_TAG, shape_guard: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Parse a (key, text) frame. Returns (docs: key + nested columns, quarantine: key, record, reason).
-
-    ``shape_guard`` also quarantines documents with DEEP_ELEMENTS outside their documented position (reason
-    ``off-schema element``), which the reference would still extract."""
-    ddl = ddl or document_ddl()
-    # The parse sits in a generator so the optimizer cannot copy it into both the filter and the projection
-    # (that would parse every document twice).
-    parsed = df.select(
-        F.col(key_col).alias("xml_filename"),
-        F.col(text_col).alias("__text"),
-        F.explode(F.array(F.from_xml(F.col(text_col), ddl, parse_options()))).alias("__doc"),
-    ).withColumn("__reason", F.when(F.col(f"__doc.{CORRUPT_COLUMN}").isNotNull() | F.col("__text").isNull(),
-                                    F.lit("malformed"))
-                              .when(trailing_content(F.col("__text"), root), F.lit("trailing content")))
-    if shape_guard:
-        parsed = parsed.withColumn("__reason", F.when(
-            F.col("__reason").isNull() & off_schema_elements(F.col("__text"), F.col("__doc")),
-            F.lit("off-schema element")).otherwise(F.col("__reason")))
-    docs = parsed.filter(F.col("__reason").isNull()).select("xml_filename", "__doc.*").drop(CORRUPT_COLUMN)
-    quarantine = parsed.filter(F.col("__reason").isNotNull()).select(
-        "xml_filename", F.col("__text").alias("record"), F.col("__reason").alias("reason"))
-    return docs, quarantine
+                    root: str = ROOT_TAG) -> tuple[DataFrame, DataFrame]:
+    """Parse a (key, text) frame. Returns (docs: key + nested columns, quarantine: key, record, reason)."""
+    return split_parsed(parsed_documents(df, key_col, text_col, ddl, root))
 
 
 def raw_files(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
@@ -139,14 +184,14 @@ def empty_files(spark: SparkSession, path: str, glob: str = "*.xml") -> list[str
 
 
 def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str | None = None,
-                  root: str = ROOT_TAG, shape_guard: bool = True, report_empty: bool = True
-                  ) -> tuple[DataFrame, DataFrame]:
+                  root: str = ROOT_TAG, report_empty: bool = True, once: bool = False) -> tuple[DataFrame, DataFrame]:
     """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files.
 
-    ``report_empty`` lists the folder once more on the driver to find zero-byte files (a scan never reads them); on an
-    object store with a very large folder this listing costs time, and it can be switched off."""
-    files = raw_files(spark, path, glob)
-    docs, quarantine = parse_documents(files, "xml_filename", "text", ddl, root, shape_guard)
+    With ``once`` the files are read and parsed now, once for both frames (see ``parse_once``). ``report_empty`` lists the
+    folder once more on the driver to find zero-byte files (a scan never reads them); on an object store with a very large
+    folder this listing costs time, and it can be switched off."""
+    parsed = parsed_documents(raw_files(spark, path, glob), "xml_filename", "text", ddl, root)
+    docs, quarantine = split_parsed(parse_once(parsed) if once else parsed)
     empty = empty_files(spark, path, glob) if report_empty else []
     if empty:
         rows = spark.createDataFrame([(n, "", "malformed") for n in empty],
@@ -156,8 +201,9 @@ def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str
 
 
 def parse_once(docs: DataFrame) -> DataFrame:
-    """Materialise parsed documents in the shared checkpoint folder, so the five shredders (and every model built on
-    them) read the parsed documents instead of re-reading and re-parsing the files."""
-    from tcelake.session import checkpoint_root
-    checkpoint_root(docs.sparkSession)
-    return docs.checkpoint(eager=True)
+    """Parsed documents written as nested Parquet to the shared checkpoint folder, so that the shredders and every model built
+    on them read only the elements they need instead of reading and parsing the files again."""
+    from tcelake.session import scratch_dir
+    path = scratch_dir(docs.sparkSession, "parsed")
+    docs.write.mode("overwrite").parquet(path)
+    return docs.sparkSession.read.schema(docs.schema).parquet(path)

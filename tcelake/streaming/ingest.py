@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tcelake.operators.shred import shred_all
 from tcelake.plans.batch import PARTITIONED
-from tcelake.sources.xml_docs import decode_declared, parse_documents
+from tcelake.sources.xml_docs import decode_declared, parse_once, parsed_documents, split_parsed
 
 
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -37,17 +37,13 @@ def _append_batch(output_uri: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         # Each micro-batch owns the partition ingest_batch=<id>, written in dynamic-overwrite mode: a batch that is
         # retried after a failure replaces its own output instead of appending it twice.
-        docs, quarantine = parse_documents(batch, "xml_filename", "text", shape_guard=True)
-        docs = docs.persist()   # one parse for the five shredders of this micro-batch
-        try:
-            frames = {"quarantine": quarantine, **shred_all(docs)}
-            for name, df in frames.items():
-                (df.withColumn("ingest_batch", F.lit(batch_id).cast("long"))
-                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("ingest_batch", *PARTITIONED.get(name, []))
-                   .parquet(f"{out}/{name}"))
-        finally:
-            docs.unpersist()
+        # The batch is parsed once for the quarantine and the five shredders.
+        docs, quarantine = split_parsed(parse_once(parsed_documents(batch, "xml_filename", "text")))
+        for name, df in {"quarantine": quarantine, **shred_all(docs)}.items():
+            (df.withColumn("ingest_batch", F.lit(batch_id).cast("long"))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("ingest_batch", *PARTITIONED.get(name, []))
+               .parquet(f"{out}/{name}"))
     return write
 
 

@@ -59,7 +59,12 @@ def case_dir(tmp_path):
                         "</baselineNewTreatment><baselineNewTreatment><drug><drugCode>DDD</drugCode>"
                         "<drugClass>INI</drugClass></drug></baselineNewTreatment></tce>",
         "unknownelem.xml": "<tce><extra>1</extra><baselineYear>2003</baselineYear></tce>",
-        "wrapped.xml": "<tce><wrap><baselineCD4><count>5</count></baselineCD4></wrap></tce>",
+        "wrapped.xml": "<tce><wrap><baselineCD4><count>5</count></baselineCD4><baselineIsolate><gene>RT</gene><set><aaMutation>"
+                       "<position>41</position></aaMutation></set></baselineIsolate></wrap><baselineIsolate><gene>PR</gene>"
+                       "</baselineIsolate><baselineNewTreatment><drug><drugCode>AAA</drugCode></drug><set><drug><drugCode>BBB"
+                       "</drugCode></drug></set></baselineNewTreatment></tce>",
+        "cdata.xml": "<tce><dateUnit><![CDATA[<tce>weeks]]></dateUnit><baselineYear>2004</baselineYear></tce><?done now?>",
+        "nocharset.xml": '<?xml version="1.0" encoding="x-none"?><tce><baselineYear>1999</baselineYear></tce>',
         "special.xml": "<tce><baselineYear>19<!-- c -->99</baselineYear><dateUnit><![CDATA[4.5]]></dateUnit>"
                        "<schemaVersion>a&amp;b</schemaVersion></tce>",
         "trailing.xml": "<tce><baselineYear>1999</baselineYear></tce><tce/>",
@@ -69,6 +74,10 @@ def case_dir(tmp_path):
         (d / name).write_text(text, encoding="utf-8")
     (d / "latin1.xml").write_bytes('<?xml version="1.0" encoding="ISO-8859-1"?>\n<tce><patient><patientAlias>José'
                                    '</patientAlias></patient></tce>'.encode("iso-8859-1"))
+    (d / "cp1252.xml").write_bytes('<?xml version="1.0" encoding="windows-1252"?><tce><patient><patientAlias>Zoë €'
+                                   '</patientAlias></patient></tce>'.encode("cp1252"))
+    (d / "longdecl.xml").write_bytes(f'<?xml version="1.0" {" " * 300} encoding="ISO-8859-1"?><tce><patient><patientAlias>José'
+                                     '</patientAlias></patient></tce>'.encode("iso-8859-1"))
     (d / "u8bom.xml").write_bytes(b"\xef\xbb\xbf<tce><baselineYear>1998</baselineYear></tce>")
     (d / "u16.xml").write_bytes('<?xml version="1.0" encoding="UTF-16"?><tce><baselineYear>2002</baselineYear>'
                                 '</tce>'.encode("utf-16"))

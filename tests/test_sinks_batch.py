@@ -51,19 +51,19 @@ def test_batch_run(spark, case_dir, tmp_path):
         run(spark, case_dir, str(tmp_path / "strict"))
     out = str(tmp_path / "out")
     s = run(spark, case_dir, out, db="tce_run", strict=False)
-    assert s.files == 21 and s.quarantined == 6 and s.rows["tce_case"] == 15
-    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 15
+    assert s.files == 25 and s.quarantined == 6 and s.rows["tce_case"] == 19
+    assert s.rows["tce_treatments"] > 0 and s.reports["fact_tce"] == 19
     assert "measurement_type=CD4" in os.listdir(f"{out}/tce_measurements")
-    assert spark.table("tce_run.tce_case").count() == 15
+    assert spark.table("tce_run.tce_case").count() == 19
 
 
 def test_streaming_ingest_available_now(spark, case_dir, tmp_path):
     out, ckpt = str(tmp_path / "stream"), str(tmp_path / "ckpt")
     start_ingest(spark, case_dir, out, ckpt).awaitTermination()
-    assert read_dataset(spark, f"{out}/tce_case").count() == 15
+    assert read_dataset(spark, f"{out}/tce_case").count() == 19
     # a second run sees no new files and adds nothing
     start_ingest(spark, case_dir, out, ckpt).awaitTermination()
-    assert read_dataset(spark, f"{out}/tce_case").count() == 15
+    assert read_dataset(spark, f"{out}/tce_case").count() == 19
 
 
 def test_json_sources_and_price_report(spark, tmp_path):
@@ -123,7 +123,7 @@ def test_archive_members(spark, tmp_path, case_dir):
 def test_bucketed_batch_run_avoids_source_shuffles(spark, case_dir, tmp_path):
     from tcelake.plans.models import Models
     s = run(spark, case_dir, str(tmp_path / "bucketed"), db="tce_bkt", strict=False, buckets=4)
-    assert s.rows["tce_case"] == 15 and s.reports["fact_tce"] == 15
+    assert s.rows["tce_case"] == 19 and s.reports["fact_tce"] == 19
     tables = {n: spark.table(f"tce_bkt.{n}") for n in s.rows}
     m = Models(tables, strict=False)
     plan = m.measure_pivot().join(tables["tce_case"], "xml_filename")._jdf.queryExecution().executedPlan().toString()
@@ -140,7 +140,7 @@ def test_streaming_batch_retry_is_idempotent(spark, case_dir, tmp_path):
     write(batch, 7)                                   # the same micro-batch retried after a failure
     write(batch.filter(F.col("xml_filename") == "1.xml"), 8)
     cases = read_dataset(spark, f"{out}/tce_case")
-    assert cases.filter("ingest_batch = 7").count() == 15 and cases.filter("ingest_batch = 8").count() == 1
+    assert cases.filter("ingest_batch = 7").count() == 19 and cases.filter("ingest_batch = 8").count() == 1
 
 
 def test_cleaned_products_roundtrip(spark, tmp_path):

@@ -8,9 +8,9 @@ from tcelake.sources.xml_docs import raw_files, xml_documents
 
 GOOD = {"1.xml", "emptyleaf.xml", "repeated.xml", "emptyparent.xml", "blank.xml", "emptyisolate.xml", "nodrugs.xml",
         "unknownclass.xml", "dupdrug.xml", "twonodes.xml", "unknownelem.xml", "special.xml", "latin1.xml",
-        "u8bom.xml", "u16.xml"}
+        "u8bom.xml", "u16.xml", "wrapped.xml", "cp1252.xml", "cdata.xml", "longdecl.xml"}
 BAD = {"truncated.xml": "malformed", "notxml.xml": "malformed", "empty.xml": "malformed",
-       "trailing.xml": "trailing content", "wrapped.xml": "off-schema element", "bad8.xml": "malformed"}
+       "trailing.xml": "trailing content", "nocharset.xml": "malformed", "bad8.xml": "malformed"}
 
 
 def _tables(spark, case_dir):
@@ -66,6 +66,19 @@ def test_leaf_semantics(spark, case_dir):
     assert c["u8bom.xml"].baseline_year == "1998" and c["u16.xml"].baseline_year == "2002"   # byte-order marks
 
 
+def test_elements_at_any_depth_and_valid_oddities(spark, case_dir):
+    _, _, t = _tables(spark, case_dir)
+    assert [(r["timepoint_tag"], r["value"]) for r in _rows(t["tce_measurements"], "wrapped.xml")] == [("baselineCD4", "5")]
+    iso = _rows(t["tce_isolates"], "wrapped.xml")                 # numbered in document order, whatever their depth
+    assert [(r["isolate_id"], r["gene"]) for r in sorted(iso, key=lambda r: r["isolate_id"])] == [
+        ("wrapped.xml_baseline_0", "RT"), ("wrapped.xml_baseline_1", "PR")]
+    assert [(r["gene"], r["position"]) for r in _rows(t["tce_mutations"], "wrapped.xml")] == [("RT", "41")]
+    assert [r["drug_code"] for r in _rows(t["tce_treatments"], "wrapped.xml")] == ["AAA"]      # drugs: direct children only
+    c = {r.xml_filename: r for r in t["tce_case"].collect()}
+    assert c["cp1252.xml"].patient_alias == "Zoë €" and c["longdecl.xml"].patient_alias == "José"
+    assert c["cdata.xml"].date_unit == "<tce>weeks" and c["cdata.xml"].baseline_year == "2004"
+
+
 def test_measurement_truthiness(spark, case_dir):
     _, _, t = _tables(spark, case_dir)
     rows = _rows(t["tce_measurements"], "blank.xml")
@@ -86,7 +99,7 @@ def test_isolate_and_treatment_edges(spark, case_dir):
 def test_profiler_reports_paths_and_off_schema(spark, case_dir):
     raw = raw_files(spark, case_dir)
     prof = {r.path: r for r in profile_paths(raw, "content", "xml_filename").collect()}
-    assert prof["tce"].n_docs == len(GOOD) + 1          # + wrapped.xml (well-formed, quarantined only by shape)
+    assert prof["tce"].n_docs == len(GOOD)
     assert prof["tce/extra"].in_schema is False
     assert prof["tce/wrap/baselineCD4"].in_schema is False
     assert prof["tce/followupRNA"].n_nodes == 2
