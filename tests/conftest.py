@@ -61,7 +61,7 @@ def case_dir(tmp_path):
         "unknownelem.xml": "<tce><extra>1</extra><baselineYear>2003</baselineYear></tce>",
         "wrapped.xml": "<tce><wrap><baselineCD4><count>5</count></baselineCD4><baselineIsolate><gene>RT</gene><set><aaMutation>"
                        "<position>41</position></aaMutation></set></baselineIsolate></wrap><baselineIsolate><gene>PR</gene>"
-                       "</baselineIsolate><baselineNewTreatment><drug><drugCode>AAA</drugCode></drug><set><drug><drugCode>BBB"
+                       "</baselineIsolate><baselineNewTreatment><drug><drugCode>AAA</drugCode><drugClass>NRTI</drugClass></drug><set><drug><drugCode>BBB"
                        "</drugCode></drug></set></baselineNewTreatment></tce>",
         "cdata.xml": "<tce><dateUnit><![CDATA[<tce>weeks]]></dateUnit><baselineYear>2004</baselineYear></tce><?done now?>",
         "nocharset.xml": '<?xml version="1.0" encoding="x-none"?><tce><baselineYear>1999</baselineYear></tce>',
