@@ -2,9 +2,10 @@
 
 Words become classes by small transducers: insults (learned: words and word beginnings), threats, targets, negations,
 reported speech. Composed over a clause they tell in which context an insult or threat stands; every context is an arc
-with a weight, the share of toxic texts among labelled texts with a match in it. Matched clauses are scored, not single
-words anywhere: a text's score is 1 - the product of (1 - weight) over its matches, with the prior where nothing
-matches.
+with a weight, the share of toxic texts among labelled texts with a match in it; threats, whose words are fixed and not
+learned, weigh by what that share is above the prior, the share among texts without any match. Matched clauses are
+scored, not single words anywhere: a text's score is 1 - (1 - prior) times the product of (1 - weight) over its distinct
+contexts, however often each occurs, as weights are fitted per text.
 
 Fitting uses at most ``sample_rows`` labelled texts (those with the smallest hash of doc_id, a documented bound), whose
 crc32(doc_id) mod 3 is not 1; scoring reads every whole text.
@@ -135,14 +136,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, support:
     n, bad = seen.pop("", (0, 0))
     n_insult, bad_insult = (sum(v[i] for k, v in seen.items() if k.startswith("insult")) for i in (0, 1))
     usual = (bad_insult + 0.5) / (n_insult + 1) if n_insult else 0.0
-    weights = {k: min(0.99, (b + 4 * usual) / (m + 4)) for k, (m, b) in seen.items()}     # few texts: near the usual weight
-    return Grammar(insults, beginnings, weights | {"": min(0.99, usual)}, bad / n if n else 0.0)
+    prior = bad / n if n else 0.0
+
+    def weight(context: str, m: int, b: int) -> float:
+        """Few texts: near the usual weight of insults, near none of threats."""
+        if context.startswith("insult"):
+            return min(0.99, (b + 4 * usual) / (m + 4))
+        share = min(0.99, (b + 4 * prior) / (m + 4))
+        return 1 - (1 - share) / (1 - prior) if share > prior else 0.0
+
+    return Grammar(insults, beginnings, {k: weight(k, *v) for k, v in seen.items()} | {"": min(0.99, usual)}, prior)
 
 
 def text_score(text: str, grammar: Grammar, pattern: re.Pattern) -> float:
     rest = 1.0 - min(grammar.prior, 0.3)
-    for context in contexts(text, pattern):
-        usual = grammar.arcs.get("", 0.0) if context.startswith("insult") else 0.5
+    for context in sorted(set(contexts(text, pattern))):      # sorted: the same float on every executor
+        usual = grammar.arcs.get("", 0.0) if context.startswith("insult") else 0.0
         rest *= 1.0 - grammar.arcs.get(context, usual)
     return 1.0 - rest
 

@@ -217,6 +217,26 @@ def test_toxicity(spark, odd, none):
     assert bare.insults == () and toxicity.score(docs, bare).filter("score >= 0.7").count() == 0
 
 
+def test_toxicity_of_long_clean_texts(spark):
+    """Clean texts stay clean however often they match; contexts seldom or never sampled are near the prior."""
+    def fitted(toxic):
+        docs = [(i, f"plain text {i}" + [" blork", ". they burn wood", "", "", "", ""][i % 6]) for i in range(600)]
+        return toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame([(i, int(toxic(i))) for i, _ in docs], "doc_id long, toxic int"))
+
+    threats = "he beat him at chess. they attack the hill. you shoot a film! she said they burn wood; you never hurt them. "
+    for every in (0, 5):             # no threat in a toxic text, or as many as texts without a match
+        grammar = fitted(lambda i: i % 6 == 0 or every and i // 6 % every == 0)
+        score = lambda text: toxicity.text_score(text, grammar, grammar.pattern())
+        assert grammar.insults == ("blork",) and (grammar.prior > 0.1) == (every > 0)
+        assert score("he beat him and they attack") < 0.3 and score(threats) == score(threats * 100) < 0.3
+        assert score("he blork") == score("he blork. " * 100) >= 0.7
+    grammar = fitted(lambda i: i % 6 == 0 or i % 6 == 1 and i // 6 % 5)      # most threats in toxic texts: they weigh
+    assert "blork" in grammar.insults and 0.7 < toxicity.text_score("you burn", grammar, grammar.pattern()) < 0.9
+    light = toxicity.Grammar(("blork",), (), {"insult": 0.1, "": 0.1}, 0.0)
+    assert toxicity.text_score("blork. " * 500, light, light.pattern()) == pytest.approx(0.1)
+
+
 def test_toxicity_contexts():
     pattern = toxicity.Grammar(("idiot",), (), {}, 0.0).pattern()
     assert toxicity.contexts("You are an idiot. He is not an idiot; she said idiot", pattern) == [
