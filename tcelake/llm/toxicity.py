@@ -25,14 +25,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tcelake.llm.common import texts_of, written
 
 WORD = re.compile(r"[^\W\d_]+")
-BREAK = re.compile(r"[.!?;\n]")
+#: Words of a clause: inner apostrophes belong to them.
+SPOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
+BREAKS = ".!?;\n"
+BREAK = re.compile(f"[{BREAKS}]")
 #: Words of the fixed transducers.
 THREATS = "kill hurt destroy beat attack burn shoot stab".split()
 TARGETS = "you your he she they him her them du dich euch tu te toi vous tú usted".split()
 NEGATIONS = "not never no nobody isn't aren't kein keine nicht pas jamais nunca ningún".split()
 REPORTS = "said says wrote claimed called quoted according reported sagte schrieb dit dijo escribió".split()
 PREFIXES = (4, 5, 6)     # lengths of word beginnings that may become insults
-CLAUSE = 200             # code points on either side of a match that a clause may reach
 
 
 class Grammar(NamedTuple):
@@ -50,24 +52,47 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
+def clauses(low: str, pattern: re.Pattern) -> Iterator[tuple[list[str], list[int]]]:
+    """The words of every clause that holds a match, and the matches' places among them. A clause reaches from break to break,
+    however long it is; every part of the text is looked at a fixed number of times."""
+    done = 0
+    while m := pattern.search(low, done):
+        start = max(low.rfind(b, done, m.start()) for b in BREAKS)
+        start = done if start < 0 else start + 1
+        stop = BREAK.search(low, m.end())
+        stop = stop.start() if stop else len(low)
+        words, places = [], []
+        for m in pattern.finditer(low, m.start(), stop):
+            words += SPOKEN.findall(low, start, m.start())
+            places.append(len(words))
+            words.append(m[0])
+            start = m.end()
+        yield words + SPOKEN.findall(low, start, stop), places
+        done = stop
+
+
 def contexts(text: str, pattern: re.Pattern) -> list[str]:
     """The context of every match: the state that the composed transducers are in at its place of its clause. Threats count
     only with a target in their clause."""
-    found, low = [], text.lower()
-    for m in pattern.finditer(low):
-        start, end = max(0, m.start() - CLAUSE), min(len(low), m.end() + CLAUSE)
-        before = WORD.findall(BREAK.split(low[start:m.start()])[-1])
-        after = WORD.findall(BREAK.split(low[m.end():end], maxsplit=1)[0])
-        negated = any(w in NEGATIONS for w in before[-3:])
-        reported = any(w in REPORTS for w in before)
-        targeted = any(w in TARGETS for w in before[-3:] + after[:3])
-        kind = "threat" if m[0] in THREATS else "insult"
-        if kind == "threat" and not targeted:
-            continue
-        found.append(kind + "_reported" * reported + "_negated" * negated + "_targeted" * targeted)
+    found = []
+    for words, places in clauses(text.lower().replace("\u2019", "'"), pattern):
+        first_report = next((i for i, w in enumerate(words) if _any_part(w, REPORTS)), len(words))
+        for at in places:
+            before, after = words[max(0, at - 3):at], words[at + 1:at + 4]
+            negated = any(_any_part(w, NEGATIONS) for w in before)
+            targeted = any(_any_part(w, TARGETS) for w in before + after)
+            kind = "threat" if words[at] in THREATS else "insult"
+            if kind == "threat" and not targeted:
+                continue
+            found.append(kind + "_reported" * (first_report < at) + "_negated" * negated + "_targeted" * targeted)
     return found
 
 
+def _any_part(word: str, own: list[str]) -> bool:
+    """Whether a word or a part of it beside an apostrophe (you're, qu'il) is one of these."""
+    return word in own or "'" in word and any(p in own for p in word.split("'"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, support: int = 6, precision: float = 0.95) -> Grammar:
     """Learns insults and arc weights from labelled texts that are not held out.
 

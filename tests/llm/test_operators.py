@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -244,6 +245,19 @@ def test_toxicity_contexts():
     assert toxicity.contexts("they burn wood", pattern) == ["threat_targeted"] and toxicity.contexts("burn wood", pattern) == []
 
 
+def test_toxicity_contexts_see_whole_clauses():
+    pattern = toxicity.Grammar(("idiot",), (), {}, 0.0).pattern()
+    far = "word " * 1000
+    assert toxicity.contexts(f"she said {far} idiot, idiot {far}. an idiot", pattern) == ["insult_reported"] * 2 + ["insult"]
+    assert toxicity.contexts(f"idiot {far} said", pattern) == ["insult"] == toxicity.contexts(f"said! idiot {far}", pattern)
+    assert toxicity.contexts("you aren't really an idiot", pattern) == ["insult_negated"]
+    assert toxicity.contexts("he isn\u2019t an idiot", pattern) == ["insult_negated_targeted"]
+    assert toxicity.contexts("you're an idiot's friend", pattern) == ["insult_targeted"]
+    assert toxicity.contexts("not" + " a" * 150 + " idiot " + "b" * 300 + " you", pattern) == ["insult_targeted"]
+    began = time.perf_counter()
+    assert len(toxicity.contexts("idiot you " * 100_000, pattern)) == 100_000 and time.perf_counter() - began < 10
+
+
 def test_sentencepiece(odd, none):
     import sentencepiece
     lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
