@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tcelake.llm import crosspolytope, licenses, packing, pii, piece_codec, repeats, spotsigs, superminhash, toxicity, wavelet
 
@@ -143,6 +144,22 @@ def test_spot_signatures(odd, none, spark):
     assert alike > 0.4 and [(r["a"], r["b"], r["similarity"]) for r in spotsigs.near_pairs(docs, 0.4).collect()] == [(1, 3, alike)]
 
 
+def test_spot_signature_pairs_by_brute_force(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    docs += [(10_000 * share + i, t[:len(t) * share // 100]) for i, t in docs[:80] if t for share in (55, 75, 85, 95)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    classes = {}
+    for r in docs.select("doc_id", spotsigs.signatures(F.col("text")).alias("own")).collect():
+        if r["own"]:
+            classes[tuple(r["own"])] = min(r["doc_id"], classes.get(tuple(r["own"]), r["doc_id"]))
+    sets = sorted((i, set(own)) for own, i in classes.items())
+    alike = {(a, b): len(x & y) / len(x | y) for n, (a, x) in enumerate(sets) for b, y in sets[n + 1:]}
+    for least in (0.5, 0.8):
+        expected = {p: s for p, s in alike.items() if s >= least}
+        found = [tuple(r) for r in spotsigs.near_pairs(docs, least).collect()]
+        assert len(expected) > 100 and len(found) == len(expected) and {(a, b): s for a, b, s in found} == expected
+
+
 def test_near_duplicates(odd, none, spark):
     got = {r["doc_id"]: r for r in superminhash.near_duplicates(odd, 2, 80).collect()}
     assert (got[5]["component_id"], got[5]["kept"], got[3]["kept"]) == (3, False, True)
