@@ -65,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: No SQL: fitting, tokenizing and packing have none. tests/llm checks the stages by brute force.
+#: No SQL: fitting, tokenizing and packing have none. tests/llm checks repeated passages by brute force, the other stages in part.
 ORACLE_SQL: str | None = None
 
 

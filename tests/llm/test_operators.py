@@ -112,6 +112,23 @@ def test_licenses(odd, none):
     assert "ArrowEval" not in licenses.scan(odd)._jdf.queryExecution().toString()
 
 
+def test_license_base_places_by_brute_force(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    docs += [(10_000, "under the mit license, Apache License (version 2): CC-BY-NC cc by nc under the MIT license"), (10_001, "under the mit licenses")]
+    expected = []
+    for doc_id, text in docs:
+        words = re.findall("[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        places = []
+        for label, phrase in licenses.BASE.items():
+            own = phrase.split()
+            places += [(i, label) for i in range(len(words)) if words[i:i + len(own)] == own]
+        at = [i for i, _ in places]
+        expected.append((doc_id, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({n for _, n in places}))))
+    got = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sum(e[2] > 0 for e in expected) > 2
+    assert rows(got, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("text,kinds", [
     ("a@b.c.d@e.f x@y@z.com", ["email", "email"]), ("1.2.3.4.5 999.1.1.1", ["ip"]), ("4539578763621486", ["card"]), ("4539578763621487", []),
     ("+1 (212) 555-0153", ["phone"]), ("+123", []), ("IBAN GB82 WEST 1234 5698 7654 32", ["iban"]), ("GB82 WEST 1234 5698 7654 33", []),

@@ -28,6 +28,27 @@ def test_stages(spark):
     assert {r["doc_id"] for r in by_stage["packing"].collect()} == kept
 
 
+def test_repeats_stage_by_brute_force(spark):
+    """The texts that the stage leaves, by plain Python over every window of 100 bytes."""
+    docs = read_table(spark, SF, "documents").limit(200)
+    docs = written(docs.dropDuplicates(["doc_id"]), "test-input")
+    seen, expected, n_cut = set(), {}, 0
+    for doc_id, text in sorted((r["doc_id"], r["text"] or "") for r in docs.collect()):
+        b = text.encode()
+        end, cover = 0, bytearray(len(b))
+        for i in range(len(b) - 99):
+            window = b[i:i + 100]
+            if window in seen:
+                cover[max(i, end):i + 100] = b"\1" * (i + 100 - max(i, end))
+                end = i + 100
+            seen.add(window)
+        n_cut += any(cover)
+        expected[doc_id] = bytes(c for c, m in zip(b, cover) if not m).decode("utf-8", "ignore")
+    got = {r["doc_id"]: r["text"] or "" for r in dict(P.STAGES)["repeats"](spark, docs, SF).collect()}
+    assert n_cut > 5 and got.keys() == expected.keys()
+    assert [i for i in got if got[i] != expected[i]] == []
+
+
 def test_stages_on_odd_tables(spark, odd, none):
     for docs in (odd, none):
         for _, stage in P.STAGES:
