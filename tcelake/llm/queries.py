@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tcelake.llm import crosspolytope, licenses, packing, pii, piece_codec, repeats, spotsigs, superminhash, toxicity, wavelet
+from tcelake.llm import (crosspolytope, filter_audit, fmindex, licenses, packing, pii, piece_codec, repeats, spotsigs, sql, superminhash, toxicity,
+                         wavelet, winnowing)
 from tcelake.llm.common import documents, read_table
 
 
@@ -66,11 +67,24 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(documents(spark, sf_dir), word_vocabulary(), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_cross_polytope, op3_maximal_repeats, op4_license_scan, op5_personal_data, op6_spot_signatures, op7_superminhash, op8_toxicity,
-                                   op9_sentencepiece, op10_wavelet_shards)}
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_fm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.collocations(read_table(spark, sf_dir, "documents", "lang", "text"))
+
 
-#: A-Z lower-cased, then runs of letters, digits and everything beyond ASCII, as lists.
-_WORDS = ("list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-          "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')")
+def op13_filter_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents", "doc_id", "lang", "text"),
+                              read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_cross_polytope, op3_maximal_repeats, op4_license_scan, op5_personal_data, op6_spot_signatures, op7_superminhash, op8_toxicity,
+                                   op9_sentencepiece, op10_wavelet_shards, op11_winnowing, op12_fm_collocations, op13_filter_potential)}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_cross_polytope": sql.EMBEDDINGS, "op7_superminhash": sql.NEAR_COPIES, "op11_winnowing": sql.CONTAMINATION,
+           "op12_fm_collocations": sql.COLLOCATIONS, "op13_filter_potential": sql.FILTER_AUDIT}
