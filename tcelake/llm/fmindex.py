@@ -15,6 +15,7 @@ wrongly is dropped by its sum.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +38,7 @@ SHARD = "lang string, words array<binary>, ids_bwt binary, reverse_bwt binary, o
 
 def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the keys and each key's dense rank."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     step = np.empty(len(key), dtype=np.int64)
     ordered = key[order]
     step[:1], step[1:] = 0, ordered[1:] != ordered[:-1]
@@ -57,14 +58,16 @@ def transform(ids: np.ndarray, depth: int = DEPTH) -> np.ndarray:
 
 
 class Direction:
-    """One transform with what ranks need: the first row of every symbol and the rows of each symbol's occurrences."""
+    """One transform with what ranks need: the first row of every symbol and, made when first asked for, the rows of each symbol's
+    occurrences."""
 
     def __init__(self, bwt: np.ndarray):
         self.bwt, self.n = bwt.astype(np.int64), len(bwt)
-        counts = np.bincount(self.bwt)
-        self.first = np.concatenate(([0], np.cumsum(counts)))
-        rows = np.argsort(self.bwt, kind="stable")
-        self.places = self.bwt[rows] * self.n + rows
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(self.bwt))))
+
+    @cached_property
+    def places(self) -> np.ndarray:
+        return np.sort(self.bwt * self.n + np.arange(self.n))
 
     def rank(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Occurrences of the symbols before the rows."""
