@@ -6,7 +6,6 @@ from tcelake.functions.scalar import (
     class_label_signature,
     convert_units,
     decade,
-    first_text,
     formatted_id,
     is_truthy,
     label_signature,
@@ -23,7 +22,6 @@ __all__ = [
     "class_label_signature",
     "convert_units",
     "decade",
-    "first_text",
     "formatted_id",
     "is_truthy",
     "label_signature",

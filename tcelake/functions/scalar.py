@@ -44,11 +44,6 @@ def is_truthy(col) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-def first_text(arr) -> Column:
-    """First element of a repeated leaf, NULL if absent (first occurrence wins)."""
-    return F.get(_c(arr), 0)
-
-
 def formatted_id(*parts) -> Column:
     """``a_b_c`` identifier from columns/literals."""
     return F.concat_ws("_", *[_c(p) for p in parts])

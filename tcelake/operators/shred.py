@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tcelake.functions.scalar import first_text, is_truthy
+from tcelake.functions.scalar import is_truthy
 
 # Fixed values of the reference: (element, measurement type, value fields) in extraction order.
 MEASUREMENT_ELEMENTS = [
@@ -31,19 +31,17 @@ def _nonnull(arr: Column, elem_type: str) -> Column:
 
 def patient_leaf(leaf: str) -> Column:
     """First ``patient/<leaf>`` over all ``patient`` elements (an empty ``<patient/>`` before a filled one is skipped)."""
-    per_patient = F.transform(F.col("patient"), lambda p: p[leaf])
-    present = F.filter(per_patient, lambda a: a.isNotNull())
-    return first_text(F.flatten(present))
+    return F.get(F.filter(F.transform(F.col("patient"), lambda p: p[leaf]), lambda a: a.isNotNull()), 0)
 
 
 def shred_case(docs: DataFrame) -> DataFrame:
     return docs.select(
         "xml_filename",
         patient_leaf("patientAlias").alias("patient_alias"),
-        first_text(F.col("baselineYear")).alias("baseline_year"),
+        F.col("baselineYear").alias("baseline_year"),
         patient_leaf("CD4NadirBeforeTCE").alias("cd4_nadir_before_tce"),
-        first_text(F.col("dateUnit")).alias("date_unit"),
-        first_text(F.col("schemaVersion")).alias("schema_version"),
+        F.col("dateUnit").alias("date_unit"),
+        F.col("schemaVersion").alias("schema_version"),
     )
 
 
@@ -54,7 +52,7 @@ _MEAS_T = "array<struct<timepoint_tag:string,measurement_type:string,relative_da
 def _measurement_row(tag: str, mtype: str, vf: str):
     def row(n):
         return F.struct(F.lit(tag).alias("timepoint_tag"), F.lit(mtype).alias("measurement_type"),
-                        first_text(n["relativeDate"]).alias("relative_date"), first_text(n[vf]).alias("value"),
+                        n["relativeDate"].alias("relative_date"), n[vf].alias("value"),
                         F.lit(vf).alias("value_type"))
     return row
 
@@ -99,10 +97,10 @@ def shred_isolates(docs: DataFrame) -> DataFrame:
     n = F.col("node")
     return _isolate_nodes(docs).select(
         "xml_filename", "patient_alias", "isolate_id", "isolate_type",
-        first_text(n["gene"]).alias("gene"), first_text(n["subtype"]).alias("subtype"),
-        first_text(n["relativeDate"]).alias("relative_date"), first_text(n["aaStart"]).alias("aa_start"),
-        first_text(n["aaStop"]).alias("aa_stop"), first_text(n["aaSequence"]).alias("aa_sequence"),
-        first_text(n["nucleotideSequence"]).alias("nucleotide_sequence"))
+        n["gene"].alias("gene"), n["subtype"].alias("subtype"),
+        n["relativeDate"].alias("relative_date"), n["aaStart"].alias("aa_start"),
+        n["aaStop"].alias("aa_stop"), n["aaSequence"].alias("aa_sequence"),
+        n["nucleotideSequence"].alias("nucleotide_sequence"))
 
 
 def shred_mutations(docs: DataFrame) -> DataFrame:
@@ -110,12 +108,12 @@ def shred_mutations(docs: DataFrame) -> DataFrame:
     n = F.col("node")
     iso = _isolate_nodes(docs).select(
         "xml_filename", "patient_alias", "isolate_id", "isolate_type",
-        first_text(n["gene"]).alias("gene"), first_text(n["relativeDate"]).alias("relative_date"),
+        n["gene"].alias("gene"), n["relativeDate"].alias("relative_date"),
         F.explode(n["aaMutation"]).alias("mut"))
     m = F.col("mut")
     return iso.select("xml_filename", "patient_alias", "isolate_id", "isolate_type", "gene", "relative_date",
-                      first_text(m["position"]).alias("position"), first_text(m["aminoAcid"]).alias("amino_acid"),
-                      first_text(m["mixtures"]).alias("mixtures"))
+                      m["position"].alias("position"), m["aminoAcid"].alias("amino_acid"),
+                      m["mixtures"].alias("mixtures"))
 
 
 def shred_treatments(docs: DataFrame) -> DataFrame:
@@ -129,23 +127,27 @@ def shred_treatments(docs: DataFrame) -> DataFrame:
                         F.explode(F.concat(*parts)).alias("t"))
     n = F.col("t.node")
     drugs = nodes.select("xml_filename", "patient_alias", F.col("t.treatment_type").alias("treatment_type"),
-                         first_text(n["relativeStartDate"]).alias("relative_start_date"),
-                         first_text(n["relativeStopDate"]).alias("relative_stop_date"),
-                         first_text(n["duration"]).alias("duration"), F.explode(n["drug"]).alias("drug"))
+                         n["relativeStartDate"].alias("relative_start_date"),
+                         n["relativeStopDate"].alias("relative_stop_date"),
+                         n["duration"].alias("duration"), F.explode(n["drug"]).alias("drug"))
     d = F.col("drug")
     return drugs.select("xml_filename", "patient_alias", "relative_start_date", "relative_stop_date", "duration",
-                        first_text(d["drugCode"]).alias("drug_code"), first_text(d["drugClass"]).alias("drug_class"),
+                        d["drugCode"].alias("drug_code"), d["drugClass"].alias("drug_class"),
                         "treatment_type")
 
 
+#: Table -> (shredder, document elements that it reads): a table shredded alone needs no others parsed.
+SHREDDERS = {
+    "tce_case": (shred_case, ("patient", "baselineYear", "dateUnit", "schemaVersion")),
+    "tce_measurements": (shred_measurements, ("patient", *[tag for tag, _, _ in MEASUREMENT_ELEMENTS])),
+    "tce_isolates": (shred_isolates, ("patient", *[tag for tag, _ in ISOLATE_ELEMENTS])),
+    "tce_mutations": (shred_mutations, ("patient", *[tag for tag, _ in ISOLATE_ELEMENTS])),
+    "tce_treatments": (shred_treatments, ("patient", *[tag for tag, _ in TREATMENT_ELEMENTS])),
+}
+
+
 def shred_all(docs: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "tce_case": shred_case(docs),
-        "tce_measurements": shred_measurements(docs),
-        "tce_isolates": shred_isolates(docs),
-        "tce_mutations": shred_mutations(docs),
-        "tce_treatments": shred_treatments(docs),
-    }
+    return {name: shred(docs) for name, (shred, _) in SHREDDERS.items()}
 
 
 def new_regimen_class_flags(docs: DataFrame, flags: dict[str, str]) -> DataFrame:
@@ -154,11 +156,11 @@ def new_regimen_class_flags(docs: DataFrame, flags: dict[str, str]) -> DataFrame
     drugs = F.flatten(F.transform(F.coalesce(F.col("baselineNewTreatment"), F.array().cast(
         docs.schema["baselineNewTreatment"].dataType)), lambda t: F.coalesce(t["drug"], F.array().cast(
             docs.schema["baselineNewTreatment"].dataType.elementType["drug"].dataType))))
-    coded = F.filter(drugs, lambda d: first_text(d["drugCode"]).isNotNull())
+    coded = F.filter(drugs, lambda d: d["drugCode"].isNotNull())
     cols = [F.when(F.exists(coded, _class_is(cls)), F.lit(1)).otherwise(F.lit(0)).alias(flag)
             for flag, cls in flags.items()]
     return docs.select("xml_filename", F.size(coded).alias("__n"), *cols).filter(F.col("__n") > 0).drop("__n")
 
 
 def _class_is(cls: str):
-    return lambda d: first_text(d["drugClass"]) == F.lit(cls)
+    return lambda d: d["drugClass"] == F.lit(cls)

@@ -125,7 +125,7 @@ def year_trend(spark, sf_dir):
     return reports.year_trend(models(spark, sf_dir).tce_by_year())
 
 
-# ---- XML round trip: mapped rows -> case documents (to_xml) -> parse (from_xml) -> shred ----------------------------
+# ---- XML round trip: mapped rows -> case documents (to_xml) -> parse -> shred ----------------------------
 def _xml_text(spark, sf_dir) -> DataFrame:
     """The case-file corpus of the driver directory (generated from the tables once, then read like input files)."""
     from tcelake.sources.driver_docs import driver_corpus
@@ -133,9 +133,13 @@ def _xml_text(spark, sf_dir) -> DataFrame:
 
 
 def varied_documents(text: DataFrame) -> DataFrame:
-    """The case documents in forms that mean the same: of every 7th file the repeatable elements stand below two wrappers,
-    every 11th holds ``<tce>`` and closing tags in CDATA and comments, every 13th declares windows-1252 and ends with a
-    processing instruction."""
+    """``xml_filename, content``: the case documents as files of many forms that mean the same to a strict reader.
+
+    Of every 7th file the repeatable elements stand below two wrappers; every 11th holds ``<tce>`` and closing tags in CDATA and
+    comments; every 17th has elements that are none of the documented ones (other case, another namespace) before the real ones;
+    of every 19th the first leaf is followed by a second one and holds a child element after its text. By their number
+    modulo 13 files declare and use windows-1252 (with letters beyond ASCII in an element nobody reads), UTF-16 with a byte-order
+    mark, ISO-8859-1, or UTF-8 with one."""
     from tcelake.sources.xml_docs import DEEP_ELEMENTS
     key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
     x = F.col("xml")
@@ -143,21 +147,35 @@ def varied_documents(text: DataFrame) -> DataFrame:
                                               "<visit><part>$1</part></visit></tce>")).otherwise(x)
     x = F.when(key % 11 == 0, F.regexp_replace(
         x, r"</tce>\s*$", "<note><![CDATA[<tce></tce> <pastCD4>]]></note><!-- <aaMutation> --></tce>\n")).otherwise(x)
-    x = F.when(key % 13 == 0, F.concat(F.lit('<?xml version="1.0" encoding="windows-1252"?>\n'), x,
-                                       F.lit("\n<?checked yes?>"))).otherwise(x)
-    return text.select("xml_filename", x.alias("xml"))
-
-
-def _xml_docs(spark, sf_dir) -> DataFrame:
+    x = F.when(key % 17 == 0, F.regexp_replace(
+        x, r"^<tce>", '<tce xmlns:o="urn:other"><BaselineYear>1</BaselineYear><o:dateUnit>years</o:dateUnit>'
+                      "<BASELINECD4><count>1</count></BASELINECD4><o:pastRNA><logLoad>1</logLoad></o:pastRNA>")).otherwise(x)
+    x = F.when(key % 19 == 0, F.regexp_replace(
+        x, r"<schemaVersion>([^<]*)</schemaVersion>",
+        "<schemaVersion>$1<b>0</b>0</schemaVersion><schemaVersion>second</schemaVersion>")).otherwise(x)
+    place = F.lit("<place>Zo\u00eb caf\u00e9</place></tce>")
+    named = lambda charset: F.concat(F.lit(f'<?xml version="1.0" encoding="{charset}"?>\n'),
+                                     F.regexp_replace(x, r"</tce>\s*$", place), F.lit("\n<?checked yes?>"))
+    # Both charsets have the bytes of ISO-8859-1 for these letters.
+    content = (F.when(key % 13 == 0, F.encode(named("windows-1252"), "ISO-8859-1"))
+                .when(key % 13 == 1, F.encode(named("UTF-16"), "UTF-16"))
+                .when(key % 13 == 2, F.encode(named("ISO-8859-1"), "ISO-8859-1"))
+                .when(key % 13 == 3, F.concat(F.unhex(F.lit("EFBBBF")), F.encode(x, "UTF-8")))
+                .otherwise(F.encode(x, "UTF-8")))
+    return text.select("xml_filename", content.alias("content"))
+
+
+def _xml_docs(spark, sf_dir, elements=None) -> DataFrame:
     from tcelake.sources.xml_docs import parse_documents
-    docs, _ = parse_documents(varied_documents(_xml_text(spark, sf_dir)), "xml_filename", "xml")
+    docs, _ = parse_documents(varied_documents(_xml_text(spark, sf_dir)), "xml_filename", "content", elements)
     return docs
 
 
 def _shredded(name: str) -> QueryFn:
     def q(spark, sf_dir):
-        from tcelake.operators.shred import shred_all
-        return shred_all(_xml_docs(spark, sf_dir))[name]
+        from tcelake.operators.shred import SHREDDERS
+        shred, elements = SHREDDERS[name]
+        return shred(_xml_docs(spark, sf_dir, elements))
     return q
 
 
@@ -166,39 +184,40 @@ for _q, _t in (("xml_case", "tce_case"), ("xml_measurements", "tce_measurements"
     register(_q, with_ctes(f"SELECT * FROM {_t}", _t))(_shredded(_t))
 
 
-def damaged_documents(text: DataFrame) -> DataFrame:
-    """The case documents with two kinds of damage: every 53rd file truncated mid-way, every 59th (not 53rd) followed
-    by a second root element. All documents are still parsed; the damaged ones must land in the quarantine."""
+def damaged_documents(docs: DataFrame) -> DataFrame:
+    """Case files of which every 53rd is truncated mid-way, every 59th is followed by a second root element, every 61st ends
+    with half a UTF-16 character after a UTF-16 byte-order mark and every 67th uses a prefix that it does not declare.
+    All files are still parsed; the damaged ones must land in the quarantine."""
     key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
-    x = F.col("xml")
-    damaged = (F.when(key % 53 == 0, F.substring(x, 1, (F.length(x) / 2).cast("int")))
-                .when(key % 59 == 0, F.concat(x, F.lit("\n<tce><baselineYear>0</baselineYear></tce>")))
+    x = F.col("content")
+    damaged = (F.when(key % 53 == 0, F.substring(x, 1, (F.octet_length(x) / 2).cast("int")))
+                .when(key % 61 == 0, F.concat(F.unhex(F.lit("FEFF")), F.encode(F.lit("<tce/>"), "UTF-16BE"), F.unhex(F.lit("D8"))))
+                .when(key % 67 == 0, F.encode(F.lit("<tce><a:b>1</a:b></tce>"), "UTF-8"))
+                .when(key % 59 == 0, F.encode(F.lit("<tce/><tce><baselineYear>0</baselineYear></tce>"), "UTF-8"))
                 .otherwise(x))
-    return text.select("xml_filename", damaged.alias("xml"))
+    return docs.select("xml_filename", damaged.alias("content"))
 
 
-@register("xml_quarantine", with_ctes("""
-SELECT xml_filename,
-       CASE WHEN CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 = 0 THEN 'malformed'
-            ELSE 'trailing content' END AS reason
-FROM tce_case
-WHERE CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 = 0
-   OR CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 59 = 0""", "tce_case"))
+_KEY = "CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT)"
+
+
+@register("xml_quarantine", with_ctes(f"""
+SELECT xml_filename, CASE WHEN {_KEY} % 53 = 0 OR {_KEY} % 61 = 0 OR {_KEY} % 67 = 0 THEN 'malformed' ELSE 'trailing content' END AS reason
+FROM tce_case WHERE {_KEY} % 53 = 0 OR {_KEY} % 59 = 0 OR {_KEY} % 61 = 0 OR {_KEY} % 67 = 0""", "tce_case"))
 def xml_quarantine(spark, sf_dir):
     from tcelake.sources.xml_docs import parse_documents
-    _, bad = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "xml")
+    _, bad = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "content", ())
     return bad.select("xml_filename", "reason")
 
 
-@register("xml_accepted_cases", with_ctes("""
-SELECT * FROM tce_case
-WHERE CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 53 <> 0
-  AND CAST(regexp_extract(xml_filename, '^(\\d+)', 1) AS BIGINT) % 59 <> 0""", "tce_case"))
+@register("xml_accepted_cases", with_ctes(f"""
+SELECT * FROM tce_case WHERE {_KEY} % 53 <> 0 AND {_KEY} % 59 <> 0 AND {_KEY} % 61 <> 0 AND {_KEY} % 67 <> 0""", "tce_case"))
 def xml_accepted_cases(spark, sf_dir):
-    from tcelake.operators.shred import shred_case
+    from tcelake.operators.shred import SHREDDERS
     from tcelake.sources.xml_docs import parse_documents
-    docs, _ = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "xml")
-    return shred_case(docs)
+    shred, elements = SHREDDERS["tce_case"]
+    docs, _ = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "content", elements)
+    return shred(docs)
 
 
 XML_PATHS_SQL = """
@@ -340,18 +359,15 @@ ARCHIVE_DOCS = 500   # case files per archive (archive id = order key range, so
 @register("archive_scan", with_ctes("SELECT * FROM tce_case", "tce_case"))
 def archive_scan(spark, sf_dir):
     """Case documents packed into gzip tars (by key range), expanded again, parsed and shredded."""
-    from tcelake.operators.shred import shred_case
+    from tcelake.operators.shred import SHREDDERS
     from tcelake.sources.archive import expand_archives, pack_archives
-    from tcelake.sources.xml_docs import decode_declared, parse_documents
-    text = varied_documents(_xml_text(spark, sf_dir))
+    from tcelake.sources.xml_docs import parse_documents
     key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
-    members = text.select((key / ARCHIVE_DOCS).cast("long").alias("archive_id"), "xml_filename",
-                          F.encode("xml", "UTF-8").alias("content"))
+    members = varied_documents(_xml_text(spark, sf_dir)).withColumn("archive_id", (key / ARCHIVE_DOCS).cast("long"))
     archives = pack_archives(members, "archive_id", "xml_filename", "content")
-    files = expand_archives(archives, "*.xml")
-    docs, _ = parse_documents(files.select(F.col("member").alias("xml_filename"),
-                                           decode_declared(F.col("content")).alias("text")), "xml_filename", "text")
-    return shred_case(docs)
+    shred, elements = SHREDDERS["tce_case"]
+    docs, _ = parse_documents(expand_archives(archives, "*.xml"), "member", "content", elements)
+    return shred(docs)
 
 
 # ---- end to end: case documents -> shred -> models -------------------------------------------------------------------
@@ -367,7 +383,7 @@ def xml_class_counts(spark, sf_dir):
     from tcelake.functions.scalar import CLASS_FLAGS, class_label_signature
     from tcelake.operators.aggregate import count_by
     from tcelake.operators.shred import new_regimen_class_flags
-    flags = new_regimen_class_flags(_xml_docs(spark, sf_dir), CLASS_FLAGS)
+    flags = new_regimen_class_flags(_xml_docs(spark, sf_dir, ("baselineNewTreatment",)), CLASS_FLAGS)
     return count_by(flags.select(class_label_signature().alias("class_signature")), ["class_signature"], "tce_count")
 
 

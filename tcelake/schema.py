@@ -1,14 +1,12 @@
-"""Schemas: the case-document DDL for ``from_xml`` and the five source tables.
+"""Schemas: the nested columns of a parsed case document and the five source tables.
 
-Every leaf is a STRING and every element that may repeat (or where the first occurrence must win) is an ARRAY, because
-``from_xml`` keeps the *last* occurrence for scalar fields while the reference reads the first.
+Every leaf is a STRING, its first occurrence; every element that may repeat is an ARRAY in document order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql.types import StringType, StructField, StructType
 
-CORRUPT_COLUMN = "_corrupt"
 ROOT_TAG = "tce"
 
 # Fixed element names of the case document (the documented shape; values must equal the reference's).
@@ -40,22 +38,19 @@ DOCUMENT_SHAPE: dict[str, object] = {
 
 def _element_ddl(spec: dict | None) -> str:
     if spec is None:
-        return "ARRAY<STRING>"
-    fields = [f"`{leaf}`: ARRAY<STRING>" for leaf in spec.get("leaves", [])]
+        return "STRING"
+    fields = [f"`{leaf}`: STRING" for leaf in spec.get("leaves", [])]
     for child, cspec in spec.get("children", {}).items():
         fields.append(f"`{child}`: {_element_ddl(cspec)}")
     return f"ARRAY<STRUCT<{', '.join(fields)}>>"
 
 
-def document_ddl(shape: dict[str, object] = DOCUMENT_SHAPE, corrupt: str | None = CORRUPT_COLUMN) -> str:
-    cols = [f"`{name}` {_element_ddl(spec)}" for name, spec in shape.items()]
-    if corrupt:
-        cols.append(f"`{corrupt}` STRING")
-    return ", ".join(cols)
+def document_ddl(shape: dict[str, object] = DOCUMENT_SHAPE) -> str:
+    return ", ".join(f"`{name}`: {_element_ddl(spec)}" for name, spec in shape.items())
 
 
 def document_paths(shape: dict[str, object] = DOCUMENT_SHAPE, root: str = ROOT_TAG) -> list[str]:
-    """Every element path the DDL can see (used to flag off-schema paths in the profiler)."""
+    """Every documented element path (used to flag off-schema paths in the profiler)."""
     out = [root]
 
     def walk(prefix: str, name: str, spec):

@@ -1,158 +1,116 @@
-"""XML case-file scan: one file = one row = one document, parsed with the built-in ``from_xml``.
+"""XML case-file scan: one file = one row = one document, read by a strict namespace-aware parser.
 
 * files: ``binaryFile`` over ``<dir>/<glob>`` (the glob is expanded non-recursively, like a directory listing of one
-  folder); the encoding comes from the byte-order mark or the XML declaration;
-* parsing: PERMISSIVE with a corrupt-record column. Documents that differ from the documented shape (elements below a
-  wrapper, markup in CDATA or comments, something after the root, text ``from_xml`` cannot read) are given to a strict
-  parser, which brings the elements found at any depth to their documented place, in document order;
-* what the strict parser rejects goes whole to the quarantine frame, so a bad file never adds rows to any table.
+  folder); the parser gets the bytes, so byte-order marks and declared charsets are its business;
+* parsing: one Arrow step per table wanted. Documents are parsed into a tree batch by batch and written straight into nested Arrow
+  columns of the documented shape, of the elements that are asked for only: names are compared as expanded names (case
+  and namespace count), elements of ``DEEP_ELEMENTS`` are taken at any depth in document order, and a leaf is the text of its first
+  occurrence up to its first child element;
+* what the parser rejects goes whole to the quarantine frame with the reason, so a bad file never adds rows to any table and
+  no bytes can fail the scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tcelake.schema import CORRUPT_COLUMN, DOCUMENT_SHAPE, ROOT_TAG, document_ddl
-
-_ALIASES = {"LATIN1": "ISO-8859-1", "LATIN-1": "ISO-8859-1", "ISO8859-1": "ISO-8859-1", "ASCII": "US-ASCII",
-            "UTF8": "UTF-8"}
-
-
-def parse_options() -> dict[str, str]:
-    return {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "ignoreSurroundingSpaces": "false"}
-
-
-def declared_encoding(content: Column) -> Column:
-    """Encoding of the bytes: a byte-order mark wins (UTF-8 / UTF-16 LE / UTF-16 BE), else the upper-cased
-    ``encoding="..."`` of the XML declaration, however long, else UTF-8."""
-    head = F.decode(content, "ISO-8859-1")          # every byte decodes in ISO-8859-1
-    declared = F.upper(F.regexp_extract(head, r"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']", 1))
-    bom3, bom2 = F.hex(F.substring(content, 1, 3)), F.hex(F.substring(content, 1, 2))
-    out = (F.when(bom3 == "EFBBBF", F.lit("UTF-8-BOM"))
-            .when(bom2 == "FEFF", F.lit("UTF-16BE-BOM"))
-            .when(bom2 == "FFFE", F.lit("UTF-16LE-BOM"))
-            .when(declared == "", F.lit("UTF-8")))
-    for alias, canon in _ALIASES.items():
-        out = out.when(declared == alias, F.lit(canon))
-    return out.otherwise(declared)
-
-
-_REST = 2147483647   # "to the end" for substring on binary
-
+from collections.abc import Iterable, Iterator
 
-def _utf8_or_null(b: Column) -> Column:
-    # Spark's decode raises on malformed input (it would fail the whole scan); a validity check turns a bad file into
-    # NULL text instead, which the parser quarantines as malformed, file by file.
-    s = b.cast("string")
-    return F.when(F.is_valid_utf8(s), s)
-
-
-def _other_charset(contents, names):
-    """Bytes in the named charsets as text; null where the charset is unknown or the bytes are not valid in it."""
-    import pandas as pd
-
-    def text(content, name):
-        try:
-            return None if content is None else bytes(content).decode(name)
-        except (LookupError, UnicodeError):
-            return None
-    return pd.Series([text(c, n) for c, n in zip(contents, names)], dtype=object)
-
-
-def decode_declared(content: Column) -> Column:
-    """Decode bytes with their encoding: natively for UTF-8, UTF-16 and ISO-8859-1 (only the matching branch runs), in an
-    Arrow step that gets the bytes of the other files alone for every other declared charset."""
-    enc = declared_encoding(content)
-    native = enc.isin("UTF-8-BOM", "UTF-16BE-BOM", "UTF-16LE-BOM", "ISO-8859-1", "UTF-8", "US-ASCII")
-    other = F.pandas_udf(_other_charset, "string")(F.when(~native, content), F.when(~native, enc))
-    return (F.when(enc == "UTF-8-BOM", _utf8_or_null(F.substring(content, 4, _REST)))
-             .when(enc == "UTF-16BE-BOM", F.decode(F.substring(content, 3, _REST), "UTF-16BE"))
-             .when(enc == "UTF-16LE-BOM", F.decode(F.substring(content, 3, _REST), "UTF-16LE"))
-             .when(enc == "ISO-8859-1", F.decode(content, "ISO-8859-1"))
-             .when(native, _utf8_or_null(content))
-             .otherwise(other))
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tcelake.schema import DOCUMENT_SHAPE, document_ddl
 
-# Elements found at any depth; the DDL sees them only at their documented position.
+# Elements found at any depth; all others are children of the root.
 DEEP_ELEMENTS = ("baselineRNA", "pastRNA", "followupRNA", "baselineCD4", "pastCD4", "followupCD4",
                  "baselineIsolate", "pastIsolate", "baselineNewTreatment", "pastRegimenTreatments")
 DEEP_CHILDREN = ("aaMutation",)                       # found at any depth below their parent
-_DEEP_TAG = rf"<({'|'.join(DEEP_ELEMENTS + DEEP_CHILDREN)})(?=[\s/>])"
-
-
-def _whole(text: Column, root: str) -> Column:
-    """True when the text is one root element with nothing but an XML declaration and white space around it."""
-    return (text.rlike(rf"^(<\?xml[^>]*\?>)?\s*<{root}[\s/>]") & text.rlike(rf"</{root}\s*>\s*$")
-            & (F.size(F.regexp_extract_all(text, F.lit(rf"<{root}(?=[\s/>])"), 0)) == 1))
-
-
-def needs_strict_parser(text: Column, doc: Column, root: str = ROOT_TAG) -> Column:
-    """True when ``from_xml`` may not have seen the document as a strict parser does: it failed, something stands around the
-    root, or the text opens another number of deep elements than the document holds at their documented places."""
-    n_text = F.size(F.regexp_extract_all(text, F.lit(_DEEP_TAG), 1))
-    n_doc = F.lit(0)
-    for tag in DEEP_ELEMENTS:
-        n_doc = n_doc + F.when(doc[tag].isNull(), 0).otherwise(F.size(doc[tag]))
-    for tag in ("baselineIsolate", "pastIsolate"):
-        per_isolate = F.transform(doc[tag], lambda n: F.when(n["aaMutation"].isNull(), 0).otherwise(F.size(n["aaMutation"])))
-        n_doc = n_doc + F.coalesce(F.aggregate(per_isolate, F.lit(0), lambda acc, x: acc + x), F.lit(0))
-    return text.isNotNull() & (doc[CORRUPT_COLUMN].isNotNull() | ~_whole(text, root) | (n_text != n_doc))
+_SLICE = 500                                          # documents whose trees become one output batch
 
 
-def documented_form(text: str, root: str = ROOT_TAG) -> str | None:
-    """The document with only the documented elements, each at its documented place; None where it is not well-formed."""
+def parse_tree(content: bytes | str):
+    """``(root, None)`` of a well-formed document, else ``(None, reason)``; never raises for any content."""
     import xml.etree.ElementTree as ET
-    from xml.sax.saxutils import escape
+    from xml.parsers.expat import errors
     try:
-        tree = ET.fromstring(text)
-    except (ET.ParseError, ValueError):
-        return None
-
-    def element(node, name: str, spec: dict | None) -> str:
-        if spec is None:
-            inner = escape(node.text or "", {"\r": "&#13;"})
-        else:
-            parts = [element(c, leaf, None) for leaf in spec.get("leaves", ()) for c in node.findall(leaf)]
-            for child, below in spec.get("children", {}).items():
-                parts += [element(c, child, below) for c in node.iterfind(f".//{child}" if child in DEEP_CHILDREN else child)]
-            inner = "".join(parts)
-        return f"<{name}>{inner}</{name}>"
-
-    parts = [element(node, name, spec) for name, spec in DOCUMENT_SHAPE.items()
-             for node in tree.iterfind(f".//{name}" if name in DEEP_ELEMENTS else name)]
-    return f"<{root}>{''.join(parts)}</{root}>"
-
-
-def parsed_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None = None, root: str = ROOT_TAG) -> DataFrame:
-    """``xml_filename, doc, record, reason`` of a (key, text) frame: the parsed document, or the record with the reason
-    (``malformed``, ``trailing content``) where a strict parser rejects it."""
-    def reparse(texts):
-        import pandas as pd
-        return pd.Series([None if t is None else documented_form(t, root) for t in texts], dtype=object)
-
-    ddl = ddl or document_ddl()
-
-    def parsed(c: Column) -> Column:
-        return F.from_xml(c, ddl, parse_options())
-
-    # Each parse sits in a generator so the optimizer cannot copy it into both the filter and the projection
-    # (that would parse every document twice).
-    first = df.select(F.col(key_col).alias("xml_filename"), F.col(text_col).alias("text"),
-                      F.explode(F.array(parsed(F.col(text_col)))).alias("seen"))
-    strict = first.withColumn("strict", needs_strict_parser(F.col("text"), F.col("seen"), root))
-    # Python gets the text of the flagged documents alone, a null for every other one.
-    strict = strict.withColumn("form", F.pandas_udf(reparse, "string")(F.when(F.col("strict"), F.col("text"))))
-    second = strict.select("xml_filename", "text", "strict", "form", "seen", F.explode(F.array(
-        F.when(F.col("strict"), parsed(F.col("form"))).otherwise(F.col("seen")))).alias("doc"))
-    reason = (F.when(F.col("text").isNull(), F.lit("malformed"))
-               .when(F.col("strict") & F.col("form").isNull() & F.col(f"seen.{CORRUPT_COLUMN}").isNull() & (F.length("text") > 0),
-                     F.lit("trailing content"))
-               .when(F.col("strict") & F.col("form").isNull(), F.lit("malformed"))
-               .when(F.col(f"doc.{CORRUPT_COLUMN}").isNotNull(), F.lit("malformed")))
-    second = second.withColumn("reason", reason)
-    return second.select("xml_filename", F.when(F.col("reason").isNull(), F.col("doc").dropFields(CORRUPT_COLUMN)).alias("doc"),
-                         F.when(F.col("reason").isNotNull(), F.col("text")).alias("record"), "reason")
+        return ET.fromstring(content), None
+    except ET.ParseError as e:
+        return None, "trailing content" if e.code == errors.codes[errors.XML_ERROR_JUNK_AFTER_DOC_ELEMENT] else "malformed"
+    except Exception:  # noqa: BLE001  unknown charset, lone surrogates, nesting too deep: this file is bad, the others are read
+        return None, "malformed"
+
+
+class _Nodes:
+    """Nested Arrow columns of one repeated element: per document (or parent element) a list of structs."""
+
+    def __init__(self, spec: dict):
+        self.offsets = [0]
+        self.leaves: dict[str, list] = {leaf: [] for leaf in spec.get("leaves", ())}
+        self.children = {name: _Nodes(below) for name, below in spec.get("children", {}).items()}
+
+    def add(self, nodes: list) -> None:
+        self.offsets.append(self.offsets[-1] + len(nodes))
+        if nodes:
+            for leaf, values in self.leaves.items():
+                values += [n.findtext(leaf) for n in nodes]
+            for name, below in self.children.items():
+                for n in nodes:
+                    below.add(n.findall(f".//{name}" if name in DEEP_CHILDREN else name))
+
+    def array(self):
+        import pyarrow as pa
+        names = [*self.leaves, *self.children]
+        columns = [pa.array(v, pa.string()) for v in self.leaves.values()] + [c.array() for c in self.children.values()]
+        return pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), pa.StructArray.from_arrays(columns, names))
+
+
+def document_array(roots: list, shape: dict):
+    """Struct array of the documented elements of parsed documents; null where there is no document."""
+    import pyarrow as pa
+    leaves = {name: [] for name, spec in shape.items() if spec is None}
+    nested = {name: _Nodes(spec) for name, spec in shape.items() if spec is not None}
+    deep = [name for name in nested if name in DEEP_ELEMENTS]
+    for root in roots:
+        found: dict[str, list] = {name: [] for name in nested}
+        if root is not None:
+            if deep:
+                elements = root.iter()
+                next(elements)                                   # the root is no element of the document
+                for element in elements:
+                    if (own := found.get(element.tag)) is not None and element.tag in DEEP_ELEMENTS:
+                        own.append(element)
+            for name in nested:
+                if name not in DEEP_ELEMENTS:
+                    found[name] = root.findall(name)
+        for name, values in leaves.items():
+            values.append(None if root is None else root.findtext(name))
+        for name, nodes in nested.items():
+            nodes.add(found[name])
+    columns = [pa.array(leaves[name], pa.string()) if name in leaves else nested[name].array() for name in shape]
+    return pa.StructArray.from_arrays(columns, list(shape), mask=pa.array([r is None for r in roots], pa.bool_()))
+
+
+def parsed_documents(df: DataFrame, key_col: str, content_col: str, elements: Iterable[str] | None = None) -> DataFrame:
+    """``xml_filename, doc, record, reason`` of a frame of documents as bytes or as decoded text: the parsed document with the named
+    ``elements`` (default: all documented ones), or the record with the reason (``malformed``, ``trailing content``).
+
+    A null document is malformed; an empty frame gives an empty one; other columns are ignored."""
+    wanted = set(DOCUMENT_SHAPE if elements is None else elements)
+    shape = {name: spec for name, spec in DOCUMENT_SHAPE.items() if name in wanted}
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for low in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(low, _SLICE)
+                contents = [c.as_py() for c in part.column(1)]
+                trees = [(None, "malformed") if c is None else parse_tree(c) for c in contents]
+                bad = [None if reason is None else c.decode("utf-8", "replace") if isinstance(c, bytes) else c
+                       for c, (_, reason) in zip(contents, trees)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), document_array([root for root, _ in trees], shape), pa.array(bad, pa.string()),
+                     pa.array([reason for _, reason in trees], pa.string())], names=["xml_filename", "doc", "record", "reason"])
+
+    return df.select(F.col(key_col).cast("string"), F.col(content_col)).mapInArrow(
+        run, f"xml_filename string, doc struct<{document_ddl(shape)}>, record string, reason string")
 
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -161,17 +119,15 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
             parsed.filter(F.col("reason").isNotNull()).select("xml_filename", "record", "reason"))
 
 
-def parse_documents(df: DataFrame, key_col: str, text_col: str, ddl: str | None = None,
-                    root: str = ROOT_TAG) -> tuple[DataFrame, DataFrame]:
-    """Parse a (key, text) frame. Returns (docs: key + nested columns, quarantine: key, record, reason)."""
-    return split_parsed(parsed_documents(df, key_col, text_col, ddl, root))
+def parse_documents(df: DataFrame, key_col: str, content_col: str, elements: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse a (key, document) frame. Returns (docs: key + nested columns, quarantine: key, record, reason)."""
+    return split_parsed(parsed_documents(df, key_col, content_col, elements))
 
 
 def raw_files(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """(xml_filename, content BINARY, text STRING) for every matching file directly inside ``path``."""
+    """(xml_filename, content BINARY) for every matching file directly inside ``path`` that is not empty."""
     raw = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}")
-    return raw.select(F.col("_metadata.file_name").alias("xml_filename"), "content",
-                      decode_declared(F.col("content")).alias("text"))
+    return raw.select(F.col("_metadata.file_name").alias("xml_filename"), "content")
 
 
 def empty_files(spark: SparkSession, path: str, glob: str = "*.xml") -> list[str]:
@@ -183,14 +139,14 @@ def empty_files(spark: SparkSession, path: str, glob: str = "*.xml") -> list[str
     return sorted(st.getPath().getName() for st in statuses if st.isFile() and st.getLen() == 0)
 
 
-def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", ddl: str | None = None,
-                  root: str = ROOT_TAG, report_empty: bool = True, once: bool = False) -> tuple[DataFrame, DataFrame]:
+def xml_documents(spark: SparkSession, path: str, glob: str = "*.xml", report_empty: bool = True,
+                  once: bool = False) -> tuple[DataFrame, DataFrame]:
     """Scan a folder of case files. Returns (docs, quarantine); their counts add up to the number of files.
 
     With ``once`` the files are read and parsed now, once for both frames (see ``parse_once``). ``report_empty`` lists the
     folder once more on the driver to find zero-byte files (a scan never reads them); on an object store with a very large
-    folder this listing costs time, and it can be switched off."""
-    parsed = parsed_documents(raw_files(spark, path, glob), "xml_filename", "text", ddl, root)
+    folder this listing costs time, and it can be switched off: :mod:`tcelake.sources.folder` lists inside tasks."""
+    parsed = parsed_documents(raw_files(spark, path, glob), "xml_filename", "content")
     docs, quarantine = split_parsed(parse_once(parsed) if once else parsed)
     empty = empty_files(spark, path, glob) if report_empty else []
     if empty:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tcelake.operators.shred import shred_all
 from tcelake.plans.batch import PARTITIONED
-from tcelake.sources.xml_docs import decode_declared, parse_once, parsed_documents, split_parsed
+from tcelake.sources.xml_docs import parse_once, parsed_documents, split_parsed
 
 
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -21,14 +21,13 @@ BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, co
 
 def case_file_stream(spark: SparkSession, input_uri: str, glob: str = "*.xml",
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (xml_filename, text) over new files in ``input_uri``."""
+    """Streaming (xml_filename, content) over new files in ``input_uri``."""
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("recursiveFileLookup", "false"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(input_uri)
-    return raw.select(F.element_at(F.split(F.col("path"), "/"), -1).alias("xml_filename"),
-                      decode_declared(F.col("content")).alias("text"))
+    return raw.select(F.element_at(F.split(F.col("path"), "/"), -1).alias("xml_filename"), "content")
 
 
 def _append_batch(output_uri: str):
@@ -38,7 +37,7 @@ def _append_batch(output_uri: str):
         # Each micro-batch owns the partition ingest_batch=<id>, written in dynamic-overwrite mode: a batch that is
         # retried after a failure replaces its own output instead of appending it twice.
         # The batch is parsed once for the quarantine and the five shredders.
-        docs, quarantine = split_parsed(parse_once(parsed_documents(batch, "xml_filename", "text")))
+        docs, quarantine = split_parsed(parse_once(parsed_documents(batch, "xml_filename", "content")))
         for name, df in {"quarantine": quarantine, **shred_all(docs)}.items():
             (df.withColumn("ingest_batch", F.lit(batch_id).cast("long"))
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -134,7 +134,7 @@ def test_streaming_batch_retry_is_idempotent(spark, case_dir, tmp_path):
     from tcelake.streaming.ingest import _append_batch
     from tcelake.sources.xml_docs import raw_files
     out = str(tmp_path / "retry")
-    batch = raw_files(spark, case_dir).select("xml_filename", "text")
+    batch = raw_files(spark, case_dir).select("xml_filename", "content")
     write = _append_batch(out)
     write(batch, 7)
     write(batch, 7)                                   # the same micro-batch retried after a failure
