@@ -239,6 +239,12 @@ def frequent_bitmap(phrases: DataFrame) -> np.ndarray:
     return bitmap_of(phrases.select("lang", "phrase"), hashes)
 
 
+def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
+    """``floor(1000000 * a * a / (l * r))`` in decimals of 38 digits: exact for counts up to 10^15."""
+    exact = [c.cast("decimal(19,0)") for c in (a, l, r)]
+    return F.call_function("div", (exact[0] * exact[0]).cast("decimal(31,0)") * F.lit(1_000_000).cast("decimal(7,0)"), exact[1] * exact[2])
+
+
 def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int = 2000, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's ``best`` phrases of two to ``DEPTH`` words of ``docs`` (``lang, text``; other
     columns are ignored), by score, then count, descending, then phrase in byte order.
@@ -281,9 +287,8 @@ def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int
     part = lambda c, name: parts.select("lang", F.col("phrase").alias(c), F.col("n").alias(name), F.col("salt").alias(f"{c}_salt"))
     cuts = cuts.withColumn("first_salt", salt("first")).join(part("first", "l"), ["lang", "first", "first_salt"])
     cuts = cuts.withColumn("rest_salt", salt("rest")).join(part("rest", "r"), ["lang", "rest", "rest_salt"])
-    exact = lambda c: F.col(c).cast("decimal(19,0)")
-    score = F.call_function("div", (exact("a") * exact("a")).cast("decimal(31,0)") * F.lit(1_000_000).cast("decimal(7,0)"), exact("l") * exact("r"))
-    lowest = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
+    own = score(F.col("a"), F.col("l"), F.col("r")).alias("score")
+    lowest = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct(own, "k", "l", "r")).alias("cut"))
     rows = lowest.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").cast("long").alias("score"))
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
