@@ -1,67 +1,77 @@
 """Element-path profiler over a corpus of XML documents.
 
-The per-document walk is the only step that needs a real XML tree, so it runs as a small helper inside ``mapInPandas``
-(Arrow batches, one output row per distinct path of a document with its node count). Everything after it — counting
-documents and nodes per path over the corpus — is a partially aggregated Spark group-by.
+Every task keeps the paths of a batch of documents as a prefix tree: a node per path with the number of documents and of elements
+that reached it, so walking a document follows pointers and never spells a path. What leaves Python is one row per path and batch;
+counts of equal paths are added up by a partially aggregated Spark group-by.
 """
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ET
-from collections import Counter
+from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tcelake.schema import document_paths
-
-_PATH_SCHEMA = "doc_key string, path string, n long"
-
-
-def _walk(root: ET.Element) -> Counter:
-    counts: Counter = Counter()
-    stack = [(root, root.tag)]
-    while stack:
-        node, path = stack.pop()
-        counts[path] += 1
-        for child in node:
-            if isinstance(child.tag, str):
-                stack.append((child, f"{path}/{child.tag}"))
-    return counts
-
-
-def _paths_of_batches(batches):
-    for pdf in batches:
-        keys, paths, ns = [], [], []
-        for key, content in zip(pdf["doc_key"], pdf["content"]):
-            if content is None:
-                continue
-            try:
-                root = ET.fromstring(content)
-            except (ET.ParseError, LookupError, ValueError):   # an unknown charset raises LookupError
-                continue  # malformed documents are reported by the quarantine, not profiled
-            for p, n in _walk(root).items():
-                keys.append(key)
-                paths.append(p)
-                ns.append(n)
-        if keys:   # an empty batch yields nothing (empty object columns do not convert to Arrow structs)
-            yield pd.DataFrame({"doc_key": pd.Series(keys, dtype=object), "path": pd.Series(paths, dtype=object),
-                                "n": pd.Series(ns, dtype="int64")})
-
-
-def document_paths_per_doc(raw: DataFrame, content: str, key: str) -> DataFrame:
-    """(doc_key, path, n): distinct element paths of every parseable document, with node counts."""
-    return raw.select(F.col(key).cast("string").alias("doc_key"), F.col(content).alias("content")) \
-              .mapInPandas(_paths_of_batches, _PATH_SCHEMA)
-
-
-def profile_paths(raw: DataFrame, content: str, key: str, known_paths: list[str] | None = None) -> DataFrame:
-    """(path, n_docs, n_nodes, in_schema) over the corpus; ``in_schema`` is false for paths the DDL cannot see."""
+from tcelake.sources.xml_docs import parse_tree
+
+
+class PathTree:
+    """Prefix tree of element paths with document and element counts; node 0 stands above the roots."""
+
+    def __init__(self):
+        self.children: list[dict[str, int]] = [{}]
+        self.names, self.above = [""], [0]
+        self.n_docs, self.n_nodes, self.last = [0], [0], [-1]
+
+    def child(self, node: int, name: str) -> int:
+        found = self.children[node].get(name)
+        if found is None:
+            found = self.children[node][name] = len(self.names)
+            self.children.append({})
+            self.names.append(name)
+            self.above.append(node)
+            self.n_docs.append(0)
+            self.n_nodes.append(0)
+            self.last.append(-1)
+        return found
+
+    def add(self, root, document: int) -> None:
+        stack = [(root, 0)]
+        while stack:
+            element, node = stack.pop()
+            node = self.child(node, element.tag)
+            self.n_nodes[node] += 1
+            if self.last[node] != document:
+                self.last[node] = document
+                self.n_docs[node] += 1
+            stack += [(below, node) for below in element]
+
+    def paths(self) -> list[str]:
+        out = [""]
+        for name, above in zip(self.names[1:], self.above[1:]):      # a node follows the one above it
+            out.append(f"{out[above]}/{name}" if above else name)
+        return out
+
+
+def _batch_paths(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+    for batch in batches:
+        tree = PathTree()
+        for document, content in enumerate(batch.column(0)):
+            root, _ = parse_tree(content.as_py()) if content.is_valid else (None, "malformed")
+            if root is not None:                                    # malformed documents are reported by the quarantine
+                tree.add(root, document)
+        yield pa.RecordBatch.from_arrays([pa.array(tree.paths()[1:], pa.string()), pa.array(tree.n_docs[1:], pa.int64()),
+                                          pa.array(tree.n_nodes[1:], pa.int64())], names=["path", "n_docs", "n_nodes"])
+
+
+def profile_paths(raw: DataFrame, content: str, known_paths: list[str] | None = None) -> DataFrame:
+    """(path, n_docs, n_nodes, in_schema) over the corpus, one row per document in ``raw``; ``in_schema`` is false for paths that
+    are not documented. Documents that are null or not well-formed have no paths."""
     known = known_paths if known_paths is not None else document_paths()
-    per_doc = document_paths_per_doc(raw, content, key)
-    agg = per_doc.groupBy("path").agg(F.count(F.lit(1)).cast("long").alias("n_docs"),
-                                      F.sum("n").cast("long").alias("n_nodes"))
+    batches = raw.select(F.col(content)).mapInArrow(_batch_paths, "path string, n_docs long, n_nodes long")
+    agg = batches.groupBy("path").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_nodes").alias("n_nodes"))
     return agg.withColumn("in_schema", F.col("path").isin(known))
 
 

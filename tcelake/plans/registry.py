@@ -126,48 +126,15 @@ def year_trend(spark, sf_dir):
 
 
 # ---- XML round trip: mapped rows -> case documents (to_xml) -> parse -> shred ----------------------------
-def _xml_text(spark, sf_dir) -> DataFrame:
-    """The case-file corpus of the driver directory (generated from the tables once, then read like input files)."""
+def _xml_files(spark, sf_dir) -> DataFrame:
+    """The case files of the driver directory (generated from the tables once, then read like input files)."""
     from tcelake.sources.driver_docs import driver_corpus
     return driver_corpus(spark, sf_dir)
 
 
-def varied_documents(text: DataFrame) -> DataFrame:
-    """``xml_filename, content``: the case documents as files of many forms that mean the same to a strict reader.
-
-    Of every 7th file the repeatable elements stand below two wrappers; every 11th holds ``<tce>`` and closing tags in CDATA and
-    comments; every 17th has elements that are none of the documented ones (other case, another namespace) before the real ones;
-    of every 19th the first leaf is followed by a second one and holds a child element after its text. By their number
-    modulo 13 files declare and use windows-1252 (with letters beyond ASCII in an element nobody reads), UTF-16 with a byte-order
-    mark, ISO-8859-1, or UTF-8 with one."""
-    from tcelake.sources.xml_docs import DEEP_ELEMENTS
-    key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
-    x = F.col("xml")
-    x = F.when(key % 7 == 0, F.regexp_replace(x, rf"(?s)(<(?:{'|'.join(DEEP_ELEMENTS)})[\s/>].*)</tce>",
-                                              "<visit><part>$1</part></visit></tce>")).otherwise(x)
-    x = F.when(key % 11 == 0, F.regexp_replace(
-        x, r"</tce>\s*$", "<note><![CDATA[<tce></tce> <pastCD4>]]></note><!-- <aaMutation> --></tce>\n")).otherwise(x)
-    x = F.when(key % 17 == 0, F.regexp_replace(
-        x, r"^<tce>", '<tce xmlns:o="urn:other"><BaselineYear>1</BaselineYear><o:dateUnit>years</o:dateUnit>'
-                      "<BASELINECD4><count>1</count></BASELINECD4><o:pastRNA><logLoad>1</logLoad></o:pastRNA>")).otherwise(x)
-    x = F.when(key % 19 == 0, F.regexp_replace(
-        x, r"<schemaVersion>([^<]*)</schemaVersion>",
-        "<schemaVersion>$1<b>0</b>0</schemaVersion><schemaVersion>second</schemaVersion>")).otherwise(x)
-    place = F.lit("<place>Zo\u00eb caf\u00e9</place></tce>")
-    named = lambda charset: F.concat(F.lit(f'<?xml version="1.0" encoding="{charset}"?>\n'),
-                                     F.regexp_replace(x, r"</tce>\s*$", place), F.lit("\n<?checked yes?>"))
-    # Both charsets have the bytes of ISO-8859-1 for these letters.
-    content = (F.when(key % 13 == 0, F.encode(named("windows-1252"), "ISO-8859-1"))
-                .when(key % 13 == 1, F.encode(named("UTF-16"), "UTF-16"))
-                .when(key % 13 == 2, F.encode(named("ISO-8859-1"), "ISO-8859-1"))
-                .when(key % 13 == 3, F.concat(F.unhex(F.lit("EFBBBF")), F.encode(x, "UTF-8")))
-                .otherwise(F.encode(x, "UTF-8")))
-    return text.select("xml_filename", content.alias("content"))
-
-
 def _xml_docs(spark, sf_dir, elements=None) -> DataFrame:
     from tcelake.sources.xml_docs import parse_documents
-    docs, _ = parse_documents(varied_documents(_xml_text(spark, sf_dir)), "xml_filename", "content", elements)
+    docs, _ = parse_documents(_xml_files(spark, sf_dir), "xml_filename", "content", elements)
     return docs
 
 
@@ -206,7 +173,7 @@ SELECT xml_filename, CASE WHEN {_KEY} % 53 = 0 OR {_KEY} % 61 = 0 OR {_KEY} % 67
 FROM tce_case WHERE {_KEY} % 53 = 0 OR {_KEY} % 59 = 0 OR {_KEY} % 61 = 0 OR {_KEY} % 67 = 0""", "tce_case"))
 def xml_quarantine(spark, sf_dir):
     from tcelake.sources.xml_docs import parse_documents
-    _, bad = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "content", ())
+    _, bad = parse_documents(damaged_documents(_xml_files(spark, sf_dir)), "xml_filename", "content", ())
     return bad.select("xml_filename", "reason")
 
 
@@ -216,11 +183,35 @@ def xml_accepted_cases(spark, sf_dir):
     from tcelake.operators.shred import SHREDDERS
     from tcelake.sources.xml_docs import parse_documents
     shred, elements = SHREDDERS["tce_case"]
-    docs, _ = parse_documents(damaged_documents(varied_documents(_xml_text(spark, sf_dir))), "xml_filename", "content", elements)
+    docs, _ = parse_documents(damaged_documents(_xml_files(spark, sf_dir)), "xml_filename", "content", elements)
     return shred(docs)
 
 
-XML_PATHS_SQL = """
+@register("xml_folder", with_ctes(f"""
+SELECT xml_filename, patient_alias, baseline_year, cd4_nadir_before_tce, date_unit, schema_version, NULL AS reason
+FROM tce_case WHERE {_KEY} % 53 <> 0 AND {_KEY} % 59 <> 0 AND {_KEY} % 61 <> 0 AND {_KEY} % 67 <> 0 AND {_KEY} % 71 <> 0
+UNION ALL
+SELECT xml_filename, NULL, NULL, NULL, NULL, NULL,
+    CASE WHEN {_KEY} % 71 <> 0 AND {_KEY} % 53 <> 0 AND {_KEY} % 61 <> 0 AND {_KEY} % 67 <> 0 THEN 'trailing content' ELSE 'malformed' END
+FROM tce_case WHERE {_KEY} % 53 = 0 OR {_KEY} % 59 = 0 OR {_KEY} % 61 = 0 OR {_KEY} % 67 = 0 OR {_KEY} % 71 = 0""", "tce_case"))
+def xml_folder(spark, sf_dir):
+    """Case files as files of one folder, written by the executors, every 71st of them empty: listed and read inside tasks, cases and
+    quarantine together, so that every file is one row."""
+    from tcelake.operators.shred import SHREDDERS
+    from tcelake.session import scratch_dir
+    from tcelake.sources.folder import case_files, write_files
+    from tcelake.sources.xml_docs import parsed_documents, split_parsed
+    key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
+    files = damaged_documents(_xml_files(spark, sf_dir)).withColumn("content", F.when(key % 71 == 0, F.lit(b"")).otherwise(F.col("content")))
+    folder = scratch_dir(spark, "folder")
+    write_files(files, folder)
+    shred, elements = SHREDDERS["tce_case"]
+    docs, bad = split_parsed(parsed_documents(case_files(spark, folder), "xml_filename", "content", elements))
+    return shred(docs).withColumn("reason", F.lit(None).cast("string")).unionByName(bad.select("xml_filename", "reason"), allowMissingColumns=True)
+
+
+#: Element names of the documented shape are fixed values; files vary as ``driver_docs.varied_documents`` says.
+XML_PATHS_SQL = f"""
 WITH tt AS (
   SELECT *, CASE WHEN treatment_type = 'new' THEN 'tce/baselineNewTreatment' ELSE 'tce/pastRegimenTreatments' END
          AS tag FROM tce_treatments
@@ -261,9 +252,25 @@ WITH tt AS (
   UNION ALL SELECT t.tag || '/drug', xml_filename FROM tt t
   UNION ALL SELECT t.tag || '/drug/drugCode', xml_filename FROM tt t WHERE drug_code IS NOT NULL
   UNION ALL SELECT t.tag || '/drug/drugClass', xml_filename FROM tt t WHERE drug_class IS NOT NULL
+  UNION ALL SELECT 'tce/schemaVersion', xml_filename FROM tce_case WHERE {_KEY} % 19 = 0 AND schema_version IS NOT NULL
+  UNION ALL SELECT 'tce/' || timepoint_tag || '/vLoadMatch', xml_filename FROM tce_measurements
+            WHERE measurement_type = 'RNA' AND {_KEY} % 23 = 0
+  UNION ALL SELECT 'tce/' || timepoint_tag || '/logLoad', xml_filename FROM tce_measurements
+            WHERE measurement_type = 'RNA' AND {_KEY} % 29 = 0
+), placed AS (
+  SELECT path, xml_filename, {_KEY} % 7 = 0 AND path <> 'tce' AND NOT regexp_matches(path, '^tce/(patient|baselineYear|dateUnit|schemaVersion)') AS below
+  FROM nodes
+), seen AS (
+  SELECT CASE WHEN below THEN 'tce/visit/part' || substr(path, 4) ELSE path END AS path, xml_filename, NOT below AS known FROM placed
+  UNION ALL SELECT unnest(['tce/visit', 'tce/visit/part']), xml_filename, false FROM (SELECT DISTINCT xml_filename FROM placed WHERE below)
+  UNION ALL SELECT 'tce/note', xml_filename, false FROM tce_case WHERE {_KEY} % 11 = 0
+  UNION ALL SELECT 'tce/place', xml_filename, false FROM tce_case WHERE {_KEY} % 13 < 3
+  UNION ALL SELECT unnest(['tce/BaselineYear', 'tce/{{urn:other}}dateUnit', 'tce/BASELINECD4', 'tce/BASELINECD4/count', 'tce/{{urn:other}}pastRNA',
+                           'tce/{{urn:other}}pastRNA/logLoad']), xml_filename, false FROM tce_case WHERE {_KEY} % 17 = 0
+  UNION ALL SELECT 'tce/schemaVersion/b', xml_filename, false FROM tce_case WHERE {_KEY} % 19 = 0 AND schema_version IS NOT NULL
 )
-SELECT path, count(DISTINCT xml_filename) AS n_docs, count(*) AS n_nodes, true AS in_schema
-FROM nodes GROUP BY path"""
+SELECT path, count(DISTINCT xml_filename) AS n_docs, count(*) AS n_nodes, bool_and(known) AS in_schema
+FROM seen GROUP BY path"""
 
 
 def _nest_with(sql: str, *names: str) -> str:
@@ -277,7 +284,7 @@ def _nest_with(sql: str, *names: str) -> str:
                                   "tce_treatments"))
 def xml_paths(spark, sf_dir):
     from tcelake.operators.profile import profile_paths
-    return profile_paths(_xml_text(spark, sf_dir), "xml", "xml_filename")
+    return profile_paths(_xml_files(spark, sf_dir), "content")
 
 
 # ---- sinks and catalog ------------------------------------------------------------------------------------------------
@@ -363,7 +370,7 @@ def archive_scan(spark, sf_dir):
     from tcelake.sources.archive import expand_archives, pack_archives
     from tcelake.sources.xml_docs import parse_documents
     key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
-    members = varied_documents(_xml_text(spark, sf_dir)).withColumn("archive_id", (key / ARCHIVE_DOCS).cast("long"))
+    members = _xml_files(spark, sf_dir).withColumn("archive_id", (key / ARCHIVE_DOCS).cast("long"))
     archives = pack_archives(members, "archive_id", "xml_filename", "content")
     shred, elements = SHREDDERS["tce_case"]
     docs, _ = parse_documents(expand_archives(archives, "*.xml"), "member", "content", elements)
@@ -414,9 +421,9 @@ def view_class_counts(spark, sf_dir):
 
 
 @register("xml_path_listing", _nest_with(XML_PATHS_SQL.replace(
-    "SELECT path, count(DISTINCT xml_filename) AS n_docs, count(*) AS n_nodes, true AS in_schema\nFROM nodes GROUP BY path",
-    "SELECT DISTINCT regexp_replace(path, '^tce/', '') AS path FROM nodes WHERE path <> 'tce' ORDER BY path"),
+    "SELECT path, count(DISTINCT xml_filename) AS n_docs, count(*) AS n_nodes, bool_and(known) AS in_schema\nFROM seen GROUP BY path",
+    "SELECT DISTINCT regexp_replace(path, '^tce/', '') AS path FROM seen WHERE path <> 'tce' ORDER BY path"),
     "tce_case", "tce_measurements", "tce_isolates", "tce_mutations", "tce_treatments"))
 def xml_path_listing(spark, sf_dir):
     from tcelake.operators.profile import path_listing, profile_paths
-    return path_listing(profile_paths(_xml_text(spark, sf_dir), "xml", "xml_filename"))
+    return path_listing(profile_paths(_xml_files(spark, sf_dir), "content"))

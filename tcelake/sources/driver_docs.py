@@ -23,6 +23,7 @@ from tcelake.sources.driver_tables import (
     measurement_columns,
     treatment_columns,
 )
+from tcelake.sources.xml_docs import DEEP_ELEMENTS
 
 MEASUREMENT_TAGS = ("baselineRNA", "pastRNA", "followupRNA", "baselineCD4", "pastCD4", "followupCD4")
 _MUTATION_T = "array<struct<position:array<string>,aminoAcid:array<string>,mixtures:array<string>>>"
@@ -88,22 +89,52 @@ def case_documents(src: DriverSources) -> DataFrame:
     return document_frame(src).select("xml_filename", F.to_xml("doc", {"rowTag": ROOT_TAG}).alias("xml"))
 
 
+def varied_documents(text: DataFrame) -> DataFrame:
+    """``xml_filename, content``: the case documents as files of many forms that mean the same to a strict reader.
+
+    Of every 7th file the repeatable elements stand below two wrappers; every 11th holds ``<tce>`` and closing tags in CDATA and
+    comments; every 17th has elements that are none of the documented ones (other case, another namespace) before the real ones;
+    of every 19th a leaf is followed by a second one and holds a child element after its text; of every 23rd the RNA nodes have a ``vLoadMatch``;
+    of every 29th they have an empty leaf beside the filled one, or a second one after it. By their number
+    modulo 13 files declare and use windows-1252 (with letters beyond ASCII in an element nobody reads), UTF-16 with a byte-order
+    mark, ISO-8859-1, or UTF-8 with one."""
+    key = F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
+    forms = [
+        (7, rf"(?s)(<(?:{'|'.join(DEEP_ELEMENTS)})[\s/>].*)</tce>", "<visit><part>$1</part></visit></tce>"),
+        (11, r"</tce>\s*$", "<note><![CDATA[<tce></tce> <pastCD4>]]></note><!-- <aaMutation> --></tce>\n"),
+        (19, r"<schemaVersion>([^<]*)</schemaVersion>",
+         "<schemaVersion>$1<b>0</b>0</schemaVersion><schemaVersion>second</schemaVersion>"),
+        (23, r"<(baseline|past|followup)RNA>", "<$1RNA><vLoadMatch>=</vLoadMatch>"),
+        (29, r"</logLoad>", "</logLoad><logLoad>9</logLoad>"),
+        (29, r"</rawLoad>", "</rawLoad><logLoad/>"),
+        (17, r"^<tce>", '<tce xmlns:o="urn:other"><BaselineYear>1</BaselineYear><o:dateUnit>years</o:dateUnit>'
+                        "<BASELINECD4><count>1</count></BASELINECD4><o:pastRNA><logLoad>1</logLoad></o:pastRNA>"),
+    ]
+    for every, pattern, form in forms:
+        text = text.withColumn("xml", F.when(key % every == 0, F.regexp_replace("xml", pattern, form)).otherwise(F.col("xml")))
+    x = F.col("xml")
+    place = F.lit("<place>Zo\u00eb caf\u00e9</place></tce>")
+    named = lambda charset: F.concat(F.lit(f'<?xml version="1.0" encoding="{charset}"?>\n'),
+                                     F.regexp_replace(x, r"</tce>\s*$", place), F.lit("\n<?checked yes?>"))
+    # Both charsets have the bytes of ISO-8859-1 for these letters.
+    content = (F.when(key % 13 == 0, F.encode(named("windows-1252"), "ISO-8859-1"))
+                .when(key % 13 == 1, F.encode(named("UTF-16"), "UTF-16"))
+                .when(key % 13 == 2, F.encode(named("ISO-8859-1"), "ISO-8859-1"))
+                .when(key % 13 == 3, F.concat(F.unhex(F.lit("EFBBBF")), F.encode(x, "UTF-8")))
+                .otherwise(F.encode(x, "UTF-8")))
+    return text.select("xml_filename", content.alias("content"))
+
+
 _CORPUS: dict[tuple, str] = {}
 
 
 def driver_corpus(spark, sf_dir: str) -> DataFrame:
-    """The generated case files of one driver directory as a table (xml_filename, xml), written once per session to the
-    shared checkpoint folder — the stand-in for a folder of case files. Rebuilt when the driver tables change."""
-    import os
-
+    """``xml_filename, content``: the generated case files of one driver directory, written once per session to the shared
+    checkpoint folder, the stand-in for a folder of case files."""
     from tcelake.session import checkpoint_root, scratch_dir
-    src_dir = os.path.abspath(sf_dir)
-    stamp = tuple(os.path.getmtime(os.path.join(src_dir, f"{t}.parquet")) if os.path.exists(
-        os.path.join(src_dir, f"{t}.parquet")) else 0.0 for t in ("orders", "lineitem", "part"))
-    key = (checkpoint_root(spark), src_dir, stamp)
-    path = _CORPUS.get(key)
-    if path is None:
+    key = (checkpoint_root(spark), sf_dir.rstrip("/"))
+    if key not in _CORPUS:
         path = scratch_dir(spark, "corpus")
-        case_documents(DriverSources(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        varied_documents(case_documents(DriverSources(spark, sf_dir))).write.mode("overwrite").parquet(path)
         _CORPUS[key] = path
-    return spark.read.parquet(path)
+    return spark.read.parquet(_CORPUS[key])

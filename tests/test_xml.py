@@ -98,19 +98,19 @@ def test_isolate_and_treatment_edges(spark, case_dir):
 
 def test_profiler_reports_paths_and_off_schema(spark, case_dir):
     raw = raw_files(spark, case_dir)
-    prof = {r.path: r for r in profile_paths(raw, "content", "xml_filename").collect()}
+    prof = {r.path: r for r in profile_paths(raw, "content").collect()}
     assert prof["tce"].n_docs == len(GOOD)
     assert prof["tce/extra"].in_schema is False
     assert prof["tce/wrap/baselineCD4"].in_schema is False
     assert prof["tce/followupRNA"].n_nodes == 2
     assert prof["tce/baselineRNA/vLoadMatch"].in_schema is True
-    listing = [r.path for r in path_listing(profile_paths(raw, "content", "xml_filename")).collect()]
+    listing = [r.path for r in path_listing(profile_paths(raw, "content")).collect()]
     assert listing == sorted(listing) and "tce" not in listing and "extra" in listing
 
 
 def test_sample_matches_golden_path_shape(spark, case_dir):
     raw = raw_files(spark, case_dir).filter(F.col("xml_filename") == "1.xml")
-    paths = {r.path for r in profile_paths(raw, "content", "xml_filename").collect()}
+    paths = {r.path for r in profile_paths(raw, "content").collect()}
     assert "tce/baselineIsolate/aaMutation/mixtures" in paths
     assert "tce/baselineNewTreatment/drug/drugClass" in paths
     assert all(p.startswith("tce") for p in paths)
