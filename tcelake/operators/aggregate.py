@@ -68,16 +68,17 @@ def keep_frequent(df: DataFrame, col: str, min_count: int, population: DataFrame
 def fold_small(df: DataFrame, label: str, count: str, threshold: int = 7, other: str = "Other") -> DataFrame:
     """Relabel groups whose count is strictly below ``threshold`` as ``other``, re-sum, order with ``other`` last.
 
-    Returns (label, count, ordinal). The ordinal is a dense rank (Other last, then count descending, label as the
-    tiebreak) computed by the size-checked rank: a one-task window only when the folded report is proven small.
+    Returns (label, count, ordinal). The ordinal is a dense key: Other last, then count descending, label as the tiebreak.
     """
-    from tcelake.operators.rank import rank_checked
+    from tcelake.operators.rank import dense_rank_key, sortable
     relabeled = df.select(F.when(F.col(count) < threshold, F.lit(other)).otherwise(F.col(label)).alias(label),
                           F.col(count))
     summed = relabeled.groupBy(label).agg(F.sum(count).cast("long").alias(count))
     is_other = (F.col(label) == F.lit(other)).cast("int")
-    ranked = rank_checked(summed, [is_other.asc(), F.col(count).desc(), F.col(label).asc_nulls_last()], "ordinal")
-    return ranked.df.select(label, count, "ordinal")
+    summed = summed.withColumn("__down", -F.col(count))
+    by = F.concat(is_other.cast("string"), sortable(summed, "__down"))
+    ranked = dense_rank_key(summed, [is_other.asc(), F.col(count).desc(), F.col(label).asc_nulls_last()], "ordinal", by)
+    return ranked.select(label, count, "ordinal")
 
 
 def share_of_total(df: DataFrame, count: str, out: str = "share") -> DataFrame:

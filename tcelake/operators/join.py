@@ -8,17 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, known_rows: int | None, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only when the exact row count is known (e.g. from ``global_rank_counted``) and small.
-
-    Otherwise the frame is returned unchanged and the plan keeps a shuffle join, which AQE may still convert at run
-    time from the measured size of the materialised stage.
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def left_enrich(base: DataFrame, others: Sequence[DataFrame], key: str | Sequence[str],
                 fill: Mapping[str, object] | None = None) -> DataFrame:
     """Left-join each frame in ``others`` on ``key`` (all rows of ``base`` kept), then fill NULLs in ``fill``.

@@ -3,17 +3,18 @@
 Plan notes (scale):
   * every big join and group-by keys on ``xml_filename``; the fact is built with one conditional-max pass over the
     measurements instead of two group-bys and a FULL OUTER join, and the two regimen keys come from one pivot;
-  * surrogate keys use ``global_rank`` (range partitioning + partition offsets); the two small-domain dimensions use
-    ``rank_checked`` (a one-task window only when an exact count proves the input small); ranked frames are
-    checkpointed, so downstream reuse reads the checkpoint instead of recomputing the lineage;
-  * dimensions are broadcast only when their exact row count (known from the ranking) is below a limit;
+  * surrogate keys come from prefix counts (``dense_rank_key``) and are given to narrow rows before anything is joined to them: the
+    fact ranks case rows of three columns, its regimen keys rank (file, type) pairs;
+  * the dashboards need no regimen or time key, so they join by file and year and rank no regimens; popularity filters the
+    regimen rows of one file each, before the fact's columns are joined to them;
+  * no join is hinted: Spark broadcasts the sides whose size it knows or, at run time, measures;
   * class counts and yearly counts start from the case table: the fact has exactly one row per case row (every right
     side of its left joins is unique per file), so joining the whole fact is not needed for them.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +30,12 @@ from tcelake.functions.scalar import (
 )
 from tcelake.operators.aggregate import conditional_max_pivot, count_by, flags_by_value, keep_frequent, \
     set_signature_aggs
-from tcelake.operators.join import broadcast_if_small, full_outer_merge, left_enrich, union_distinct
-from tcelake.operators.rank import Ranked, global_rank_counted, rank_checked
+from tcelake.operators.join import full_outer_merge, left_enrich, union_distinct
+from tcelake.operators.rank import dense_rank_key, prefix_counts, sortable
+from tcelake.session import scratch_dir
 
 SOURCE_TABLES = ("tce_case", "tce_measurements", "tce_isolates", "tce_mutations", "tce_treatments")
+# Column names of the published models and the values that their measures select by.
 REGIMEN_FLAG_COLUMNS = list(CLASS_FLAGS)  # contains_pi, nrti, nnrti, insti, cri, fi
 DASHBOARD_COLUMNS = [
     "tce_id", "xml_filename", "baseline_year", "decade", "year_bucket", "baseline_log_rna", "baseline_cd4",
@@ -50,12 +53,11 @@ MONTH_FACTORS = {"months": 4.0}
 class Models:
     """Builders M1-M9. ``tables`` maps the five source names to DataFrames (dependency injection for tests)."""
 
-    def __init__(self, tables: dict[str, DataFrame], broadcast_max_rows: int = 1_000_000, strict: bool = True):
+    def __init__(self, tables: dict[str, DataFrame], strict: bool = True):
         missing = [t for t in SOURCE_TABLES if t not in tables]
         if missing:
             raise KeyError(f"missing source tables: {missing}")
         self.t = tables
-        self.broadcast_max_rows = broadcast_max_rows
         self.strict = strict   # True: casts of source text fail the query on bad text (parity); False: NULL instead
 
     def _cast(self, col, dtype: str):
@@ -85,29 +87,44 @@ class Models:
         return t.groupBy("xml_filename", "treatment_type").agg(*aggs)
 
     @cached_property
-    def _dim_regimen(self) -> Ranked:
-        ranked = global_rank_counted(self.regimen_aggregate(), ["xml_filename", "treatment_type"], "regimen_key")
-        df = ranked.df.select("regimen_key", "xml_filename", "treatment_type", "drug_count", *REGIMEN_FLAG_COLUMNS,
-                              "regimen_signature")
-        return Ranked(df, ranked.rows)
+    def _dim_regimen(self) -> DataFrame:
+        # Written once: the counts by prefix and the keys read it, the aggregation of the treatments runs once.
+        ranked = dense_rank_key(self._written(self.regimen_aggregate(), "regimens"), ["xml_filename", "treatment_type"], "regimen_key")
+        return ranked.select("regimen_key", "xml_filename", "treatment_type", "drug_count", *REGIMEN_FLAG_COLUMNS, "regimen_signature")
 
     def dim_regimen(self) -> DataFrame:
-        return self._dim_regimen.df
+        return self._dim_regimen
+
+    @staticmethod
+    def _written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_dir(df.sparkSession, name)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     # ---- M3 -------------------------------------------------------------------------------------------------------
     def years(self) -> DataFrame:
         c = self.t["tce_case"]
         return c.filter(F.col("baseline_year").isNotNull()).select(self._cast("baseline_year", "int").alias("baseline_year"))
 
+    def _years_distinct(self) -> DataFrame:
+        return self.years().distinct()
+
     @cached_property
-    def _dim_time(self) -> Ranked:
-        base = self.years().distinct()
-        final = base.select("baseline_year", decade("baseline_year").alias("decade"),
-                            year_bucket("baseline_year").alias("year_bucket"))
-        return rank_checked(final, ["baseline_year"], "time_key")
+    def _year_counts(self):
+        years = self._years_distinct()
+        return prefix_counts(years, sortable(years, "baseline_year"))
+
+    def _time_keys(self) -> DataFrame:
+        """``time_key, baseline_year``; a new frame per call, so that callers can join the dimension to a fact made from another one."""
+        return dense_rank_key(self._years_distinct(), ["baseline_year"], "time_key", counted=self._year_counts)
+
+    @cached_property
+    def _dim_time(self) -> DataFrame:
+        return self._time_keys().select("time_key", "baseline_year", decade("baseline_year").alias("decade"),
+                                        year_bucket("baseline_year").alias("year_bucket"))
 
     def dim_time(self) -> DataFrame:
-        return self._dim_time.df
+        return self._dim_time
 
     # ---- M4 -------------------------------------------------------------------------------------------------------
     def relative_dates(self, distinct: bool = True) -> DataFrame:
@@ -121,13 +138,19 @@ class Models:
             (tt, {"relative_stop_date": "relative_date", "xml_filename": "xml_filename"}),
         ], distinct=distinct)
 
+    def dates_by_file(self) -> list[DataFrame]:
+        """``xml_filename, dates`` per source table: the distinct dates of a file as one row (start and stop of a treatment in one pass)."""
+        tt = self.t["tce_treatments"].select("xml_filename", F.explode(F.array("relative_start_date", "relative_stop_date")).alias("relative_date"))
+        parts = [*(self.t[n].select("xml_filename", "relative_date") for n in ("tce_measurements", "tce_isolates", "tce_mutations")), tt]
+        return [p.filter(F.col("relative_date").isNotNull()).groupBy("xml_filename").agg(F.collect_set("relative_date").alias("dates")) for p in parts]
+
     @cached_property
-    def _dim_relative_time(self) -> Ranked:
-        # Join first, de-duplicate once at the end: the (relative_date, date_unit) pairs are what is kept, so the
-        # reference's UNION de-duplication before the join changes nothing but would cost another shuffle.
-        dates = self.relative_dates(distinct=False).filter(F.col("relative_date").isNotNull())
+    def _dim_relative_time(self) -> DataFrame:
+        # A file's dates meet its unit as one set per table, in the partitioning of their aggregation; the pairs are
+        # de-duplicated within tasks before the only exchange by pair.
         units = self.t["tce_case"].select("xml_filename", "date_unit")
-        pairs = dates.join(units, "xml_filename", "inner").select("relative_date", "date_unit").distinct()
+        pairs = [dates.join(units, "xml_filename").select(F.explode("dates").alias("relative_date"), "date_unit") for dates in self.dates_by_file()]
+        pairs = reduce(DataFrame.unionByName, pairs).distinct()
         d = self._cast("relative_date", "double")
         final = pairs.select(
             "relative_date", "date_unit",
@@ -136,10 +159,10 @@ class Models:
             relative_bucket(d).alias("timepoint_bucket"),
             F.when(d == 0, F.lit(True)).otherwise(F.lit(False)).alias("is_baseline"),
         )
-        return rank_checked(final, ["relative_date", "date_unit"], "relative_time_key")
+        return dense_rank_key(final, ["relative_date", "date_unit"], "relative_time_key")
 
     def dim_relative_time(self) -> DataFrame:
-        return self._dim_relative_time.df
+        return self._dim_relative_time
 
     # ---- M5 -------------------------------------------------------------------------------------------------------
     def _measure_specs(self):
@@ -173,70 +196,47 @@ class Models:
         return count_by(mu, ["xml_filename"], "baseline_mutation_count")
 
     def regimen_keys(self) -> DataFrame:
-        """past/new regimen key per file from one pivot over dim_regimen ((file, type) is unique there)."""
-        r = self.dim_regimen()
-        is_new = F.col("treatment_type") == "new"
-        # The new regimen's attributes ride along (one row per (file, 'new'), so max picks that row's value): the
-        # dashboards then need no second fact x dim_regimen join.
-        return r.groupBy("xml_filename").agg(
-            F.max(F.when(F.col("treatment_type") == "past", F.col("regimen_key"))).alias("past_regimen_key"),
-            F.max(F.when(is_new, F.col("regimen_key"))).alias("new_regimen_key"),
-            *[F.max(F.when(is_new, F.col(c))).alias(f"__new_{c}") for c in NEW_REGIMEN_ATTRIBUTES])
-
-    def fact_joined(self) -> DataFrame:
+        """past/new regimen key per file: the keys of ``dim_regimen``, ranked over its (file, type) pairs alone."""
+        t = self.t["tce_treatments"].filter(F.col("drug_code").isNotNull())
+        pairs = self._written(t.select("xml_filename", "treatment_type").distinct(), "regimen-pairs")
+        keyed = dense_rank_key(pairs, ["xml_filename", "treatment_type"], "regimen_key")
+        return keyed.groupBy("xml_filename").agg(*[
+            F.max(F.when(F.col("treatment_type") == kind, F.col("regimen_key"))).alias(f"{kind}_regimen_key") for kind in ("past", "new")])
+
+    @cached_property
+    def _cases(self) -> DataFrame:
+        """``tce_id, xml_filename, baseline_year, cd4_nadir_before_tce``: the fact has one row per case row, so its key is theirs."""
         c = self.t["tce_case"].select(
             "xml_filename",
             self._cast("baseline_year", "int").alias("baseline_year"),
             self._cast("cd4_nadir_before_tce", "double").alias("cd4_nadir_before_tce"))
-        joined = left_enrich(c, [self.measure_pivot(), self.baseline_mutation_counts(), self.regimen_keys()],
-                             "xml_filename", fill={"baseline_mutation_count": 0})
-        time = broadcast_if_small(self.dim_time().select("baseline_year", "time_key"), self._dim_time.rows,
-                                  self.broadcast_max_rows)
-        return joined.join(time, "baseline_year", "left")
-
-    def prepare(self, *names: str) -> None:
-        """Build independent materialised models concurrently (their eager rank jobs share no stages); Spark runs jobs
-        submitted from several driver threads side by side."""
-        from concurrent.futures import ThreadPoolExecutor
-        todo = [n for n in names if n not in self.__dict__]
-        if len(todo) <= 1:
-            for n in todo:
-                getattr(self, n)
-            return
-        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            for f in [pool.submit(getattr, self, n) for n in todo]:
-                f.result()
-
-    @cached_property
-    def _fact_ranked(self) -> Ranked:
-        self.prepare("_dim_regimen", "_dim_time")
-        return global_rank_counted(self.fact_joined(), ["xml_filename"], "tce_id")
+        return dense_rank_key(c, ["xml_filename"], "tce_id")
 
     def fact_tce(self) -> DataFrame:
-        return self._fact_ranked.df.select(*FACT_COLUMNS)
+        joined = left_enrich(self._cases, [self.measure_pivot(), self.baseline_mutation_counts(), self.regimen_keys()],
+                             "xml_filename", fill={"baseline_mutation_count": 0})
+        time = self._time_keys().select(F.col("baseline_year").alias("__year"), F.col("time_key").alias("__time_key"))
+        return joined.join(time, F.col("baseline_year") == F.col("__year"), "left").withColumnRenamed("__time_key", "time_key").select(*FACT_COLUMNS)
 
     # ---- M6 / M7 --------------------------------------------------------------------------------------------------
-    def _fact_with_new_regimen(self) -> DataFrame:
-        """fact x dim_regimen on new_regimen_key (inner) — read from the fact's carried attributes: a fact row has a
-        new_regimen_key exactly when its file has a new regimen, whose attributes were pivoted with the key."""
-        f = self._fact_ranked.df.filter(F.col("new_regimen_key").isNotNull())
-        return f.select(*FACT_COLUMNS, *[F.col(f"__new_{c}").alias(c) for c in NEW_REGIMEN_ATTRIBUTES])
-
-    def _with_time(self, fr: DataFrame) -> DataFrame:
-        t = broadcast_if_small(self.dim_time().select("time_key", "decade", "year_bucket",
-                                                      F.col("baseline_year").alias("t_year")),
-                               self._dim_time.rows, self.broadcast_max_rows)
-        return (fr.join(t, "time_key", "inner")
-                  .drop("baseline_year").withColumnRenamed("t_year", "baseline_year")
-                  .select(*DASHBOARD_COLUMNS))
+    def _dashboard(self, regimens: DataFrame) -> DataFrame:
+        """fact x regimen x time by their natural keys: a fact row has a new_regimen_key exactly when its file has a new regimen,
+        and a time_key exactly when it has a year, whose decade and bucket follow from it."""
+        rows = left_enrich(self._cases.filter(F.col("baseline_year").isNotNull()).join(regimens, "xml_filename"),
+                           [self.measure_pivot(), self.baseline_mutation_counts()], "xml_filename", fill={"baseline_mutation_count": 0})
+        return rows.select("*", decade("baseline_year").alias("decade"), year_bucket("baseline_year").alias("year_bucket")).select(*DASHBOARD_COLUMNS)
+
+    def _new_regimens(self) -> DataFrame:
+        return self.regimen_aggregate("new").select("xml_filename", *NEW_REGIMEN_ATTRIBUTES)
 
     def dashboard_unfiltered(self) -> DataFrame:
-        return self._with_time(self._fact_with_new_regimen())
+        return self._dashboard(self._new_regimens())
 
     def dashboard(self, min_cases: int = POPULAR_MIN_CASES) -> DataFrame:
         # popularity is counted over fact x regimen rows before the year join (NULL-year cases count toward it)
-        fr = self._fact_with_new_regimen()
-        return self._with_time(keep_frequent(fr, "regimen_signature", min_cases))
+        regimens = self._new_regimens()
+        population = self.t["tce_case"].select("xml_filename").join(regimens.select("xml_filename", "regimen_signature"), "xml_filename")
+        return self._dashboard(keep_frequent(regimens, "regimen_signature", min_cases, population))
 
     # ---- M8 -------------------------------------------------------------------------------------------------------
     def tce_by_year(self) -> DataFrame:

@@ -31,7 +31,9 @@ def test_sample_document_models(spark, case_dir):
     assert rel["-60"].timepoint_bucket == "far_pre" and rel["0"].is_baseline is True
 
 
-def test_fact_has_one_row_per_case_and_dense_keys(spark):
+def test_fact_has_one_row_per_case_and_dense_keys(spark, monkeypatch):
+    from tcelake.operators import rank
+    monkeypatch.setattr(rank, "LEAF", 8)                       # as on a corpus of many leaves
     case = [(f"{i}.xml", "P", str(1990 + i % 3) if i % 4 else None, "100", "months" if i % 2 else None, "1")
             for i in range(40)]
     treat = [(f"{i}.xml", "P", "0", "1", "1", f"D{i % 3}", "PI", "new") for i in range(40)] + \
@@ -54,7 +56,11 @@ def test_fact_has_one_row_per_case_and_dense_keys(spark):
     assert sum(r.tce_count for r in m.v_new_regimen_class_counts().collect()) == 40
     plan = fact._jdf.queryExecution().executedPlan().toString() + \
         m.dim_regimen()._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    lines = plan.splitlines()
+    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    # counts of branches and the one leaf of distinct years, never case or treatment rows
+    assert single and all("keys=[branch#" in lines[i + 1] or "keys=[baseline_year#" in lines[i + 1] for i in single)
+    assert "rangepartitioning" not in plan
 
 
 def test_dashboard_popularity_counts_null_year_cases(spark):

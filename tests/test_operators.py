@@ -10,33 +10,40 @@ from tcelake.operators.aggregate import (
     conditional_max_pivot, count_by, fold_small, keep_frequent, set_signature, share_of_total)
 from tcelake.operators.join import full_outer_merge, left_enrich, union_distinct
 from tcelake.operators.project import cast_columns, cast_rejects, project_with_default
-from tcelake.operators.rank import global_rank, global_rank_counted, small_rank
+from tcelake.operators.rank import dense_rank_key, sortable
 
 
-def test_global_rank_equals_row_number_with_nulls_last(spark):
-    # G1 / W1-W4: uneven partitions, string order, NULL keys last, BIGINT 1..n
-    rows = [(f"f{i % 37:03d}", None if i % 11 == 0 else f"t{i % 5}", i) for i in range(3000)]
+@pytest.mark.parametrize("leaf", [1 << 16, 500, 7])
+def test_dense_keys_equal_row_number_with_nulls_last(spark, leaf):
+    # W1-W4: uneven partitions, text order, NULL keys last, BIGINT 1..n; one leaf, some, many
+    rows = [(f"f{i * 37 % 1000:03d}" if i % 11 else None, None if i % 13 == 0 else f"t{i % 5}", i - 1500) for i in range(3000)]
     df = spark.createDataFrame(rows, "a string, b string, v int").repartition(7)
-    ranked = global_rank(df, ["a", "b", "v"], "k")
-    assert ranked.schema["k"].dataType.simpleString() == "bigint"
-    expected = df.select(F.row_number().over(Window.orderBy(F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last(),
-                                                            F.col("v"))).alias("k"), "a", "b", "v")
-    assert sorted(ranked.collect()) == sorted(expected.collect())
-    r = global_rank_counted(df, ["v"], "k")
-    assert r.rows == 3000
-    agg = r.df.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()
-    assert tuple(agg) == (1, 3000, 3000)
-
-
-def test_global_rank_plan_has_no_single_partition_exchange(spark):
-    df = spark.range(1000).withColumn("s", F.col("id").cast("string"))
-    plan = global_rank(df, ["s"], "k")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    for order in (["a", "b", "v"], ["v"]):
+        ranked = dense_rank_key(df, order, "k", leaf=leaf)
+        assert ranked.schema["k"].dataType.simpleString() == "bigint"
+        expected = df.select(F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_last() for c in order])).alias("k"), "a", "b", "v")
+        assert sorted(ranked.collect(), key=repr) == sorted(expected.collect(), key=repr)
+    assert dense_rank_key(df.filter("false"), ["a"], "k", leaf=leaf).count() == 0
+
+
+def test_dense_keys_of_long_common_prefixes_and_equal_keys(spark):
+    df = spark.range(900).select(F.concat(F.lit("bucket/a/very/long/folder/"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("name"))
+    ranked = dense_rank_key(df, ["name"], "k", leaf=50)
+    assert [r.k for r in ranked.orderBy("name").collect()] == list(range(1, 901))
+    same = spark.range(300).select(F.lit("x").alias("name"), "id")
+    assert sorted(r.k for r in dense_rank_key(same, ["name", "id"], "k", leaf=50).collect()) == list(range(1, 301))
+
 
+def test_sortable_text_keeps_the_order_of_numbers(spark):
+    values = [-(1 << 63), -5, -1, 0, 1, 9, 10, (1 << 63) - 1, None]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert [r.v for r in df.orderBy(sortable(df, "v")).collect()] == values
 
-def test_small_rank(spark):
-    df = spark.createDataFrame([(3,), (1,), (2,)], "y int")
-    assert [tuple(r) for r in small_rank(df, ["y"], "k").orderBy("k").collect()] == [(1, 1), (2, 2), (3, 3)]
+
+def test_dense_keys_move_rows_by_prefix_only(spark):
+    df = spark.range(1000).withColumn("s", F.col("id").cast("string"))
+    plan = dense_rank_key(df, ["s"], "k", leaf=50)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "hashpartitioning(__rank_prefix" in plan
 
 
 def test_conditional_max_pivot_takes_largest_and_never_casts_unmatched(spark):
@@ -143,18 +150,6 @@ def test_project_with_default_keeps_null_vs_absent(spark):
     assert got == [("X", "1.5"), ("N/A", "2"), (None, "3")]
 
 
-def test_rank_checked_global_path_with_expression_order(spark):
-    from tcelake.operators.rank import rank_checked
-    rows = [(f"L{i:03d}", (i * 37) % 101) for i in range(400)] + [("Other", 5)]
-    df = spark.createDataFrame(rows, "label string, n long").repartition(5)
-    order = [(F.col("label") == "Other").cast("int").asc(), F.col("n").desc(), F.col("label").asc_nulls_last()]
-    forced = rank_checked(df, order, "ordinal", small_limit=0)           # global_rank path
-    small = rank_checked(df, order, "ordinal")                           # window path
-    assert forced.rows == small.rows == 401
-    assert sorted(tuple(r) for r in forced.df.collect()) == sorted(tuple(r) for r in small.df.collect())
-    assert forced.df.filter("label = 'Other'").first().ordinal == 401
-
-
 def test_publish_views_and_tables(spark, tmp_path):
     from tcelake.plans.models import Models, publish
     from tcelake.schema import SOURCE_SCHEMAS
