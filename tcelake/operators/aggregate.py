@@ -71,9 +71,10 @@ def fold_small(df: DataFrame, label: str, count: str, threshold: int = 7, other:
     Returns (label, count, ordinal). The ordinal is a dense key: Other last, then count descending, label as the tiebreak.
     """
     from tcelake.operators.rank import dense_rank_key, sortable
+    from tcelake.session import written_table
     relabeled = df.select(F.when(F.col(count) < threshold, F.lit(other)).otherwise(F.col(label)).alias(label),
                           F.col(count))
-    summed = relabeled.groupBy(label).agg(F.sum(count).cast("long").alias(count))
+    summed = written_table(relabeled.groupBy(label).agg(F.sum(count).cast("long").alias(count)), "folded")
     is_other = (F.col(label) == F.lit(other)).cast("int")
     summed = summed.withColumn("__down", -F.col(count))
     by = F.concat(is_other.cast("string"), sortable(summed, "__down"))

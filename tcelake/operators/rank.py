@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tcelake.session import scratch_dir
+from tcelake.session import written_table
 
 LEAF = 1 << 16          # rows of a prefix that one window group may hold
 _PREFIX, _BELOW = "__rank_prefix", "__rank_below"
@@ -51,9 +51,7 @@ def prefix_counts(df: DataFrame, by: Column, leaf: int | None = None) -> tuple[D
     while True:
         length = first + grow
         counts = df.groupBy(F.substring(by, 1, length).alias(_PREFIX)).agg(F.count(F.lit(1)).alias("n"))
-        path = scratch_dir(df.sparkSession, "prefixes")
-        counts.write.parquet(path)
-        counts = df.sparkSession.read.schema(counts.schema).parquet(path)
+        counts = written_table(counts, "prefixes")
         if length >= total[3] or counts.agg(F.max("n")).first()[0] <= leaf:
             return counts, length
         grow *= 2

@@ -32,7 +32,7 @@ from tcelake.operators.aggregate import conditional_max_pivot, count_by, flags_b
     set_signature_aggs
 from tcelake.operators.join import full_outer_merge, left_enrich, union_distinct
 from tcelake.operators.rank import dense_rank_key, prefix_counts, sortable
-from tcelake.session import scratch_dir
+from tcelake.session import written_table
 
 SOURCE_TABLES = ("tce_case", "tce_measurements", "tce_isolates", "tce_mutations", "tce_treatments")
 # Column names of the published models and the values that their measures select by.
@@ -89,18 +89,12 @@ class Models:
     @cached_property
     def _dim_regimen(self) -> DataFrame:
         # Written once: the counts by prefix and the keys read it, the aggregation of the treatments runs once.
-        ranked = dense_rank_key(self._written(self.regimen_aggregate(), "regimens"), ["xml_filename", "treatment_type"], "regimen_key")
+        ranked = dense_rank_key(written_table(self.regimen_aggregate(), "regimens"), ["xml_filename", "treatment_type"], "regimen_key")
         return ranked.select("regimen_key", "xml_filename", "treatment_type", "drug_count", *REGIMEN_FLAG_COLUMNS, "regimen_signature")
 
     def dim_regimen(self) -> DataFrame:
         return self._dim_regimen
 
-    @staticmethod
-    def _written(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_dir(df.sparkSession, name)
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
     # ---- M3 -------------------------------------------------------------------------------------------------------
     def years(self) -> DataFrame:
         c = self.t["tce_case"]
@@ -138,19 +132,19 @@ class Models:
             (tt, {"relative_stop_date": "relative_date", "xml_filename": "xml_filename"}),
         ], distinct=distinct)
 
-    def dates_by_file(self) -> list[DataFrame]:
-        """``xml_filename, dates`` per source table: the distinct dates of a file as one row (start and stop of a treatment in one pass)."""
-        tt = self.t["tce_treatments"].select("xml_filename", F.explode(F.array("relative_start_date", "relative_stop_date")).alias("relative_date"))
-        parts = [*(self.t[n].select("xml_filename", "relative_date") for n in ("tce_measurements", "tce_isolates", "tce_mutations")), tt]
-        return [p.filter(F.col("relative_date").isNotNull()).groupBy("xml_filename").agg(F.collect_set("relative_date").alias("dates")) for p in parts]
+    def dated_files(self) -> DataFrame:
+        """``relative_date, xml_filename`` of all tables, not de-duplicated; a treatment gives its start and its stop in one pass."""
+        tt = self.t["tce_treatments"].select(F.explode(F.array("relative_start_date", "relative_stop_date")).alias("relative_date"), "xml_filename")
+        parts = [*(self.t[n].select("relative_date", "xml_filename") for n in ("tce_measurements", "tce_isolates", "tce_mutations")), tt]
+        return reduce(DataFrame.unionByName, parts).filter(F.col("relative_date").isNotNull())
 
     @cached_property
     def _dim_relative_time(self) -> DataFrame:
-        # A file's dates meet its unit as one set per table, in the partitioning of their aggregation; the pairs are
-        # de-duplicated within tasks before the only exchange by pair.
+        # Join first, de-duplicate once at the end, within tasks before the exchange: the (relative_date, date_unit) pairs are what is kept.
+        # (Measured: sets of dates per file before the join are slower, their aggregation falls back to sorting.)
         units = self.t["tce_case"].select("xml_filename", "date_unit")
-        pairs = [dates.join(units, "xml_filename").select(F.explode("dates").alias("relative_date"), "date_unit") for dates in self.dates_by_file()]
-        pairs = reduce(DataFrame.unionByName, pairs).distinct()
+        pairs = self.dated_files().join(units, "xml_filename").select("relative_date", "date_unit").distinct()
+        pairs = written_table(pairs, "relative-dates")
         d = self._cast("relative_date", "double")
         final = pairs.select(
             "relative_date", "date_unit",
@@ -198,7 +192,7 @@ class Models:
     def regimen_keys(self) -> DataFrame:
         """past/new regimen key per file: the keys of ``dim_regimen``, ranked over its (file, type) pairs alone."""
         t = self.t["tce_treatments"].filter(F.col("drug_code").isNotNull())
-        pairs = self._written(t.select("xml_filename", "treatment_type").distinct(), "regimen-pairs")
+        pairs = written_table(t.select("xml_filename", "treatment_type").distinct(), "regimen-pairs")
         keyed = dense_rank_key(pairs, ["xml_filename", "treatment_type"], "regimen_key")
         return keyed.groupBy("xml_filename").agg(*[
             F.max(F.when(F.col("treatment_type") == kind, F.col("regimen_key"))).alias(f"{kind}_regimen_key") for kind in ("past", "new")])

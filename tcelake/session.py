@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package. AQE re-plans joins with runtime sizes (broadcast conversion,
 # skew split, partition coalescing); the UI stays off because no server may be opened.
@@ -68,3 +68,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder under the shared checkpoint folder for written intermediate tables."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/tcelake-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a fresh folder below the shared checkpoint folder and read back: what follows reads it as often as it
+    likes without computing it again, and a lost executor re-reads files."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
