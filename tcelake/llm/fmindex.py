@@ -7,9 +7,9 @@ the reverse transform or to the left on the forward one, is one pass over the ro
 there are the extensions, how often each is found is the count, the symbol's rank before the interval gives the new interval on one
 side and the smaller symbols within it that on the other.
 
-Counts are summed across shards. Words, then pairs that are frequent in the whole language are handed back to the
-shards as a bitmap of fixed size, so that rows below the threshold are mostly not written at all; what the bitmap lets through
-wrongly is dropped by its sum.
+Counts are summed across shards. First by 64-bit hash, words and then pairs of frequent words: hashes with a large enough sum are
+handed back to the shards as a bitmap of fixed size, so that phrases with a rare part are mostly not written at all. What the bitmaps let
+through is then counted by its text; hashes that collide or bits that are shared only let more through, which its own count drops.
 """
 
 from __future__ import annotations
@@ -26,14 +26,14 @@ from tcelake.llm.common import written
 from tcelake.llm.superminhash import mixed
 
 DEPTH = 3                             # words of the longest phrase
-SHARD_WORDS = 1 << 20                 # words of a shard: bounds a task's memory
+SHARD_WORDS = 1 << 19                 # words of a shard: bounds a task's memory
 OPEN_SHARDS = 4                       # shards' worth of words that a task holds over all languages
 SALTS = 16                            # parts into which the phrases of one word, or the best of one language, are dealt
 MARK = b"\xff"                        # stands for the ends of pieces while a text is split; no UTF-8 text holds it
 #: Bytes that part pieces become the mark, A-Z lower case, the tab a space.
 _FOLD = bytes(255 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-SHARD = "lang string, words array<binary>, ids_bwt binary, reverse_bwt binary, overlaps binary"
+SHARD = "lang string, n_words long, words array<binary>, ids_bwt binary, reverse_bwt binary, overlaps binary"
 
 
 def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,10 +48,17 @@ def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def transform(ids: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Burrows-Wheeler transform of the circular run with rotations ordered by at least ``depth`` symbols: ranks of
-    twice the length come from pairs of ranks."""
-    rank, known, order = ids.astype(np.int64), 1, None
-    while known < depth or order is None:
+    """Burrows-Wheeler transform of the circular run with rotations ordered by at least ``depth`` symbols: as many as fit into 63
+    bits are compared at once, and ranks of twice the length come from pairs of ranks where that is not enough."""
+    symbols, bits = ids.astype(np.int64), max(1, int(ids.max()).bit_length())
+    known = min(depth, 63 // bits)
+    key = symbols.copy()
+    for j in range(1, known):
+        key = (key << bits) | np.roll(symbols, -j)
+    if known == depth:
+        return ids[np.argsort(key) - 1]
+    order, rank = ranked(key)
+    while known < depth:
         order, rank = ranked(rank * (int(rank.max()) + 1) + np.roll(rank, -known))
         known *= 2
     return ids[order - 1]
@@ -130,13 +137,13 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         held: dict[str, tuple] = {}
-        schema = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.binary())), ("ids_bwt", pa.binary()), ("reverse_bwt", pa.binary()), ("overlaps", pa.binary())])
+        schema = pa.schema([("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.binary())), ("ids_bwt", pa.binary()), ("reverse_bwt", pa.binary()), ("overlaps", pa.binary())])
 
         def flush(lang: str, rest: tuple | None = None):
             vocabulary, ids = held.pop(lang)
             run = np.concatenate((np.zeros(1, dtype=np.uint32), *ids, np.zeros(1, dtype=np.uint32)))
             shared = np.array([vocabulary[w] for w in rest] if rest else [], dtype="<u4")
-            row = (lang, [w for w in vocabulary if w != MARK], transform(run).astype("<u4").tobytes(), transform(run[::-1]).astype("<u4").tobytes(), shared.tobytes())
+            row = (lang, int((run > 0).sum()) - len(shared), [w for w in vocabulary if w != MARK], transform(run).astype("<u4").tobytes(), transform(run[::-1]).astype("<u4").tobytes(), shared.tobytes())
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         def opened(lang: str) -> tuple:
@@ -201,42 +208,69 @@ def enumerated(shard: Shard, hashes: np.ndarray, length: int, bitmaps: dict[int,
     return phrases
 
 
-def phrase_counts(index: DataFrame, length: int, bitmaps: dict[int, np.ndarray]) -> DataFrame:
-    """``lang, phrase, n``: phrases of ``length`` words with their counts over all shards. Phrases with a part that the
-    bitmaps rule out are not among them."""
+def loaded(batches: Iterator) -> Iterator[tuple]:
+    """``(lang, words, shard, hashes of the words by id, overlaps)`` of all index rows."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            lang, words, forward, reverse, overlaps = (batch.column(i)[row].as_py() for i in range(5))
+            hashes = np.concatenate((np.zeros(1, dtype=np.uint64), word_hashes(lang, words)))
+            yield lang, words, Shard(np.frombuffer(forward, "<u4"), np.frombuffer(reverse, "<u4")), hashes, np.frombuffer(overlaps, "<u4")
+
+
+def counted_once(phrases: tuple, overlaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids, count)`` without what an overlap holds, which is counted in the next shard."""
+    ids, _, _, count = phrases
+    length = ids.shape[1]
+    for at in range(len(overlaps) - length + 1):
+        count = count - (ids == overlaps[at:at + length]).all(axis=1)
+    return ids[count > 0], count[count > 0]
+
+
+def _columns(index: DataFrame) -> DataFrame:
+    return index.select("lang", "words", "ids_bwt", "reverse_bwt", "overlaps")
+
+
+def frequent_bitmap(index: DataFrame, length: int, least: int, bitmaps: dict[int, np.ndarray]) -> np.ndarray:
+    """Bitmap of the hashes of all phrases of ``length`` words that occur ``least`` times over all shards."""
+    held = index.sparkSession.sparkContext.broadcast(bitmaps)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for _, _, shard, hashes, overlaps in loaded(batches):
+            ids, count = counted_once(enumerated(shard, hashes, length, held.value), overlaps)
+            h = phrase_hashes(hashes[ids]).view(np.int64)
+            for low in range(0, len(h), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(h[low:low + 100_000]), pa.array(count[low:low + 100_000], pa.int64())], names=["h", "n"])
+
+    sums = _columns(index).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return bitmap_of(sums.filter(F.col("n") >= least).select("h"), lambda batch: batch.column(0).to_numpy().view(np.uint64))
+
+
+def phrase_counts(index: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame:
+    """``lang, phrase, length, n``: phrases of up to ``DEPTH`` words with their counts over all shards, but for those that the
+    bitmaps rule out, themselves or by a part."""
     held = index.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
-        for batch in batches:
-            for row in range(batch.num_rows):
-                lang, words, forward, reverse, overlaps = (batch.column(i)[row].as_py() for i in range(5))
-                shard = Shard(np.frombuffer(forward, "<u4"), np.frombuffer(reverse, "<u4"))
-                hashes = np.concatenate((np.zeros(1, dtype=np.uint64), word_hashes(lang, words)))
-                ids, _, _, count = enumerated(shard, hashes, length, held.value)
-                twice = np.frombuffer(overlaps, "<u4")
-                for at in range(len(twice) - length + 1):
-                    count = count - (ids == twice[at:at + length]).all(axis=1)
-                ids, count = ids[count > 0], count[count > 0]
-                text = pa.array([b"", *words], pa.binary()).cast(pa.string())
+        for lang, words, shard, hashes, overlaps in loaded(batches):
+            text = pa.array([b"", *words], pa.binary()).cast(pa.string())
+            for length in range(1, DEPTH + 1):
+                ids, count = counted_once(enumerated(shard, hashes, length, held.value), overlaps)
+                if length in held.value:
+                    keep = may_hold(held.value[length], phrase_hashes(hashes[ids]))
+                    ids, count = ids[keep], count[keep]
                 for low in range(0, len(ids), 100_000):
                     part = ids[low:low + 100_000]
                     columns = [text.take(pa.array(part[:, j])) for j in range(length)]
                     phrase = pc.binary_join_element_wise(*columns, " ") if length > 1 else columns[0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), phrase, pa.array(count[low:low + 100_000], pa.int64())],
-                                                     names=["lang", "phrase", "n"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part), pa.string()), phrase, pa.array(np.full(len(part), length, dtype=np.int32)),
+                         pa.array(count[low:low + 100_000], pa.int64())], names=["lang", "phrase", "length", "n"])
 
-    rows = index.mapInArrow(run, "lang string, phrase string, n long")
-    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
-
-def frequent_bitmap(phrases: DataFrame) -> np.ndarray:
-    def hashes(batch) -> np.ndarray:
-        rows = [word_hashes(lang, phrase.encode().split(b" ")) for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-        return phrase_hashes(np.array(rows)) if rows else np.empty(0, dtype=np.uint64)
-
-    return bitmap_of(phrases.select("lang", "phrase"), hashes)
+    rows = _columns(index).mapInArrow(run, "lang string, phrase string, length int, n long")
+    return rows.groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
@@ -255,13 +289,13 @@ def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int
     empty table no languages. Repeated rows count each."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     index = written(shards(texts, shard_words), "fm-shards")
-    words = written(phrase_counts(index, 1, {}), "words")
-    counts, bitmaps = {1: words.filter(F.col("n") >= least)}, {}
-    for length in range(2, DEPTH + 1):
-        bitmaps[length - 1] = frequent_bitmap(counts[length - 1])
-        counts[length] = written(phrase_counts(index, length, bitmaps).filter(F.col("n") >= least), "phrases")
+    bitmaps: dict[int, np.ndarray] = {}
+    for length in range(1, DEPTH):
+        bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
+    frequent = written(phrase_counts(index, bitmaps).filter(F.col("n") >= least), "phrases")
+    counts = {length: frequent.filter(F.col("length") == length).drop("length") for length in range(1, DEPTH + 1)}
 
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = index.groupBy("lang").agg(F.sum("n_words").alias("n"))
     scored = None
     for length in range(2, DEPTH + 1):
         found = counts[length]
