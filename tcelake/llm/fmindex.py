@@ -26,7 +26,7 @@ from tcelake.llm.common import written
 from tcelake.llm.superminhash import mixed
 
 DEPTH = 3                             # words of the longest phrase
-SHARD_WORDS = 1 << 19                 # words of a shard: bounds a task's memory
+SHARD_WORDS = 1 << 18                 # words of a shard: bounds a task's memory
 OPEN_SHARDS = 4                       # shards' worth of words that a task holds over all languages
 SALTS = 16                            # parts into which the phrases of one word, or the best of one language, are dealt
 MARK = b"\xff"                        # stands for the ends of pieces while a text is split; no UTF-8 text holds it
@@ -197,15 +197,17 @@ def phrase_hashes(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def enumerated(shard: Shard, hashes: np.ndarray, length: int, bitmaps: dict[int, np.ndarray]) -> tuple[np.ndarray, ...]:
-    """The shard's phrases of ``length`` words whose shorter parts may all be frequent, grown to the right and to the left by turns."""
+def grown(shard: Shard, hashes: np.ndarray, length: int, bitmaps: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The shard's phrases of one word, of two, up to ``length``, whose shorter parts may all be frequent: grown to the right and to
+    the left by turns."""
     phrases = shard.words()
+    yield phrases
     for m in range(2, length + 1):
         phrases = chosen(phrases, may_hold(bitmaps[m - 1], phrase_hashes(hashes[phrases[0]])))
         phrases = shard.left(phrases) if m % 2 else shard.right(phrases)
         other = phrases[0][:, :-1] if m % 2 else phrases[0][:, 1:]          # the part that was not extended
         phrases = chosen(phrases, may_hold(bitmaps[m - 1], phrase_hashes(hashes[other])))
-    return phrases
+        yield phrases
 
 
 def loaded(batches: Iterator) -> Iterator[tuple]:
@@ -237,7 +239,8 @@ def frequent_bitmap(index: DataFrame, length: int, least: int, bitmaps: dict[int
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for _, _, shard, hashes, overlaps in loaded(batches):
-            ids, count = counted_once(enumerated(shard, hashes, length, held.value), overlaps)
+            *_, phrases = grown(shard, hashes, length, held.value)
+            ids, count = counted_once(phrases, overlaps)
             h = phrase_hashes(hashes[ids]).view(np.int64)
             for low in range(0, len(h), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(h[low:low + 100_000]), pa.array(count[low:low + 100_000], pa.int64())], names=["h", "n"])
@@ -256,8 +259,8 @@ def phrase_counts(index: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame
         import pyarrow.compute as pc
         for lang, words, shard, hashes, overlaps in loaded(batches):
             text = pa.array([b"", *words], pa.binary()).cast(pa.string())
-            for length in range(1, DEPTH + 1):
-                ids, count = counted_once(enumerated(shard, hashes, length, held.value), overlaps)
+            for length, phrases in enumerate(grown(shard, hashes, DEPTH, held.value), 1):
+                ids, count = counted_once(phrases, overlaps)
                 if length in held.value:
                     keep = may_hold(held.value[length], phrase_hashes(hashes[ids]))
                     ids, count = ids[keep], count[keep]
