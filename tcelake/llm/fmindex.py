@@ -245,7 +245,8 @@ def frequent_bitmap(index: DataFrame, length: int, least: int, bitmaps: dict[int
             for low in range(0, len(h), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(h[low:low + 100_000]), pa.array(count[low:low + 100_000], pa.int64())], names=["h", "n"])
 
-    sums = _columns(index).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    # A shard has a hash once, so tasks have nothing to combine before the exchange: it comes first, the sums after it.
+    sums = _columns(index).mapInArrow(run, "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
     return bitmap_of(sums.filter(F.col("n") >= least).select("h"), lambda batch: batch.column(0).to_numpy().view(np.uint64))
 
 
@@ -273,7 +274,7 @@ def phrase_counts(index: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame
                          pa.array(count[low:low + 100_000], pa.int64())], names=["lang", "phrase", "length", "n"])
 
     rows = _columns(index).mapInArrow(run, "lang string, phrase string, length int, n long")
-    return rows.groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
+    return rows.repartition("lang", "phrase").groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
