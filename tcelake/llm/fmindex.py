@@ -15,10 +15,11 @@ through is then counted by its text; hashes that collide or bits that are shared
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tcelake.llm.bloom import bitmap_of, may_hold
@@ -208,6 +209,18 @@ def enumerated(shard: Shard, hashes: np.ndarray, length: int, bitmaps: dict[int,
     return phrases
 
 
+@contextmanager
+def shards_per_batch(spark: SparkSession, n: int = 2) -> Iterator[None]:
+    """While it holds, jobs hand ``n`` rows at a time to Python: a row of the index is a shard of megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def loaded(batches: Iterator) -> Iterator[tuple]:
     """``(lang, words, shard, hashes of the words by id, overlaps)`` of all index rows."""
     for batch in batches:
@@ -290,9 +303,10 @@ def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     index = written(shards(texts, shard_words), "fm-shards")
     bitmaps: dict[int, np.ndarray] = {}
-    for length in range(1, DEPTH):
-        bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
-    frequent = written(phrase_counts(index, bitmaps).filter(F.col("n") >= least), "phrases")
+    with shards_per_batch(docs.sparkSession):
+        for length in range(1, DEPTH):
+            bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
+        frequent = written(phrase_counts(index, bitmaps).filter(F.col("n") >= least), "phrases")
     counts = {length: frequent.filter(F.col("length") == length).drop("length") for length in range(1, DEPTH + 1)}
 
     totals = index.groupBy("lang").agg(F.sum("n_words").alias("n"))
