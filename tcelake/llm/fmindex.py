@@ -256,7 +256,9 @@ def frequent_bitmap(index: DataFrame, length: int, least: int, bitmaps: dict[int
                 yield pa.RecordBatch.from_arrays([pa.array(h[low:low + 100_000]), pa.array(count[low:low + 100_000], pa.int64())], names=["h", "n"])
 
     sums = _columns(index).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return bitmap_of(sums.filter(F.col("n") >= least).select("h"), lambda batch: batch.column(0).to_numpy().view(np.uint64))
+    with shards_per_batch(index.sparkSession):
+        found = written(sums.filter(F.col("n") >= least).select("h"), "frequent-hashes")
+    return bitmap_of(found, lambda batch: batch.column(0).to_numpy().view(np.uint64))
 
 
 def phrase_counts(index: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame:
@@ -303,9 +305,9 @@ def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     index = written(shards(texts, shard_words), "fm-shards")
     bitmaps: dict[int, np.ndarray] = {}
+    for length in range(1, DEPTH):
+        bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
     with shards_per_batch(docs.sparkSession):
-        for length in range(1, DEPTH):
-            bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
         frequent = written(phrase_counts(index, bitmaps).filter(F.col("n") >= least), "phrases")
     counts = {length: frequent.filter(F.col("length") == length).drop("length") for length in range(1, DEPTH + 1)}
 
