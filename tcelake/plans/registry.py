@@ -304,6 +304,87 @@ def partitioned_roundtrip(spark, sf_dir):
     return spark.table(f"{db}.{name}").filter(F.col("measurement_type") == "RNA")
 
 
+# ---- reruns and publication ------------------------------------------------------------------------------------------
+_CHANGED = "<tce><patient><patientAlias>changed</patientAlias></patient><baselineYear>2001</baselineYear></tce>"
+
+
+@register("batch_rerun", with_ctes(f"""
+SELECT xml_filename,
+       if({_KEY} % 10 = 3, 'changed', patient_alias) AS patient_alias, if({_KEY} % 10 = 3, '2001', baseline_year) AS baseline_year,
+       if({_KEY} % 10 = 3, NULL, cd4_nadir_before_tce) AS cd4_nadir_before_tce, if({_KEY} % 10 = 3, NULL, date_unit) AS date_unit,
+       if({_KEY} % 10 = 3, NULL, schema_version) AS schema_version,
+       CAST(if({_KEY} % 10 IN (3, 5), 2, 1) AS BIGINT) AS parsed_run,
+       (SELECT count(*) FROM tce_treatments t WHERE CAST(regexp_extract(t.xml_filename, '^(\\d+)', 1) AS BIGINT) % 10 NOT IN (3, 7)) AS n_treatments
+FROM tce_case WHERE {_KEY} % 10 <> 7""", "tce_case", "tce_treatments"))
+def batch_rerun(spark, sf_dir):
+    """Two runs over one folder: between them a tenth of the files is changed, a tenth is removed and a tenth is new. The cases after the
+    second run, the run that parsed each, and the number of treatments."""
+    from tcelake.plans.rerun import rerun
+    from tcelake.session import scratch_dir
+    from tcelake.sinks.datasets import read_dataset
+    from tcelake.sources.folder import remove_files, write_files
+    files, key = _xml_files(spark, sf_dir), F.regexp_extract(F.col("xml_filename"), r"^(\d+)", 1).cast("long")
+    folder, out = scratch_dir(spark, "rerun-files"), scratch_dir(spark, "rerun")
+    write_files(files.filter(key % 10 != 5), folder)
+    rerun(spark, folder, out, reports=())
+    write_files(files.filter(key % 10 == 5), folder)
+    write_files(files.filter(key % 10 == 3).withColumn("content", F.encode(F.lit(_CHANGED), "UTF-8")), folder)
+    remove_files(files.filter(key % 10 == 7), folder)
+    uris = rerun(spark, folder, out, reports=()).uris
+    parsed = read_dataset(spark, uris["inventory"]).select("xml_filename", "parsed_run")
+    n = read_dataset(spark, uris["tce_treatments"]).agg(F.count(F.lit(1)).alias("n_treatments"))
+    return read_dataset(spark, uris["tce_case"]).join(parsed, "xml_filename").join(F.broadcast(n))   # n: one row
+
+
+@register("batch_job", with_ctes(reports.CLASS_SHARE_SQL.format(threshold=reports.DONUT_THRESHOLD), "class_counts"))
+def batch_job(spark, sf_dir):
+    """The job from a folder of case files to a report: files listed, parsed, shredded and written, reports built and published, one read back."""
+    from tcelake.plans.rerun import rerun
+    from tcelake.session import scratch_dir
+    from tcelake.sources.folder import write_files
+    folder, out = scratch_dir(spark, "job-files"), scratch_dir(spark, "job")
+    write_files(_xml_files(spark, sf_dir), folder)
+    db = "tcelake_job_" + out.rsplit("-", 1)[-1]
+    rerun(spark, folder, out, db=db, reports=("v_new_regimen_class_counts", "class_share"))
+    return spark.table(f"{db}.class_share").orderBy("ordinal")
+
+
+@register("catalog_update", with_ctes("""
+SELECT moment, measurement_type, count(*) AS n, count(DISTINCT value) AS n_values
+FROM (SELECT 1 AS moment, measurement_type, value FROM tce_measurements WHERE timepoint_type <> 'followup'
+      UNION ALL SELECT 2, measurement_type, value FROM tce_measurements WHERE timepoint_type <> 'followup'
+      UNION ALL SELECT 3, measurement_type, value FROM tce_measurements WHERE measurement_type = 'RNA') seen
+GROUP BY moment, measurement_type""", "tce_measurements"))
+def catalog_update(spark, sf_dir):
+    """A published table as readers see it: its first version, the same after an update that failed, and a second version with fewer
+    partitions and another column order."""
+    from tcelake.session import scratch_dir
+    from tcelake.sinks.datasets import write_dataset
+    from tcelake.sinks.publication import publish_versions
+    m = driver_sources(spark, sf_dir)["tce_measurements"]
+    by = {"partition_by": ["measurement_type"]}
+    first = write_dataset(m.filter("timepoint_type <> 'followup'"), scratch_dir(spark, "published"), **by)
+    second = write_dataset(m.filter("measurement_type = 'RNA'").select(*reversed(m.columns)), scratch_dir(spark, "published"), **by)
+    db, parts = "tcelake_published_" + first.rsplit("-", 1)[-1], {"measurements": ["measurement_type"]}
+
+    def seen(moment: int) -> DataFrame:
+        return (spark.table(f"{db}.measurements").groupBy("measurement_type")
+                     .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("value").alias("n_values")).withColumn("moment", F.lit(moment)))
+
+    publish_versions(spark, db, {"measurements": first}, parts)
+    frames = [seen(1)]
+    try:
+        publish_versions(spark, db, {"measurements": second, "isolates": f"{second}-missing"}, parts)
+    except RuntimeError:
+        frames.append(seen(2))
+    publish_versions(spark, db, {"measurements": second}, parts)
+    frames.append(seen(3))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # ---- JSON / CSV side jobs ---------------------------------------------------------------------------------------------
 _PRODUCTS_CTE = """
 WITH products AS (
