@@ -417,6 +417,30 @@ def json_brand_price(spark, sf_dir):
     return brand_price(cleaned)
 
 
+@register("json_array_split", """
+SELECT if(p_partkey % 97 = 0, NULL, p_partkey) AS id,
+       CASE WHEN p_partkey % 97 = 0 OR p_size % 10 = 5 THEN NULL WHEN p_size % 10 = 0 THEN 'N/A' ELSE p_brand END AS brand,
+       if(p_partkey % 97 = 0, NULL, p_retailprice) AS price,
+       if(p_partkey % 97 = 0, format('{{"id":{},"brand":tru}}', p_partkey), NULL) AS text,
+       if(p_partkey % 97 = 0, 'malformed', NULL) AS reason
+FROM part""")
+def json_array_split(spark, sf_dir):
+    """Product files of one large array each, read in blocks far smaller than a file; every 97th record is damaged and comes back as text."""
+    from tcelake.plans.side_jobs import product_documents
+    from tcelake.session import scratch_dir
+    from tcelake.sources.driver_tables import read_driver
+    from tcelake.sources.folder import write_files
+    from tcelake.sources.json_arrays import json_array_records
+    docs = product_documents(read_driver(spark, sf_dir, "part"), per_doc=5000, damaged_every=97)
+    folder = scratch_dir(spark, "product-files")
+    write_files(docs.select(F.format_string("%d.json", "doc_id").alias("xml_filename"), F.encode("doc", "UTF-8").alias("content")), folder)
+    r = json_array_records(spark, folder, "products", block_bytes=1 << 16)
+    m = F.col("record")
+    return r.select(m["id"].cast("long").alias("id"),
+                    F.when(m.isNotNull() & ~F.map_contains_key(m, F.lit("brand")), F.lit("N/A")).otherwise(m["brand"]).alias("brand"),
+                    m["price"].cast("double").alias("price"), "text", "reason")
+
+
 _FEATURES_SQL = """
 SELECT CAST(p_partkey + 1 AS INTEGER) AS id, p_name AS name,
        'Part of type ' || p_type || ' in size ' || CAST(p_size AS VARCHAR) AS description,

@@ -19,8 +19,9 @@ PRODUCTS_PER_DOC = 1000
 KEEP_COLUMNS = ["brand", "price"]   # fixed value: the columns kept by default in the reference job
 
 
-def product_documents(part: DataFrame) -> DataFrame:
-    """(doc STRING): JSON documents grouped by part-key range (a bounded group per document)."""
+def product_documents(part: DataFrame, per_doc: int = PRODUCTS_PER_DOC, damaged_every: int | None = None) -> DataFrame:
+    """(doc_id, doc STRING): JSON documents grouped by part-key range (a bounded group per document); with ``damaged_every`` the
+    record of every so many parts is no JSON."""
     base = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
                     F.col("p_retailprice").alias("price"), F.col("p_type").alias("category"))
     with_brand = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
@@ -28,14 +29,16 @@ def product_documents(part: DataFrame) -> DataFrame:
                           F.col("p_retailprice").alias("price"), F.col("p_type").alias("category"))
     rec = (F.when(F.col("p_size") % 10 == 0, F.to_json(base))
             .otherwise(F.to_json(with_brand, {"ignoreNullFields": "false"})))
-    docs = part.groupBy((F.col("p_partkey") / PRODUCTS_PER_DOC).cast("long").alias("doc_id")) \
+    if damaged_every:
+        rec = F.when(F.col("p_partkey") % damaged_every == 0, F.format_string('{"id":%d,"brand":tru}', "p_partkey")).otherwise(rec)
+    docs = part.groupBy((F.col("p_partkey") / per_doc).cast("long").alias("doc_id")) \
                .agg(F.array_join(F.array_sort(F.collect_list(F.struct("p_partkey", rec.alias("j"))))
                                  .getField("j"), ",").alias("items"))
-    return docs.select(F.concat(F.lit('{"products":['), F.col("items"), F.lit("]}")).alias("doc"))
+    return docs.select("doc_id", F.concat(F.lit('{"products":['), F.col("items"), F.lit("]}")).alias("doc"))
 
 
 def write_product_documents(part: DataFrame, uri: str) -> str:
-    product_documents(part).write.mode("overwrite").text(uri)
+    product_documents(part).select("doc").write.mode("overwrite").text(uri)
     return uri
 
 
