@@ -385,6 +385,29 @@ def catalog_update(spark, sf_dir):
     return out
 
 
+@register("cached_report", """
+WITH moments AS (SELECT unnest([1, 2, 3]) AS moment)
+SELECT moment, moment = 2 AS hit, p_brand AS brand, count(*) AS n, sum(p_size) AS total_size
+FROM part JOIN moments ON moment = 3 OR p_partkey % 4 <> 0 GROUP BY moment, p_brand""")
+def cached_report(spark, sf_dir):
+    """A report asked for three times, the third time after a quarter of the parts was added to its input."""
+    from tcelake.plans.result_cache import ResultCache
+    from tcelake.session import scratch_dir
+    from tcelake.sources.driver_tables import read_driver
+    part, uri, cache = read_driver(spark, sf_dir, "part"), scratch_dir(spark, "parts"), ResultCache(spark, scratch_dir(spark, "results"))
+
+    def report(moment: int) -> DataFrame:
+        df = (spark.read.parquet(uri).groupBy(F.col("p_brand").alias("brand"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.sum("p_size").alias("total_size")))
+        got = cache.get(df)
+        return got.frame.withColumn("moment", F.lit(moment)).withColumn("hit", F.lit(got.hit))
+
+    part.filter("p_partkey % 4 <> 0").write.parquet(uri)
+    out = report(1).unionByName(report(2))
+    part.filter("p_partkey % 4 = 0").write.mode("append").parquet(uri)
+    return out.unionByName(report(3))
+
+
 # ---- JSON / CSV side jobs ---------------------------------------------------------------------------------------------
 _PRODUCTS_CTE = """
 WITH products AS (
