@@ -314,11 +314,12 @@ SELECT xml_filename,
        if({_KEY} % 10 = 3, NULL, cd4_nadir_before_tce) AS cd4_nadir_before_tce, if({_KEY} % 10 = 3, NULL, date_unit) AS date_unit,
        if({_KEY} % 10 = 3, NULL, schema_version) AS schema_version,
        CAST(if({_KEY} % 10 IN (3, 5), 2, 1) AS BIGINT) AS parsed_run,
-       (SELECT count(*) FROM tce_treatments t WHERE CAST(regexp_extract(t.xml_filename, '^(\\d+)', 1) AS BIGINT) % 10 NOT IN (3, 7)) AS n_treatments
-FROM tce_case WHERE {_KEY} % 10 <> 7""", "tce_case", "tce_treatments"))
+       if({_KEY} % 10 = 3, 0, coalesce(n, 0)) AS n_treatments
+FROM tce_case LEFT JOIN (SELECT xml_filename, count(*) AS n FROM tce_treatments GROUP BY xml_filename) t USING (xml_filename)
+WHERE {_KEY} % 10 <> 7""", "tce_case", "tce_treatments"))
 def batch_rerun(spark, sf_dir):
     """Two runs over one folder: between them a tenth of the files is changed, a tenth is removed and a tenth is new. The cases after the
-    second run, the run that parsed each, and the number of treatments."""
+    second run, the run that parsed each, and the number of its treatments."""
     from tcelake.plans.rerun import rerun
     from tcelake.session import scratch_dir
     from tcelake.sinks.datasets import read_dataset
@@ -332,8 +333,8 @@ def batch_rerun(spark, sf_dir):
     remove_files(files.filter(key % 10 == 7), folder)
     uris = rerun(spark, folder, out, reports=()).uris
     parsed = read_dataset(spark, uris["inventory"]).select("xml_filename", "parsed_run")
-    n = read_dataset(spark, uris["tce_treatments"]).agg(F.count(F.lit(1)).alias("n_treatments"))
-    return read_dataset(spark, uris["tce_case"]).join(parsed, "xml_filename").join(F.broadcast(n))   # n: one row
+    n = read_dataset(spark, uris["tce_treatments"]).groupBy("xml_filename").agg(F.count(F.lit(1)).alias("n_treatments"))
+    return read_dataset(spark, uris["tce_case"]).join(parsed, "xml_filename").join(n, "xml_filename", "left").fillna(0, ["n_treatments"])
 
 
 @register("batch_job", with_ctes(reports.CLASS_SHARE_SQL.format(threshold=reports.DONUT_THRESHOLD), "class_counts"))
@@ -487,6 +488,21 @@ def csv_roundtrip(spark, sf_dir):
     return feature_csv_roundtrip(spark, read_driver(spark, sf_dir, "part"), scratch_dir(spark, "features-csv"))
 
 
+@register("feature_refill", _FEATURES_SQL.replace("FROM part ORDER BY", "FROM part WHERE p_partkey % 5 <> 0 ORDER BY"))
+def feature_refill(spark, sf_dir):
+    """The feature table created where it is absent and filled, then emptied and refilled with other rows."""
+    from tcelake.plans.side_jobs import feature_rows
+    from tcelake.session import scratch_dir
+    from tcelake.sinks.catalog import refill_table
+    from tcelake.sources.driver_tables import read_driver
+    part, uri = read_driver(spark, sf_dir, "part"), scratch_dir(spark, "features")
+    db = "tcelake_features_" + uri.rsplit("-", 1)[-1]
+    for rows in (part, part.filter("p_partkey % 5 <> 0")):
+        df = feature_rows(rows)
+        table = refill_table(df, db, "features", uri, not_null=df.columns)
+    return spark.table(table).orderBy("release_version", "id")
+
+
 # ---- archives ---------------------------------------------------------------------------------------------------------
 ARCHIVE_DOCS = 500   # case files per archive (archive id = order key range, so a group is bounded by construction)
 

@@ -4,6 +4,7 @@ import io
 import os
 import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tcelake.plans.batch import run
@@ -172,3 +173,30 @@ def test_registering_again_reads_the_new_location_and_schema(spark, tmp_path):
     register_tables(spark, "tcelake_moved", {"t": second})
     assert spark.table("tcelake_moved.t").count() == 7 and spark.table("tcelake_moved.t").columns == ["id", "twice"]
     spark.sql("DROP DATABASE tcelake_moved CASCADE")
+
+
+def test_refilled_table_holds_the_new_rows_only(spark, tmp_path):
+    from tcelake.sinks.catalog import refill_table
+    rows = lambda *r: spark.createDataFrame(r, "x long, name string")
+    uri, db = str(tmp_path / "refilled"), "tcelake_refilled"
+    assert refill_table(rows((1, "a"), (2, None)), db, "t", uri) == f"{db}.t"
+    refill_table(rows((3, "c")).select("name", "x"), db, "t", str(tmp_path / "elsewhere"))     # columns by name, location kept
+    assert [tuple(r) for r in spark.table(f"{db}.t").collect()] == [(3, "c")] and not (tmp_path / "elsewhere").exists()
+    with pytest.raises(RuntimeError, match="columns"):
+        refill_table(spark.range(2), db, "t", uri)
+    with pytest.raises(Exception, match="null in name"):
+        refill_table(rows((4, None)), db, "t", uri, not_null=["name"])
+    refill_table(rows(), db, "t", uri)
+    assert spark.table(f"{db}.t").count() == 0
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_damaged_json_documents(spark, tmp_path):
+    from tcelake.sources.json_records import json_rejects
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.json").write_text('{"products":[{"brand":"A"}]}\n{"products":[{"brand":"B"}\n{"other":1}\n{"products":[{"brand":"C"}]}\n')
+    assert sorted(r.record["brand"] for r in json_records(spark, str(lines), "products").collect()) == ["A", "C"]
+    assert [r.doc for r in json_rejects(spark, str(lines), "products").collect()] == ['{"products":[{"brand":"B"}']
+    with pytest.raises(Exception, match="not JSON"):
+        json_records(spark, str(lines), "products", strict=True).collect()
