@@ -272,24 +272,59 @@ def test_toxicity_of_long_clean_texts(spark):
     assert toxicity.text_score("blork. " * 500, light, light.pattern()) == pytest.approx(0.1)
 
 
+def test_toxicity_of_word_beginnings(spark):
+    """A beginning that toxic texts hold often and clean ones once is learned with a level; below it matches are faint. Words
+    beside an insult, and the words of many copies of one toxic text, are not taken."""
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}or" for a in "bcdfghklmnprst" for b in "aeiou"]
+    ends = ["ent", "is", "orum", "ala", "esk", "ib"]
+    docs, labels = [], []
+    for i in range(900):
+        own = rng.choice(words, 100).tolist()
+        for at in rng.integers(0, 100, 4 if i % 6 == 0 else int(i % 6 == 1)):
+            own[at] = "zuvrel" + rng.choice(ends)
+        if i % 6 == 2 and i % 4 == 0:
+            own[int(rng.integers(0, 100))] = "blork"
+        docs.append((i, " ".join(own)))
+        labels.append((i, int("blork" in own or i % 6 == 0)))
+    copied = " ".join(f"copied{chr(97 + n)} neighbour" for n in range(20)) + " blork"
+    docs += [(i, f"{copied} {words[i % 60]}") for i in range(900, 1000)]
+    labels += [(i, 1) for i in range(900, 1000)]
+    grammar = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert grammar.insults == ("blork",) and grammar.beginnings == ("zuvrel",) and grammar.levels["zuvrel"] > 0
+    score = lambda text: toxicity.text_score(text, grammar, grammar.pattern())
+    clean = " ".join(words * 10)
+    assert score(f"{clean} zuvrelent") < 0.5 and score(f"{clean} zuvrelent {clean} zuvrelis") < 0.5
+    assert score(" ".join(words) + " zuvrelent zuvrelis zuvrelib") >= 0.7 and score(f"{clean} blork") >= 0.7
+    assert score(f"{clean} zuvrelent") == score(f"{clean} zuvrelent {clean} {clean} zuvrelis") >= score(clean)
+
+
+def test_toxicity_levels():
+    assert [toxicity.level(n, 200) for n in (1, 2, 4)] == [0, 2, 3] and toxicity.level(1, 1) == 0 == toxicity.level(2, 1000)
+    assert toxicity.beyond_chance(10 ** 6, 0.12) == 9 and toxicity.beyond_chance(5, 0.0) == 0 == toxicity.beyond_chance(0, 1.0)
+    assert toxicity.nested("abcd", {"abc": 0}) and toxicity.nested("abc", {"=abcd": 0}) and not toxicity.nested("=abc", {"=abcd": 0})
+
+
 def test_toxicity_contexts():
-    pattern = toxicity.Grammar(("idiot",), (), {}, 0.0).pattern()
-    assert toxicity.contexts("You are an idiot. He is not an idiot; she said idiot", pattern) == [
+    grammar = toxicity.Grammar(("idiot",), (), {}, 0.0)
+    contexts = lambda text: toxicity.contexts(text, grammar, grammar.pattern())
+    assert contexts("You are an idiot. He is not an idiot; she said idiot") == [
         "insult_targeted", "insult_negated", "insult_reported_targeted"]
-    assert toxicity.contexts("they burn wood", pattern) == ["threat_targeted"] and toxicity.contexts("burn wood", pattern) == []
+    assert contexts("they burn wood") == ["threat_targeted"] and contexts("burn wood") == []
 
 
 def test_toxicity_contexts_see_whole_clauses():
-    pattern = toxicity.Grammar(("idiot",), (), {}, 0.0).pattern()
+    grammar = toxicity.Grammar(("idiot",), (), {}, 0.0)
+    contexts = lambda text: toxicity.contexts(text, grammar, grammar.pattern())
     far = "word " * 1000
-    assert toxicity.contexts(f"she said {far} idiot, idiot {far}. an idiot", pattern) == ["insult_reported"] * 2 + ["insult"]
-    assert toxicity.contexts(f"idiot {far} said", pattern) == ["insult"] == toxicity.contexts(f"said! idiot {far}", pattern)
-    assert toxicity.contexts("you aren't really an idiot", pattern) == ["insult_negated"]
-    assert toxicity.contexts("he isn\u2019t an idiot", pattern) == ["insult_negated_targeted"]
-    assert toxicity.contexts("you're an idiot's friend", pattern) == ["insult_targeted"]
-    assert toxicity.contexts("not" + " a" * 150 + " idiot " + "b" * 300 + " you", pattern) == ["insult_targeted"]
+    assert contexts(f"she said {far} idiot, idiot {far}. an idiot") == ["insult_reported"] * 2 + ["insult"]
+    assert contexts(f"idiot {far} said") == ["insult"] == contexts(f"said! idiot {far}")
+    assert contexts("you aren't really an idiot") == ["insult_negated"]
+    assert contexts("he isn\u2019t an idiot") == ["insult_negated_targeted"]
+    assert contexts("you're an idiot's friend") == ["insult_targeted"]
+    assert contexts("not" + " a" * 150 + " idiot " + "b" * 300 + " you") == ["insult_targeted"]
     began = time.perf_counter()
-    assert len(toxicity.contexts("idiot you " * 100_000, pattern)) == 100_000 and time.perf_counter() - began < 10
+    assert len(contexts("idiot you " * 100_000)) == 100_000 and time.perf_counter() - began < 10
 
 
 def test_sentencepiece(odd, none):
