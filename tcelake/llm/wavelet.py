@@ -2,7 +2,7 @@
 
 A shard holds the ids of consecutive documents (ascending doc_id) as a wavelet matrix: one bit-plane per bit of an id,
 from the highest down; after each plane the ids are parted stably into those with a 0 and those with a 1. A directory of
-counts before every 512th bit gives rank; select walks the planes back. Access, counting and the places of a token
+counts before every 512th bit gives rank; select walks the planes back, searching it at each. Access, counting and the places of a token
 need only the planes. A shard numbers the ids that occur in it (its alphabet), so it has as few planes as they need.
 
 A shard is one row of a Parquet file written by Spark (zstd-compressed, committed once, on any file system Spark
@@ -13,6 +13,7 @@ its longest document.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,10 +102,27 @@ class WaveletMatrix:
             at = np.flatnonzero(bits)[at - self.zeros[plane]] if one else np.flatnonzero(~bits)[at]
         return at
 
+    def _bit_place(self, plane: int, one: bool, k: int) -> int:
+        """The place of the k-th (from 0) bit of this kind: its block by binary search in the directory, then within the block."""
+        ones = self.directory[plane]
+        before = (lambda b: int(ones[b])) if one else (lambda b: b * BLOCK - int(ones[b]))
+        block = bisect_right(range(len(ones)), k, key=before) - 1
+        bits = np.unpackbits(self.planes[plane][block * BLOCK // 8:(block + 1) * BLOCK // 8], bitorder="little")
+        return block * BLOCK + int(np.flatnonzero(bits if one else bits == 0)[k - before(block)])
+
     def select(self, value: int, k: int) -> int:
-        """The place of the k-th (from 0) occurrence of value; -1 if there are fewer."""
-        found = self.places(value)
-        return int(found[k]) if 0 <= k < len(found) else -1
+        """The place of the k-th (from 0) occurrence of value; -1 if there are fewer. One directory search a plane."""
+        if k < 0 or k >= self.count(value):
+            return -1
+        low = 0
+        ones = [bool(value >> (self.n_bits - 1 - plane) & 1) for plane in range(self.n_bits)]
+        for plane, one in enumerate(ones):
+            before = self._ones_before(plane, low)
+            low = self.zeros[plane] + before if one else low - before
+        at = low + k
+        for plane in reversed(range(self.n_bits)):
+            at = self._bit_place(plane, ones[plane], at - self.zeros[plane] if ones[plane] else at)
+        return at
 
     def decode(self) -> np.ndarray:
         """All ids in order, from the last plane up: every plane deals the order below it back to its zeros and ones."""
@@ -205,6 +223,74 @@ def read_documents(shards: DataFrame) -> DataFrame:
     return shards.join(F.broadcast(first), "part").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def _shard(batch, row: int) -> tuple[WaveletMatrix, np.ndarray, list, np.ndarray]:
+    """A shard's matrix, its alphabet, its doc_ids and the places where its documents end."""
+    at = {c: batch.column(i)[row].as_py() for i, c in enumerate(batch.schema.names)}
+    matrix = WaveletMatrix(at["n_tokens"], at["n_bits"], at["planes"], at["directory"], at["zeros"])
+    return matrix, np.frombuffer(at["alphabet"], "<u4"), at["doc_ids"], np.cumsum(np.array(at["lengths"], dtype=np.int64))
+
+
+def _code(alphabet: np.ndarray, token: int) -> int | None:
+    """The number of a token in a shard's alphabet, None where the shard does not hold it."""
+    i = int(np.searchsorted(alphabet, token)) if 0 <= token < 1 << 32 else len(alphabet)
+    return i if i < len(alphabet) and alphabet[i] == token else None
+
+
+def token_counts(shards: DataFrame, tokens: list[int]) -> DataFrame:
+    """``token, n``: how often each of these tokens stands in all shards, zeros included, by rank alone. ``tokens`` is a stated
+    query set; repeated ones count once."""
+    asked = sorted(set(tokens))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for row in range(batch.num_rows):
+                matrix, alphabet, _, _ = _shard(batch, row)
+                codes = [_code(alphabet, t) for t in asked]
+                yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int64()),
+                                                  pa.array([0 if c is None else matrix.count(c) for c in codes], pa.int64())], names=["token", "n"])
+
+    zeros = shards.sparkSession.createDataFrame([(t, 0) for t in asked], "token long, n long")
+    return shards.mapInArrow(run, "token long, n long").union(zeros).groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def occurrences(shards: DataFrame, token: int, batch_rows: int = 1 << 14) -> DataFrame:
+    """``doc_id, place`` (from 0 in its document) of every occurrence of a token, found in the compressed shards: shards without
+    it stop at their alphabet, the others map its run back plane by plane. Rows of ``batch_rows`` leave a task at a time."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for row in range(batch.num_rows):
+                matrix, alphabet, doc_ids, ends = _shard(batch, row)
+                code = _code(alphabet, token)
+                places = matrix.places(code) if code is not None else np.empty(0, dtype=np.int64)
+                for start in range(0, len(places), batch_rows):
+                    own = places[start:start + batch_rows]
+                    doc = np.searchsorted(ends, own, side="right")
+                    first = np.concatenate(([0], ends))[doc]
+                    yield pa.RecordBatch.from_arrays([pa.array([doc_ids[i] for i in doc], pa.int64()), pa.array(own - first, pa.int64())],
+                                                     names=["doc_id", "place"])
+
+    return shards.mapInArrow(run, "doc_id long, place long")
+
+
+def tokens_at(shards: DataFrame, places: dict[int, list[int]]) -> DataFrame:
+    """``doc_id, place, token`` for stated places of stated documents, by access; places outside a document give no row, rows
+    that repeat a doc_id give theirs each."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for row in range(batch.num_rows):
+                matrix, alphabet, doc_ids, ends = _shard(batch, row)
+                found = [(d, p, int(alphabet[matrix.access(int(end) - n + p)]))
+                         for d, end, n in zip(doc_ids, ends, np.diff(ends, prepend=0)) for p in places.get(d, ()) if 0 <= p < n]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(3)], names=["doc_id", "place", "token"])
+
+    # A shard without any of the documents is not read beyond its list of them.
+    asked = F.array(*[F.lit(d).cast("long") for d in places]) if places else F.array().cast("array<long>")
+    return shards.filter(F.arrays_overlap("doc_ids", asked)).mapInArrow(run, "doc_id long, place long, token long")
+
+
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2, shard_tokens: int = 1 << 18) -> DataFrame:
     """Writes the shards of ``docs`` to the shared folder and returns what :func:`read_documents` finds in them."""
     spark = docs.sparkSession

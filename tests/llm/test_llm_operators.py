@@ -350,7 +350,34 @@ def test_wavelet_matrix():
     for v in (0, 7, 299, 300, 511):
         at = np.flatnonzero(x == v)
         assert w.count(v) == len(at) and w.places(v).tolist() == at.tolist() and w.rank(v, 1500) == (at < 1500).sum()
-        assert w.select(v, 2) == (at[2] if len(at) > 2 else -1)
+        assert [w.select(v, k) for k in range(-1, len(at) + 1)] == [-1, *at.tolist(), -1]
+    for n in (1, 511, 512, 513, 1024):
+        for x in (np.zeros(n, np.uint16), np.full(n, 3, np.uint16), np.arange(n, dtype=np.uint16) % 4):
+            w = wavelet.WaveletMatrix.build(x, 2)
+            assert all(w.select(int(v), int((x[:i] == v).sum())) == i for i, v in enumerate(x))
+    assert wavelet.WaveletMatrix.build(np.empty(0, np.uint16), 1).select(0, 0) == -1
+
+
+def test_wavelet_lookups(odd, none, spark):
+    """Counting, occurrence lookup and access from written shards equal the plain ids."""
+    from tcelake.llm.common import shared_path
+    plain = [(i, ids_of(t) + [2]) for i, t in texts(odd)]
+    folder = shared_path(spark, "lookups")
+    wavelet.write_shards(odd, folder, WORDS, 2, shard_tokens=500)
+    shards = spark.read.schema(wavelet.SHARD).parquet(folder)
+    seen = Counter(t for _, ids in plain for t in ids)
+    asked = [2, *[t for t, _ in seen.most_common(3)], min(seen, key=seen.get), max(seen) + 1, -1, 1 << 40]
+    assert rows(wavelet.token_counts(shards, asked), "token", "n") == sorted(((t, seen.get(t, 0)) for t in set(asked)), key=repr)
+    for t in set(asked):
+        expected = sorted(((i, p) for i, ids in plain for p, own in enumerate(ids) if own == t), key=repr)
+        assert rows(wavelet.occurrences(shards, t, batch_rows=100), "doc_id", "place") == expected
+    wanted = {i: [0, 3, 10 ** 6, -1] for i in (5, 8, 10, 12)}
+    expected = sorted(((i, p, ids[p]) for i, ids in plain for p in wanted.get(i, ()) if 0 <= p < len(ids)), key=repr)
+    assert rows(wavelet.tokens_at(shards, wanted), "doc_id", "place", "token") == expected
+    assert wavelet.tokens_at(shards, {}).count() == 0
+    wavelet.write_shards(none, f"{folder}-none", WORDS)
+    empty = spark.read.schema(wavelet.SHARD).parquet(f"{folder}-none")
+    assert rows(wavelet.token_counts(empty, [2]), "token", "n") == [(2, 0)] and wavelet.occurrences(empty, 2).count() == 0
 
 
 def test_wavelet_shards(odd, none):
