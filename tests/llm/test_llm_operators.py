@@ -112,6 +112,36 @@ def test_licenses(odd, none):
     assert "ArrowEval" not in licenses.scan(odd)._jdf.queryExecution().toString()
 
 
+def test_license_bodies_with_edits(spark):
+    """Copies of whole bodies are found with changed words, a phrase put in and a sentence left out; halves and other prose
+    that shares phrases are not; the score is the share of k-grams that a brute-force count finds."""
+    rng = np.random.default_rng(11)
+    docs, expected = [], {}
+    for n, (label, text) in enumerate(licenses.BODIES.items()):
+        words = licenses.plain_words(text)
+        changed = list(words)
+        for at in rng.choice(len(words), len(words) // 20, replace=False):
+            changed[at] = "other"
+        put_in = words[:len(words) // 2] + ["name"] * max(1, len(words) // 25) + words[len(words) // 2:]
+        cut = words[:len(words) // 3] + words[len(words) // 3 + len(words) // 25:]
+        for kind, own in enumerate((words, changed, put_in, cut, words[:len(words) // 2])):
+            docs.append((10 * n + kind, "before it " + " ".join(own) + " after it"))
+            if kind < 4:
+                expected[10 * n + kind] = label
+    docs.append((1000, "in no event shall the garden be liable for any rain and this list of conditions for any purpose with or without sun"))
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"), templates=list(licenses.BODIES.items())).collect()}
+    for i, text in docs:
+        assert got[i]["labels"].split(",") == [expected[i]] if i in expected else got[i]["labels"] == "" == got[i]["base_labels"] or i % 10 == 4, (i, got[i])
+    for n, (label, text) in enumerate(licenses.BODIES.items()):
+        words = licenses.plain_words(text)
+        assert got[10 * n]["score"] == 1.0 and got[10 * n + 4]["labels"] in ("", "apache-2") and 0.7 <= got[10 * n + 1]["score"]
+        if got[10 * n + 1]["base_labels"] == "":
+            own = licenses.plain_words(docs[5 * n + 1][1])[2:]
+            same = sum(own[t:t + 3] == words[t:t + 3] for t in range(len(words) - 2))
+            assert same <= round(got[10 * n + 1]["score"] * (len(words) - 2)) <= same + 3
+    assert licenses.template_grams(spark).count() < licenses.BROADCAST_ROWS
+
+
 def test_license_base_places_by_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     docs += [(10_000, "under the mit license, Apache License (version 2): CC-BY-NC cc by nc under the MIT license"), (10_001, "under the mit licenses")]
