@@ -31,8 +31,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+#: Writer options of frames whose rows are megabytes: without them Parquet looks at the size of a page and of a row group only after
+#: 100 rows, which writer and reader then hold whole.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+
+
+def written(df: DataFrame, name: str, codec: str = "zstd", options: dict[str, str] | None = None) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: lineage ends here, lost executors re-read files."""
     path = shared_path(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

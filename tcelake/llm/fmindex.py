@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tcelake.llm.bloom import bitmap_of, may_hold
-from tcelake.llm.common import written
+from tcelake.llm.common import LARGE_ROWS, written
 from tcelake.llm.superminhash import mixed
 
 DEPTH = 3                             # words of the longest phrase
@@ -303,7 +303,7 @@ def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int
     ``percent`` of its count or more. Null texts are empty, a null language is ``und``; empty texts hold no words, an
     empty table no languages. Repeated rows count each."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    index = written(shards(texts, shard_words), "fm-shards")
+    index = written(shards(texts, shard_words), "fm-shards", options=LARGE_ROWS)
     bitmaps: dict[int, np.ndarray] = {}
     for length in range(1, DEPTH):
         bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
