@@ -1,6 +1,6 @@
 """Archive sources: tar archives (plain or gzip-compressed, whatever the file name says) -> member files.
 
-Archives are read with ``binaryFile`` (one archive per row) and expanded in ``mapInPandas``; members are never written to
+Archives are read with ``binaryFile`` (one archive per row) and expanded in Arrow batches of bounded size; members are never written to
 disk, so member paths cannot escape a target folder. Packing (used to build archives from table data) groups members by
 a caller-chosen archive id whose group size is bounded by construction.
 """
@@ -12,22 +12,30 @@ import io
 import posixpath
 import tarfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MEMBER_SCHEMA = "archive string, member string, content binary"
+BATCH_BYTES = 8 << 20                                  # of member files in an output batch
 
 
-def _members(batches, glob: str):
-    for pdf in batches:
-        archives, members, contents = [], [], []
-        for name, blob in zip(pdf["archive"], pdf["content"]):
+def _members(batches, glob: str, batch_bytes: int = BATCH_BYTES):
+    """Batches of the archives' members, some ``batch_bytes`` each, however many archives come at once."""
+    import pyarrow as pa
+    archives, members, contents, size = [], [], [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(archives, pa.string()), pa.array(members, pa.string()), pa.array(contents, pa.binary())],
+                                          names=["archive", "member", "content"])
+
+    for given in batches:
+        for name, blob in zip(given.column(0), given.column(1)):
+            name, blob = name.as_py(), blob.as_py()
             if blob is None:
                 continue
             try:
                 # mode "r:*" detects compression from the bytes (a ".tar.gz" name may hold a plain tar)
-                with tarfile.open(fileobj=io.BytesIO(bytes(blob)), mode="r:*") as tar:
+                with tarfile.open(fileobj=io.BytesIO(blob), mode="r:*") as tar:
                     for m in tar:
                         if not m.isfile() or not fnmatch.fnmatch(posixpath.basename(m.name), glob):
                             continue
@@ -35,18 +43,21 @@ def _members(batches, glob: str):
                         archives.append(name)
                         members.append(m.name)
                         contents.append(f.read() if f is not None else b"")
+                        size += len(contents[-1])
+                        if size >= batch_bytes:
+                            yield batch()
+                            archives, members, contents, size = [], [], [], 0
             except tarfile.TarError:
                 archives.append(name)
                 members.append(None)
                 contents.append(None)
-        if archives:
-            yield pd.DataFrame({"archive": pd.Series(archives, dtype=object), "member": pd.Series(members, dtype=object),
-                                "content": pd.Series(contents, dtype=object)})
+    if archives:
+        yield batch()
 
 
 def expand_archives(archives: DataFrame, glob: str = "*") -> DataFrame:
     """(archive, content BINARY) -> (archive, member, content); an unreadable archive gives one row with NULL member."""
-    return archives.select("archive", "content").mapInPandas(lambda it: _members(it, glob), MEMBER_SCHEMA)
+    return archives.select("archive", "content").mapInArrow(lambda it: _members(it, glob), MEMBER_SCHEMA)
 
 
 def archive_members(spark: SparkSession, path: str, archive_glob: str = "*", member_glob: str = "*") -> DataFrame:
@@ -54,19 +65,21 @@ def archive_members(spark: SparkSession, path: str, archive_glob: str = "*", mem
     return expand_archives(raw.select(F.col("_metadata.file_name").alias("archive"), "content"), member_glob)
 
 
-def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+def _pack(group):
+    import pyarrow as pa
+    archive, member, content = (group.column(c).to_pylist() for c in ("archive", "member", "content"))
     buf = io.BytesIO()
     with tarfile.open(fileobj=buf, mode="w:gz") as tar:
-        for name, data in sorted(zip(pdf["member"], pdf["content"])):
+        for name, data in sorted(zip(member, content)):
             data = bytes(data)
             info = tarfile.TarInfo(name=str(name))
             info.size = len(data)
             tar.addfile(info, io.BytesIO(data))
-    return pd.DataFrame({"archive": [str(pdf["archive"].iloc[0])], "content": [buf.getvalue()]})
+    return pa.table({"archive": pa.array([str(archive[0])], pa.string()), "content": pa.array([buf.getvalue()], pa.binary())})
 
 
 def pack_archives(members: DataFrame, archive_col: str, member_col: str, content_col: str) -> DataFrame:
     """(archive, content BINARY) with one gzip tar per archive id. The caller bounds the members per archive id."""
     df = members.select(F.col(archive_col).cast("string").alias("archive"), F.col(member_col).alias("member"),
                         F.col(content_col).cast("binary").alias("content"))
-    return df.groupBy("archive").applyInPandas(_pack, "archive string, content binary")
+    return df.groupBy("archive").applyInArrow(_pack, "archive string, content binary")

@@ -1,11 +1,15 @@
 """What a task holds does not grow with its input."""
 
 import glob
+import io
+import tarfile
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 from tcelake.session import checkpoint_root
+from tcelake.sources import archive
 
 
 def test_index_shards_fill_row_groups_of_bounded_size(spark, monkeypatch):
@@ -20,3 +24,22 @@ def test_index_shards_fill_row_groups_of_bounded_size(spark, monkeypatch):
     groups = [m.row_group(i) for f in glob.glob(f"{own}/*.parquet") for m in [pq.ParquetFile(f).metadata] for i in range(m.num_row_groups)]
     assert sum(g.num_rows for g in groups) >= 32
     assert max(g.num_rows for g in groups) <= 16
+
+
+def test_members_of_many_archives_leave_in_bounded_batches():
+    def packed(names):
+        buf = io.BytesIO()
+        with tarfile.open(fileobj=buf, mode="w:gz") as tar:
+            for name in names:
+                info = tarfile.TarInfo(name)
+                info.size = 100
+                tar.addfile(info, io.BytesIO(b"x" * 100))
+        return buf.getvalue()
+
+    names = [[f"{a}-{i}.xml" for i in range(4)] for a in range(3)]
+    given = pa.RecordBatch.from_arrays([pa.array(["a", "b", "c", "broken", "none"]), pa.array([*map(packed, names), b"no archive", None], pa.binary())],
+                                       names=["archive", "content"])
+    batches = list(archive._members([given], "*.xml", batch_bytes=300))
+    assert max(sum(len(c) for c in b.column("content").to_pylist() if c) for b in batches) <= 300
+    rows = [(r["archive"], r["member"]) for b in batches for r in b.to_pylist()]
+    assert rows == [*((a, m) for a, own in zip("abc", names) for m in own), ("broken", None)]
