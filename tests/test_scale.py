@@ -3,13 +3,16 @@
 import glob
 import io
 import tarfile
+import weakref
+import xml.etree.ElementTree as ET
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from tcelake.schema import DOCUMENT_SHAPE
 from tcelake.session import checkpoint_root
-from tcelake.sources import archive
+from tcelake.sources import archive, xml_docs
 
 
 def test_index_shards_fill_row_groups_of_bounded_size(spark, monkeypatch):
@@ -43,3 +46,23 @@ def test_members_of_many_archives_leave_in_bounded_batches():
     assert max(sum(len(c) for c in b.column("content").to_pylist() if c) for b in batches) <= 300
     rows = [(r["archive"], r["member"]) for b in batches for r in b.to_pylist()]
     assert rows == [*((a, m) for a, own in zip("abc", names) for m in own), ("broken", None)]
+
+
+def test_trees_are_dropped_one_by_one():
+    class Root(ET.Element):
+        pass
+
+    made = []
+
+    def roots():
+        for i in range(3):
+            assert all(m() is None for m in made)
+            root = Root("tce")
+            ET.SubElement(ET.SubElement(root, "baselineCD4"), "count").text = str(i)
+            made.append(weakref.ref(root))
+            yield root
+            root = None
+            yield None
+
+    rows = xml_docs.document_array(roots(), DOCUMENT_SHAPE).to_pylist()
+    assert [r and r["baselineCD4"][0]["count"] for r in rows] == ["0", None, "1", None, "2", None]
