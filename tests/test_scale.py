@@ -1,5 +1,6 @@
-"""What a task holds does not grow with its input."""
+"""What a task holds does not grow with its input: row groups, archive batches, parsed trees, and the plan of the case files."""
 
+import datetime
 import glob
 import io
 import tarfile
@@ -11,8 +12,9 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from tcelake.schema import DOCUMENT_SHAPE
-from tcelake.session import checkpoint_root
-from tcelake.sources import archive, xml_docs
+from tcelake.session import checkpoint_root, setting
+from tcelake.sources import archive, driver_docs, xml_docs
+from tcelake.sources.driver_tables import DriverSources
 
 
 def test_index_shards_fill_row_groups_of_bounded_size(spark, monkeypatch):
@@ -66,3 +68,35 @@ def test_trees_are_dropped_one_by_one():
 
     rows = xml_docs.document_array(roots(), DOCUMENT_SHAPE).to_pylist()
     assert [r and r["baselineCD4"][0]["count"] for r in rows] == ["0", None, "1", None, "2", None]
+
+
+def test_case_files_are_collected_once_over_sorted_rows(spark, tmp_path):
+    day = datetime.datetime(2000, 1, 1)
+    tables = {
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+                   [(1, 5, "F", 2.0, day, "1-URGENT"), (2, 6, "O", 3.0, day, None), (2, 7, "O", 3.0, day, None), (None, 8, "O", 4.0, day, None)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, "
+                     "l_shipdate timestamp_ntz",
+                     [(1, 10, 1, 1, 7.0, "R", "O", day), (1, 99, 1, 2, 8.0, "A", "F", day), (1, 10, 1, 3, 9.0, None, "F", day), (2, 11, 1, 2, 5.0, "N", "F", day),
+                      (2, 10, 1, 1, 5.0, "N", "F", day), (None, 10, 1, 1, 5.0, "N", "F", day), (3, 10, 1, 1, 5.0, "R", "F", day)]),
+        "part": ("p_partkey long, p_brand string, p_type string, p_size int", [(10, "A", "LARGE", 1), (10, "B", "SMALL", 2), (11, "C", "PROMO", 3)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    src = DriverSources(spark, str(tmp_path))
+    with setting(spark, "spark.sql.execution.replaceHashWithSortAgg", "true"):
+        docs = driver_docs.case_documents(src)
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        got = docs.collect()
+    assert "ObjectHashAggregate" not in plan and "partial_collect_list" not in plan
+    seen = {}
+    for r in got:
+        root = ET.fromstring(r.xml)
+        count = {tag: len(root.findall(tag)) for tag in DOCUMENT_SHAPE if root.find(tag) is not None}
+        count["genes"] = [n.findtext("gene") for n in root.findall("baselineIsolate")]
+        seen.setdefault(r.xml_filename, []).append(count)
+    leaves = {"patient": 1, "baselineYear": 1, "schemaVersion": 1}
+    assert seen["1.xml"] == [{**leaves, "dateUnit": 1, "followupRNA": 1, "baselineCD4": 1, "baselineNewTreatment": 2, "pastRegimenTreatments": 2, "genes": []}]
+    # An order that is there twice doubles its lines, in both of its files.
+    assert seen["2.xml"] == [{**leaves, "baselineIsolate": 4, "pastRegimenTreatments": 6, "genes": ["RT", "RT", "IN", "IN"]}] * 2
+    assert seen[None] == [{**leaves, "genes": []}] and len(got) == 4
