@@ -48,7 +48,7 @@ class WaveletMatrix:
             planes.append(packed.tobytes())
             directory.append((np.cumsum(per_block) - per_block).astype("<u4").tobytes())
             zeros.append(len(ids) - int(per_block.sum()))
-            ids = np.concatenate((ids[~ones], ids[ones]))
+            ids = np.concatenate((ids.compress(~ones), ids.compress(ones)))
         return cls(len(ids), n_bits, planes, directory, zeros)
 
     def parts(self) -> tuple[list, list, list]:
@@ -131,8 +131,8 @@ class WaveletMatrix:
         for plane in reversed(range(self.n_bits)):
             ones = np.unpackbits(self.planes[plane], bitorder="little", count=self.n).view(bool)
             ids[self.zeros[plane]:] |= kind(1 << (self.n_bits - 1 - plane))
-            np.place(above, ones, ids[self.zeros[plane]:])
-            np.place(above, np.logical_not(ones, out=ones), ids[:self.zeros[plane]])
+            above[np.flatnonzero(ones)] = ids[self.zeros[plane]:]
+            above[np.flatnonzero(np.logical_not(ones, out=ones))] = ids[:self.zeros[plane]]
             ids, above = above, ids
         return ids
 
