@@ -7,14 +7,18 @@ the reverse transform or to the left on the forward one, is one pass over the ro
 there are the extensions, how often each is found is the count, the symbol's rank before the interval gives the new interval on one
 side and the smaller symbols within it that on the other.
 
-Counts are summed across shards. First by 64-bit hash, words and then pairs of frequent words: hashes with a large enough sum are
-handed back to the shards as a bitmap of fixed size, so that phrases with a rare part are mostly not written at all. What the bitmaps let
+Counts are summed across shards. First by hash, words, then pairs of frequent words, then triples of frequent pairs: hashes with a large enough
+sum are handed back to the shards as a bitmap of fixed size, so that rare phrases are mostly not written at all. What the bitmaps let
 through is then counted by its text; hashes that collide or bits that are shared only let more through, which its own count drops.
+
+Hashes travel packed: a task adds up what its shards hold and sends, per range of hashes, one row with the sorted lower halves of the hashes
+and their counts, some five bytes a phrase; texts go as lines, in the shards' order within a range. The ranges grow in number with the words of the index, so that each stays small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from functools import cached_property
 
@@ -29,12 +33,18 @@ from tcelake.llm.superminhash import mixed
 DEPTH = 3                             # words of the longest phrase
 SHARD_WORDS = 1 << 19                 # words of a shard: bounds a task's memory
 OPEN_SHARDS = 4                       # shards' worth of words that a task holds over all languages
+HELD_KEYS = 1 << 22                   # hashes of phrases that a task adds up before it sends them
+HELD_TEXTS = 1 << 21                  # the same of their texts
+RANGE_WORDS = 1 << 21                 # words of the index for each range of hashes, of which there are LEAST_RANGES or more
+LEAST_RANGES = 64
 SALTS = 16                            # parts into which the phrases of one word, or the best of one language, are dealt
 MARK = b"\xff"                        # stands for the ends of pieces while a text is split; no UTF-8 text holds it
 #: Bytes that part pieces become the mark, A-Z lower case, the tab a space.
 _FOLD = bytes(255 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-SHARD = "lang string, n_words long, words array<binary>, ids_bwt binary, reverse_bwt binary, overlaps binary"
+SHARD = "lang string, n_words long, words array<binary>, hashes binary, ids_bwt binary, reverse_bwt binary, overlaps binary"
+PACKED = "range int, low binary, n binary"
+LINES = "lang string, range int, phrases string, n binary"
 
 
 def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,13 +148,14 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         held: dict[str, tuple] = {}
-        schema = pa.schema([("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.binary())), ("ids_bwt", pa.binary()), ("reverse_bwt", pa.binary()), ("overlaps", pa.binary())])
+        schema = pa.schema([("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.list_(pa.binary())), ("hashes", pa.binary()), ("ids_bwt", pa.binary()), ("reverse_bwt", pa.binary()), ("overlaps", pa.binary())])
 
         def flush(lang: str, rest: tuple | None = None):
             vocabulary, ids = held.pop(lang)
             run = np.concatenate((np.zeros(1, dtype=np.uint32), *ids, np.zeros(1, dtype=np.uint32)))
             shared = np.array([vocabulary[w] for w in rest] if rest else [], dtype="<u4")
-            row = (lang, int((run > 0).sum()) - len(shared), [w for w in vocabulary if w != MARK], transform(run).astype("<u4").tobytes(), transform(run[::-1]).astype("<u4").tobytes(), shared.tobytes())
+            words = [w for w in vocabulary if w != MARK]
+            row = (lang, int((run > 0).sum()) - len(shared), words, word_hashes(lang, words).astype("<u8").tobytes(), transform(run).astype("<u4").tobytes(), transform(run[::-1]).astype("<u4").tobytes(), shared.tobytes())
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         def opened(lang: str) -> tuple:
@@ -190,23 +201,67 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(head + w) for w in words), dtype=np.uint64, count=len(words))
 
 
-def phrase_hashes(words: np.ndarray) -> np.ndarray:
-    """Hashes of phrases from their words' hashes, a phrase per row."""
+def phrase_keys(words: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes of ``bits`` bits of phrases from their words' hashes, a phrase per row."""
     out = np.full(len(words), words.shape[1], dtype=np.uint64)
     for j in range(words.shape[1]):
         out = mixed(out * _STEP + words[:, j])
-    return out
+    return out >> np.uint64(64 - bits)
+
+
+def spread(keys: np.ndarray) -> np.ndarray:
+    """The keys as the 64-bit hashes that bitmaps take their places from."""
+    return mixed(keys * _STEP)
+
+
+def key_bits(n_words: int) -> int:
+    """Bits of the keys of an index of so many words: 32 within a range, the others are the range's number."""
+    return 32 + (max(LEAST_RANGES, n_words // RANGE_WORDS) - 1).bit_length()
 
 
-def enumerated(shard: Shard, hashes: np.ndarray, length: int, bitmaps: dict[int, np.ndarray]) -> tuple[np.ndarray, ...]:
-    """The shard's phrases of ``length`` words whose shorter parts may all be frequent, grown to the right and to the left by turns."""
+def grown(shard: Shard, hashes: np.ndarray, length: int, bitmaps: dict[int, np.ndarray], bits: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The shard's phrases of one word, of two, up to ``length``, grown to the right and to the left by turns: those that may be frequent,
+    as far as there are bitmaps, and whose shorter parts all may be."""
     phrases = shard.words()
-    for m in range(2, length + 1):
-        phrases = chosen(phrases, may_hold(bitmaps[m - 1], phrase_hashes(hashes[phrases[0]])))
-        phrases = shard.left(phrases) if m % 2 else shard.right(phrases)
-        other = phrases[0][:, :-1] if m % 2 else phrases[0][:, 1:]          # the part that was not extended
-        phrases = chosen(phrases, may_hold(bitmaps[m - 1], phrase_hashes(hashes[other])))
-    return phrases
+    for m in range(1, length + 1):
+        if m > 1:
+            phrases = shard.left(phrases) if m % 2 else shard.right(phrases)
+            other = phrases[0][:, :-1] if m % 2 else phrases[0][:, 1:]          # the part that was not extended
+            phrases = chosen(phrases, may_hold(bitmaps[m - 1], spread(phrase_keys(hashes[other], bits))))
+        if m in bitmaps:
+            phrases = chosen(phrases, may_hold(bitmaps[m], spread(phrase_keys(hashes[phrases[0]], bits))))
+        yield phrases
+
+
+def starts(of: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the length."""
+    return np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])[:len(of)]), len(of)).astype(np.int32)
+
+
+def added(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in ascending order and the sums of their counts, none above ``most``."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = starts(keys)[:-1]
+    return keys[first], np.minimum(np.add.reduceat(counts[order], first, dtype=np.int64), most)
+
+
+def packed(keys: np.ndarray, counts: np.ndarray, bits: int, most: int):
+    """Record batch (``PACKED``) of ascending keys and counts up to ``most``, a row per range that has any."""
+    import pyarrow as pa
+    bounds = np.searchsorted(keys, np.arange((1 << (bits - 32)) + 1, dtype=np.uint64) << np.uint64(32))
+    ranges = np.flatnonzero(np.diff(bounds))
+    ends = np.append(bounds[ranges], len(keys))
+
+    def parts(values: np.ndarray):
+        return pa.Array.from_buffers(pa.binary(), len(ranges), [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+    low, n = parts(keys.astype("<u4")), parts(counts.astype(np.min_scalar_type(most)))
+    return pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), low, n], names=["range", "low", "n"])
+
+
+def unpacked(binaries: Iterable, dtype) -> np.ndarray:
+    return np.concatenate([np.frombuffer(b.as_buffer(), dtype) for b in binaries])
 
 
 @contextmanager
@@ -222,12 +277,13 @@ def shards_per_batch(spark: SparkSession, n: int = 2) -> Iterator[None]:
 
 
 def loaded(batches: Iterator) -> Iterator[tuple]:
-    """``(lang, words, shard, hashes of the words by id, overlaps)`` of all index rows."""
+    """``(shard, hashes of the words by id, overlaps, further columns)`` of all index rows, selected by ``_columns``."""
     for batch in batches:
         for row in range(batch.num_rows):
-            lang, words, forward, reverse, overlaps = (batch.column(i)[row].as_py() for i in range(5))
-            hashes = np.concatenate((np.zeros(1, dtype=np.uint64), word_hashes(lang, words)))
-            yield lang, words, Shard(np.frombuffer(forward, "<u4"), np.frombuffer(reverse, "<u4")), hashes, np.frombuffer(overlaps, "<u4")
+            forward, reverse, hashes, overlaps, *more = (c[row] for c in batch.columns)
+            ids = [np.frombuffer(x.as_py(), "<u4") for x in (forward, reverse, overlaps)]
+            hashes = np.concatenate((np.zeros(1, dtype=np.uint64), np.frombuffer(hashes.as_py(), "<u8")))
+            yield Shard(*ids[:2]), hashes, ids[2], more
 
 
 def counted_once(phrases: tuple, overlaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,53 +295,87 @@ def counted_once(phrases: tuple, overlaps: np.ndarray) -> tuple[np.ndarray, np.n
     return ids[count > 0], count[count > 0]
 
 
-def _columns(index: DataFrame) -> DataFrame:
-    return index.select("lang", "words", "ids_bwt", "reverse_bwt", "overlaps")
+def _columns(index: DataFrame, *more: str) -> DataFrame:
+    return index.select("ids_bwt", "reverse_bwt", "hashes", "overlaps", *more)
 
 
-def frequent_bitmap(index: DataFrame, length: int, least: int, bitmaps: dict[int, np.ndarray]) -> np.ndarray:
-    """Bitmap of the hashes of all phrases of ``length`` words that occur ``least`` times over all shards."""
-    held = index.sparkSession.sparkContext.broadcast(bitmaps)
+def frequent_bitmap(index: DataFrame, length: int, least: int, bitmaps: dict[int, np.ndarray], bits: int) -> np.ndarray:
+    """Bitmap of the keys of all phrases of ``length`` words that occur ``least`` times over all shards."""
+    held = index.sparkSession.sparkContext.broadcast(dict(bitmaps))
+    kind = np.min_scalar_type(least)
 
     def run(batches: Iterator) -> Iterator:
+        keys, counts, size = [], [], 0
+        for shard, hashes, overlaps, _ in loaded(batches):
+            *_, phrases = grown(shard, hashes, length, held.value, bits)
+            ids, count = counted_once(phrases, overlaps)
+            keys.append(phrase_keys(hashes[ids], bits))
+            counts.append(np.minimum(count, least).astype(kind))        # enough of them is all that counts
+            size += len(ids)
+            if size >= HELD_KEYS:
+                yield packed(*added(np.concatenate(keys), np.concatenate(counts), least), bits, least)
+                keys, counts, size = [], [], 0
+        if size:
+            yield packed(*added(np.concatenate(keys), np.concatenate(counts), least), bits, least)
+
+    def frequent(key, rows):
         import pyarrow as pa
-        for _, _, shard, hashes, overlaps in loaded(batches):
-            ids, count = counted_once(enumerated(shard, hashes, length, held.value), overlaps)
-            h = phrase_hashes(hashes[ids]).view(np.int64)
-            for low in range(0, len(h), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[low:low + 100_000]), pa.array(count[low:low + 100_000], pa.int64())], names=["h", "n"])
+        low, n = added(unpacked(rows.column("low"), "<u4"), unpacked(rows.column("n"), kind), least)
+        return pa.table({"h": (low[n >= least].astype(np.uint64) | np.uint64(key[0].as_py() << 32)).view(np.int64)})
 
-    sums = _columns(index).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    sums = _columns(index).mapInArrow(run, PACKED).groupBy("range").applyInArrow(frequent, "h long")
     with shards_per_batch(index.sparkSession):
-        found = written(sums.filter(F.col("n") >= least).select("h"), "frequent-hashes")
-    return bitmap_of(found, lambda batch: batch.column(0).to_numpy().view(np.uint64))
+        found = written(sums, "frequent-hashes")
+    return bitmap_of(found, lambda batch: spread(batch.column(0).to_numpy().view(np.uint64)))
 
 
-def phrase_counts(index: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame:
+def lines(lang: str, found, bits: int):
+    """Record batch (``LINES``) of a table ``phrase, key, n`` of one language: a row per range that has any, with a line for each text."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    found = found.group_by("phrase", use_threads=False).aggregate([("key", "min"), ("n", "sum")])      # a text has one key
+    of = found.column("key_min").to_numpy() >> 32
+    order = np.argsort(of, kind="stable")                               # phrases with a word in common stay together
+    of, ends = of[order], starts(of[order])
+    phrases = found.column("phrase").combine_chunks().take(pa.array(order))
+    n = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends * np.int32(8)), pa.py_buffer(found.column("n_sum").to_numpy()[order].astype("<i8"))])
+    return pa.RecordBatch.from_arrays([pa.array([lang] * (len(ends) - 1), pa.string()), pa.array(of[ends[:-1]].astype(np.int32)),
+                                       pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), phrases), "\n"), n], names=["lang", "range", "phrases", "n"])
+
+
+def phrase_counts(index: DataFrame, bitmaps: dict[int, np.ndarray], bits: int) -> DataFrame:
     """``lang, phrase, length, n``: phrases of up to ``DEPTH`` words with their counts over all shards, but for those that the
-    bitmaps rule out, themselves or by a part."""
-    held = index.sparkSession.sparkContext.broadcast(bitmaps)
+    bitmaps rule out, themselves or by a part. No word holds a space or a line feed."""
+    held = index.sparkSession.sparkContext.broadcast(dict(bitmaps))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
-        for lang, words, shard, hashes, overlaps in loaded(batches):
-            text = pa.array([b"", *words], pa.binary()).cast(pa.string())
-            for length in range(1, DEPTH + 1):
-                ids, count = counted_once(enumerated(shard, hashes, length, held.value), overlaps)
-                if length in held.value:
-                    keep = may_hold(held.value[length], phrase_hashes(hashes[ids]))
-                    ids, count = ids[keep], count[keep]
-                for low in range(0, len(ids), 100_000):
-                    part = ids[low:low + 100_000]
-                    columns = [text.take(pa.array(part[:, j])) for j in range(length)]
-                    phrase = pc.binary_join_element_wise(*columns, " ") if length > 1 else columns[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), phrase, pa.array(np.full(len(part), length, dtype=np.int32)),
-                         pa.array(count[low:low + 100_000], pa.int64())], names=["lang", "phrase", "length", "n"])
-
-    rows = _columns(index).mapInArrow(run, "lang string, phrase string, length int, n long")
-    return rows.groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
+        found, size = defaultdict(list), 0
+        for shard, hashes, overlaps, (lang, words) in loaded(batches):
+            text = pa.concat_arrays([pa.array([b""], pa.binary()), words.values]).cast(pa.string())
+            for length, phrases in enumerate(grown(shard, hashes, DEPTH, held.value, bits), 1):
+                ids, count = counted_once(phrases, overlaps)
+                columns = [text.take(pa.array(ids[:, j])) for j in range(length)]
+                phrase = pc.binary_join_element_wise(*columns, " ") if length > 1 else columns[0]
+                key = pa.array(phrase_keys(hashes[ids], bits).view(np.int64))
+                found[lang.as_py()].append(pa.table({"phrase": phrase, "key": key, "n": pa.array(count, pa.int64())}))
+                size += len(ids)
+            if size >= HELD_TEXTS:
+                yield from (lines(lang, pa.concat_tables(own), bits) for lang, own in found.items())
+                found, size = defaultdict(list), 0
+        yield from (lines(lang, pa.concat_tables(own), bits) for lang, own in found.items())
+
+    def counted(key, rows):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        phrases = pa.chunked_array([pc.split_pattern(chunk, "\n").values for chunk in rows.column("phrases").chunks], pa.string())
+        sums = pa.table({"phrase": phrases, "n": unpacked(rows.column("n"), "<i8")}).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+        length = pc.add(pc.count_substring(sums.column("phrase"), " "), pa.scalar(1, pa.int32()))
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(sums), pa.string()), "phrase": sums.column("phrase"), "length": length, "n": sums.column("n_sum")})
+
+    rows = _columns(index, "lang", "words").mapInArrow(run, LINES)
+    return rows.groupBy("lang", "range").applyInArrow(counted, "lang string, phrase string, length int, n long")
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
@@ -304,11 +394,12 @@ def collocations(docs: DataFrame, least: int = 10, percent: int = 50, best: int
     empty table no languages. Repeated rows count each."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     index = written(shards(texts, shard_words), "fm-shards", options=LARGE_ROWS)
+    bits = key_bits(index.agg(F.sum("n_words")).first()[0] or 0)
     bitmaps: dict[int, np.ndarray] = {}
-    for length in range(1, DEPTH):
-        bitmaps[length] = frequent_bitmap(index, length, least, bitmaps)
+    for length in range(1, DEPTH + 1):
+        bitmaps[length] = frequent_bitmap(index, length, least, bitmaps, bits)
     with shards_per_batch(docs.sparkSession):
-        frequent = written(phrase_counts(index, bitmaps).filter(F.col("n") >= least), "phrases")
+        frequent = written(phrase_counts(index, bitmaps, bits).filter(F.col("n") >= least), "phrases")
     counts = {length: frequent.filter(F.col("length") == length).drop("length") for length in range(1, DEPTH + 1)}
 
     totals = index.groupBy("lang").agg(F.sum("n_words").alias("n"))

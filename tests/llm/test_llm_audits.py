@@ -121,6 +121,31 @@ def test_collocations_by_brute_force(spark):
     assert fmindex.collocations(df.filter("false")).count() == 0 and len(want) > 60
 
 
+def test_collocations_added_up_in_many_parts(spark, monkeypatch):
+    """Tasks that send their sums often, in many ranges of hashes, several languages in a task."""
+    rng = random.Random(5)
+    docs = [(rng.choice(["en", "de", "é"]), " ".join(rng.choice("abcdéfg") for _ in range(rng.randrange(60)))) for _ in range(120)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(2)
+    for name, value in (("HELD_KEYS", 40), ("HELD_TEXTS", 40), ("RANGE_WORDS", 5)):
+        monkeypatch.setattr(fmindex, name, value)
+    got = fmindex.collocations(df, 10, 50, 60, shard_words=200)
+    assert sorted(tuple(r) for r in got.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()) == collocations(docs, 10, 60)
+
+
+def test_packed_sums_of_keys():
+    rng = np.random.default_rng(6)
+    keys, n = rng.integers(0, 1 << 38, 3000, dtype=np.uint64), rng.integers(1, 4, 3000)
+    keys[1000:2000] = keys[:1000]
+    want = Counter()
+    for k, v in zip(keys.tolist(), n.tolist()):
+        want[k] += v
+    rows = fmindex.packed(*fmindex.added(keys, n.astype(np.uint8), 5), 38, 5).to_pylist()
+    got = {r["range"] << 32 | int(k): int(v) for r in rows for k, v in zip(np.frombuffer(r["low"], "<u4"), np.frombuffer(r["n"], np.uint8))}
+    assert got == {k: min(v, 5) for k, v in want.items()}
+    none = fmindex.packed(*fmindex.added(keys[:0], n[:0], 5), 38, 5)
+    assert none.num_rows == 0
+
+
 def test_collocation_scores_past_64_bits(spark):
     """Counts whose products need more than 64 bits: the score's arithmetic on its own."""
     from pyspark.sql import functions as F

@@ -10,6 +10,7 @@ import xml.etree.ElementTree as ET
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from tcelake.schema import DOCUMENT_SHAPE
 from tcelake.session import checkpoint_root, setting
@@ -31,6 +32,17 @@ def test_index_shards_fill_row_groups_of_bounded_size(spark, monkeypatch):
     assert max(g.num_rows for g in groups) <= 16
 
 
+def test_rare_triples_of_frequent_pairs_are_not_counted_by_text(spark, monkeypatch):
+    from tcelake.llm import fmindex
+    made, counts = [], fmindex.phrase_counts
+    monkeypatch.setattr(fmindex, "phrase_counts", lambda *given: made.append(counts(*given)) or made[-1])
+    words = np.random.default_rng(4).integers(0, 30, 20_000).astype(str)
+    docs = spark.createDataFrame([("en", " ".join(words[i::8]) + " one two three" * 10) for i in range(8)], "lang string, text string")
+    fmindex.collocations(docs, shard_words=1 << 12)
+    found = {r["length"]: (r["all"], r["rare"]) for r in made[0].groupBy("length").agg(F.count("*").alias("all"), F.count_if(F.col("n") < 10).alias("rare")).collect()}
+    assert found[2][0] > 800 and found[3][0] > 0 and found[3][1] < 50            # of some 14,000 triples
+
+
 def test_members_of_many_archives_leave_in_bounded_batches():
     def packed(names):
         buf = io.BytesIO()
