@@ -112,3 +112,49 @@ def test_case_files_are_collected_once_over_sorted_rows(spark, tmp_path):
     # An order that is there twice doubles its lines, in both of its files.
     assert seen["2.xml"] == [{**leaves, "baselineIsolate": 4, "pastRegimenTreatments": 6, "genes": ["RT", "RT", "IN", "IN"]}] * 2
     assert seen[None] == [{**leaves, "genes": []}] and len(got) == 4
+
+
+def _order_tables(spark, folder, backwards=False):
+    """Driver tables of two orders, one of them without most leaves; the rows of both forms are the same."""
+    day, later = datetime.datetime(2000, 1, 1), datetime.datetime(2000, 5, 1)
+    tables = {
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+                   [(1, 5, "F", 2.0, day, "1-URGENT"), (97, None, "O", None, None, None)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, "
+                     "l_shipdate timestamp_ntz",
+                     [(1, 10, 1, 1, 7.0, "R", "O", later), (1, 10, 1, 7, 50.0, "A", "F", day), (1, 10, 5, 3, 9.0, "N", "F", day), (1, 11, 5, 2, 46.0, "N", "F", day),
+                      (1, 11, 1, 2, None, "N", None, None), (97, 12, 1, None, None, "R", None, None), (97, 12, None, None, 1.0, "N", None, None)]),
+        "part": ("p_partkey long, p_brand string, p_type string, p_size int", [(10, "A&B <\"x'>]]>\r\n é", "LARGE", 1), (11, "", "STANDARD", 2), (12, None, "none", 3)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows[::-1] if backwards else rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    return DriverSources(spark, str(folder))
+
+
+def test_case_files_are_the_same_whatever_order_lines_come_in(spark, tmp_path):
+    made = [{r.xml_filename: r.xml for r in driver_docs.case_documents(_order_tables(spark, tmp_path / str(b), b)).collect()} for b in (False, True)]
+    assert made[0] == made[1] and made[0].keys() == {"1.xml", "97.xml"}
+    one = ET.fromstring(made[0]["1.xml"])
+    assert sorted(c.text or "" for c in one.iter("drugCode")) == ["", "", *["A&B <\"x'>]]>\r\n é"] * 2]
+    assert [n.findtext("gene") for n in one.iter("pastIsolate")] == ["IN"] and [n.findtext("aaStop") for n in one.iter("baselineIsolate")] == ["92", "93"]
+
+
+def test_case_files_have_the_form_of_to_xml(spark, tmp_path):
+    got = {r.xml_filename: r.xml for r in driver_docs.case_documents(_order_tables(spark, tmp_path)).collect()}
+    leaf = "array<string>"
+    shape = (f"patient array<struct<patientAlias:{leaf}, CD4NadirBeforeTCE:{leaf}>>, schemaVersion {leaf}, baselineRNA array<struct<rawLoad:{leaf}, relativeDate:{leaf}>>, "
+             f"pastIsolate array<struct<gene:{leaf}, subtype:{leaf}, aaStart:{leaf}, aaMutation:array<struct<aminoAcid:{leaf}>>>>, "
+             f"pastRegimenTreatments array<struct<relativeStartDate:{leaf}, drug:array<struct<drugCode:{leaf}>>>>")
+    isolate = (["PR"], ["C"], ["1"], [(["P"],)])
+    row = ([(None, None)], ["1.1"], [(None, None)], [isolate], [(None, [(None,)])] * 2)
+    want = spark.createDataFrame([row], shape).select(F.to_xml(F.struct("*"), {"rowTag": "tce"})).first()[0]
+    assert got["97.xml"] == want
+
+
+def test_case_files_are_written_by_methods_that_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    seen, forms = [], driver_docs.varied_documents
+    monkeypatch.setattr(driver_docs, "varied_documents", lambda text: seen.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) or forms(text))
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    _order_tables(spark, tmp_path)
+    assert driver_docs.driver_corpus(spark, str(tmp_path)).count() == 2
+    assert seen == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
