@@ -11,12 +11,15 @@ import fnmatch
 import io
 import posixpath
 import tarfile
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MEMBER_SCHEMA = "archive string, member string, content binary"
 BATCH_BYTES = 8 << 20                                  # of member files in an output batch
+LEVEL = 6                                              # of compression, gzip's own default: tarfile's (9) takes three times as long for a tenth less
+GZIP = 16 + zlib.MAX_WBITS
 
 
 def _members(batches, glob: str, batch_bytes: int = BATCH_BYTES):
@@ -68,14 +71,13 @@ def archive_members(spark: SparkSession, path: str, archive_glob: str = "*", mem
 def _pack(group):
     import pyarrow as pa
     archive, member, content = (group.column(c).to_pylist() for c in ("archive", "member", "content"))
-    buf = io.BytesIO()
-    with tarfile.open(fileobj=buf, mode="w:gz") as tar:
-        for name, data in sorted(zip(member, content)):
-            data = bytes(data)
-            info = tarfile.TarInfo(name=str(name))
-            info.size = len(data)
-            tar.addfile(info, io.BytesIO(data))
-    return pa.table({"archive": pa.array([str(archive[0])], pa.string()), "content": pa.array([buf.getvalue()], pa.binary())})
+    # Member by member into one compressor: a tar is a header and the padded bytes of every member, and two empty blocks.
+    info, packed, gz = tarfile.TarInfo(), [], zlib.compressobj(LEVEL, zlib.DEFLATED, GZIP)
+    for name, data in sorted(zip(member, content)):
+        info.name, info.size = str(name), len(data)
+        packed.append(gz.compress(b"".join((info.tobuf(tarfile.GNU_FORMAT), data, bytes(-len(data) % tarfile.BLOCKSIZE)))))
+    packed += gz.compress(bytes(2 * tarfile.BLOCKSIZE)), gz.flush()
+    return pa.table({"archive": pa.array([str(archive[0])], pa.string()), "content": pa.array([b"".join(packed)], pa.binary())})
 
 
 def pack_archives(members: DataFrame, archive_col: str, member_col: str, content_col: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tcelake.operators.profile import PathTree
 from tcelake.schema import DOCUMENT_SHAPE
 from tcelake.session import checkpoint_root, setting
 from tcelake.sources import archive, driver_docs, xml_docs
@@ -158,3 +159,40 @@ def test_case_files_are_written_by_methods_that_the_jvm_compiles(spark, tmp_path
     _order_tables(spark, tmp_path)
     assert driver_docs.driver_corpus(spark, str(tmp_path)).count() == 2
     assert seen == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
+def test_mutations_are_found_without_path_expressions():
+    class Isolate(ET.Element):
+        def findall(self, path, namespaces=None):
+            raise AssertionError(path)
+
+    root = ET.Element("tce")
+    isolate = Isolate("pastIsolate")
+    root.append(isolate)
+    ET.SubElement(isolate, "gene").text = "RT"
+    for position, above in (("41", ET.SubElement(isolate, "set")), ("215", isolate)):
+        ET.SubElement(ET.SubElement(above, "aaMutation"), "position").text = position
+    row, = xml_docs.document_array(iter([root]), {"pastIsolate": DOCUMENT_SHAPE["pastIsolate"]}).to_pylist()
+    assert [m["position"] for m in row["pastIsolate"][0]["aaMutation"]] == ["41", "215"] and row["pastIsolate"][0]["gene"] == "RT"
+
+
+def test_known_paths_are_not_looked_up_element_by_element(monkeypatch):
+    calls, child = [], PathTree.child
+    monkeypatch.setattr(PathTree, "child", lambda self, node, name: calls.append(name) or child(self, node, name))
+    tree = PathTree()
+    for i in range(50):
+        tree.add(ET.fromstring("<a><b/><b><c/><c><d/></c></b><e><b><c/></b></e></a>"), i)
+    tree.add(ET.fromstring("<a/>"), 50)
+    assert len(calls) == 7
+    assert dict(zip(tree.paths()[1:], zip(tree.n_docs[1:], tree.n_nodes[1:]))) == {
+        "a": (51, 51), "a/b": (50, 100), "a/b/c": (50, 100), "a/b/c/d": (50, 50), "a/e": (50, 50), "a/e/b": (50, 50), "a/e/b/c": (50, 50)}
+
+
+def test_archives_are_packed_at_the_usual_compression():
+    names = ["b.xml", "a.xml", "é" * 80 + ".xml", "dir/" + "x" * 200 + ".xml", "a.xml"]
+    data = [b"b" * 512, b"", b"1", b"x" * 513, bytes(range(256)) * 9]
+    packed = archive._pack(pa.table({"archive": ["7"] * 5, "member": names, "content": pa.array(data, pa.binary())}))
+    content = packed.column("content")[0].as_py()
+    assert packed.column("archive").to_pylist() == ["7"] and content[8] != 2               # 2: slowest compression
+    rows = [r for b in archive._members(packed.to_batches(), "*.xml") for r in b.to_pylist()]
+    assert [(r["archive"], r["member"], r["content"]) for r in rows] == [("7", n, d) for n, d in sorted(zip(names, data))]
