@@ -37,15 +37,29 @@ class PathTree:
         return found
 
     def add(self, root, document: int) -> None:
-        stack = [(root, 0)]
-        while stack:
-            element, node = stack.pop()
-            node = self.child(node, element.tag)
+        """Counts a tree's elements in document order; ``left`` children of the node above are still to come."""
+        reached, stack = [], []
+        node, left, known = 0, 1, self.children[0]
+        for element in root.iter():
+            tag = element.tag
+            place = known.get(tag)
+            if place is None:
+                place = self.child(node, tag)
+            reached.append(place)
+            left -= 1
+            below = len(element)
+            if below:
+                stack.append((node, left, known))
+                node, left, known = place, below, self.children[place]
+            else:
+                while not left and stack:
+                    node, left, known = stack.pop()
+        for node in reached:
             self.n_nodes[node] += 1
+        for node in set(reached):
             if self.last[node] != document:
                 self.last[node] = document
                 self.n_docs[node] += 1
-            stack += [(below, node) for below in element]
 
     def paths(self) -> list[str]:
         out = [""]
