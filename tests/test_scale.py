@@ -196,3 +196,15 @@ def test_archives_are_packed_at_the_usual_compression():
     assert packed.column("archive").to_pylist() == ["7"] and content[8] != 2               # 2: slowest compression
     rows = [r for b in archive._members(packed.to_batches(), "*.xml") for r in b.to_pylist()]
     assert [(r["archive"], r["member"], r["content"]) for r in rows] == [("7", n, d) for n, d in sorted(zip(names, data))]
+
+
+def test_a_cut_archive_gives_its_whole_members_and_a_row_without_one():
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w") as tar:
+        for name, size in (("a.xml", 700), ("b.txt", 5), ("c.xml", 5000)):
+            info = tarfile.TarInfo(name)
+            info.size = size
+            tar.addfile(info, io.BytesIO(b"x" * size))
+    given = pa.RecordBatch.from_arrays([pa.array(["cut"]), pa.array([buf.getvalue()[:4000]], pa.binary())], names=["archive", "content"])
+    rows = [(r["member"], r["content"]) for b in archive._members([given], "*.xml") for r in b.to_pylist()]
+    assert rows == [("a.xml", b"x" * 700), (None, None)]
